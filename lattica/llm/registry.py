@@ -1,8 +1,12 @@
 """The queries of the training-data operators, by name, and the SQL of those that SQL can express."""
 
+from lattica.llm.langid import op4_language_id
 from lattica.llm.simhash import op1_simhash
+from lattica.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op4_language_id": op4_language_id,
+    "op9_toxicity": op9_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {}
