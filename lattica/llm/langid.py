@@ -176,70 +176,85 @@ def word_counts(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> dict[str, di
     return out
 
 
-def scorer(langs: list[str], probs: np.ndarray, pieces: list[str]):
-    """A ``mapInArrow`` function over (doc_id, held_out, text)."""
-    log = probs.astype(np.float32)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice = Lattice(pieces)
-        wide = log.astype(float)
-        known_words, known = pa.array([], pa.large_string()), np.zeros((0, len(langs)))
-
-        def totals(text: pa.Array) -> np.ndarray:
-            nonlocal known_words, known
-            plain = pc.utf8_lower(text.cast(pa.large_string()).fill_null(""))
-            lists = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.replace_substring_regex(plain, r"[^\p{L}\p{M}]+", " ")))
-            offsets = np.asarray(lists.offsets)
-            coded = pc.dictionary_encode(lists.flatten())
-            words, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
-            at = pc.index_in(words, value_set=known_words).to_numpy(zero_copy_only=False) if len(known_words) else np.full(len(words), np.nan)
-            scores = np.zeros((len(words), len(langs)))
-            new = np.isnan(at) if at.dtype.kind == "f" else np.zeros(len(at), bool)
-            scores[~new] = known[at[~new].astype(np.int64)]
-            if new.any():
-                fresh = words.filter(pa.array(new))
-                scores[new] = word_scores(fresh.to_pylist(), lattice, wide)
-                if len(known_words) < CACHE_WORDS:
-                    known_words = pa.concat_arrays([known_words, fresh])
-                    known = np.concatenate([known, scores[new]])
-            scores[np.asarray(pc.equal(words, "")).astype(bool)] = 0
-            sums = np.concatenate([np.zeros((1, len(langs))), np.cumsum(scores[codes], 0)])
-            return sums[offsets[1:] - offsets[0]] - sums[offsets[:-1] - offsets[0]]
-
-        for batch in batches:
-            if not langs:
-                n = batch.num_rows
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(["und"] * n, pa.string()), pa.array([0.0] * n)], ["doc_id", "held_out", "lang_pred", "score"])
-                continue
-            text, parts, start = batch.column(2), [], 0
-            sizes = np.cumsum(pc.binary_length(text).fill_null(0).to_numpy(zero_copy_only=False))
-            while start < len(text):
-                base = sizes[start - 1] if start else 0
-                end = max(start + 1, int(np.searchsorted(sizes, base + SLICE_CHARS, "right")))
-                parts.append(totals(text.slice(start, end - start)))
-                start = end
-            total = np.concatenate(parts) if parts else np.zeros((0, len(langs)))
-            best = total.argmax(1)
-            share = 1 / np.exp(np.minimum(total - total.max(1, keepdims=True), 0)).sum(1)
-            none = ~np.asarray(pc.match_substring_regex(text.fill_null(""), r"\p{L}")).astype(bool)
-            names = np.array(langs, object)[best]
-            names[none] = "und"
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(np.where(none, 0.0, share))], ["doc_id", "held_out", "lang_pred", "score"])
-
-    return score
+class Scorer:
+    """Scores arrays of texts; one for each task, it remembers words."""
+
+    def __init__(self, langs: list[str], probs: np.ndarray, pieces: list[str]):
+        self.langs, self.probs, self.lattice = langs, probs.astype(float), Lattice(pieces)
+        self.words, self.known = pa.array([], pa.large_string()), np.zeros((0, len(langs)))
+
+    def _totals(self, text: pa.Array) -> np.ndarray:
+        plain = pc.utf8_lower(text.cast(pa.large_string()).fill_null(""))
+        lists = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.replace_substring_regex(plain, r"[^\p{L}\p{M}]+", " ")))
+        offsets = np.asarray(lists.offsets)
+        coded = pc.dictionary_encode(lists.flatten())
+        words, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+        at = pc.index_in(words, value_set=self.words)
+        new = np.asarray(pc.is_null(at)).astype(bool)
+        scores = np.zeros((len(words), len(self.langs)))
+        scores[~new] = self.known[at.drop_null().to_numpy(zero_copy_only=False)]
+        if new.any():
+            fresh = words.filter(pa.array(new))
+            scores[new] = word_scores(fresh.to_pylist(), self.lattice, self.probs)
+            if len(self.words) < CACHE_WORDS:
+                self.words = pa.concat_arrays([self.words, fresh])
+                self.known = np.concatenate([self.known, scores[new]])
+        scores[np.asarray(pc.equal(words, "")).astype(bool)] = 0
+        sums = np.concatenate([np.zeros((1, len(self.langs))), np.cumsum(scores[codes], 0)])
+        return sums[offsets[1:] - offsets[0]] - sums[offsets[:-1] - offsets[0]]
+
+    def score(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The language of each text and its share of the likelihood."""
+        if not self.langs:
+            return np.full(len(text), "und", object), np.zeros(len(text))
+        parts, start = [np.zeros((0, len(self.langs)))], 0
+        sizes = np.cumsum(pc.binary_length(text).fill_null(0).to_numpy(zero_copy_only=False))
+        while start < len(text):
+            base = sizes[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(sizes, base + SLICE_CHARS, "right")))
+            parts.append(self._totals(text.slice(start, end - start)))
+            start = end
+        total = np.concatenate(parts)
+        share = 1 / np.exp(np.minimum(total - total.max(1, keepdims=True), 0)).sum(1)
+        none = ~np.asarray(pc.match_substring_regex(text.fill_null(""), r"\p{L}")).astype(bool)
+        names = np.array(self.langs, object)[total.argmax(1)]
+        names[none] = "und"
+        return names, np.where(none, 0.0, share)
 
 
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(modulus)) == remainder, F.lit(False))
 
 
+def _model(docs: DataFrame, pieces: list[str]) -> tuple[list[str], np.ndarray, list[str]]:
+    return *fit(word_counts(docs.filter(~held_out(F.col("doc_id"), 5, 0)).select("doc_id", "text", "lang")), pieces), pieces
+
+
 def identify(docs: DataFrame, pieces: list[str] | None = None) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score)`` of every row of ``docs``; learns from the rows that aren't held out."""
-    pieces = pieces or public_vocabulary()
-    rows = docs.select(F.col("doc_id"), held_out(F.col("doc_id"), 5, 0).alias("held_out"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    langs, probs = fit(word_counts(rows.filter("not held_out")), pieces)
-    kind = dict(rows.dtypes)["doc_id"]
-    return rows.select("doc_id", "held_out", "text").mapInArrow(scorer(langs, probs, pieces), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    model = _model(docs, pieces or public_vocabulary())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(*model)
+        for batch in batches:
+            names, share = scorer.score(batch.column(2))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(share)], ["doc_id", "held_out", "lang_pred", "score"])
+
+    rows = docs.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, held_out boolean, lang_pred string, score double")
+
+
+def accepted(docs: DataFrame, least: float = 0.5, pieces: list[str] | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is known with a score of ``least``."""
+    model, at = _model(docs, pieces or public_vocabulary()), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(*model)
+        for batch in batches:
+            names, share = scorer.score(batch.column(at))
+            yield batch.filter(pa.array((names != "und") & (share >= least)))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
