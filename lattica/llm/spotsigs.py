@@ -90,8 +90,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     group = F.floor(F.col("blk") / 4096)
     inner = firsts.withColumn("_g", group).withColumn("prev", F.lag("blk").over(Window.partitionBy("_g").orderBy("blk")))
     outer = firsts.groupBy(group.alias("_g")).agg(F.max("blk").alias("_last"))
-    outer = outer.withColumn("_before", F.lag("_last").over(Window.orderBy("_g"))).crossJoin(F.broadcast(firsts.agg(F.max("blk").alias("_end"))))
-    before = inner.join(outer, "_g").select("doc_id", F.coalesce("prev", "_before", "_end").alias("prev"))
+    outer = outer.withColumn("_before", F.lag("_last").over(Window.orderBy("_g")))
+    end = F.lit(int((high - low) / width) if n else 0).cast("long")
+    before = inner.join(outer, "_g").select("doc_id", F.coalesce("prev", "_before", end).alias("prev"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     marked = rows.join(joinable(before.withColumnRenamed("doc_id", "_first"), 2_000_000), F.col("doc_id").eqNullSafe(F.col("_first")), "left").drop("_first")
     homes = F.array(F.struct(place(width).alias("blk"), F.lit(0).alias("guest")))
