@@ -22,15 +22,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a local folder only where that is unset, as in tests."""
-    try:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-    except Exception:  # a connect session may refuse unknown keys
-        named = None
+    """The session's ``spark.checkpoint.dir``; a local folder of its own only where that is unset, as in tests."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="lattica-")
-        spark.conf.set("spark.checkpoint.dir", named)
+        app = spark.sparkContext.applicationId
+        if app not in _own_dirs:
+            _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="lattica-")
+        named = _own_dirs[app]
     return named.rstrip("/")
 
 
