@@ -30,6 +30,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         app = spark.sparkContext.applicationId
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the cluster shares")
         if app not in _own_dirs:
             _own_dirs[app] = "file://" + tempfile.mkdtemp(prefix="lattica-")
         named = _own_dirs[app]
@@ -55,10 +57,6 @@ def drop_cut(df: DataFrame | None) -> None:
         at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def bounded_count(df: DataFrame, limit: int) -> bool:
     """Whether ``df`` has at most ``limit`` rows; reads no more than it needs to know."""
     return df.limit(limit + 1).count() <= limit

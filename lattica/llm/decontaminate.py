@@ -6,10 +6,14 @@ words inside a sentence). A window of ``WINDOW`` tokens is a template in which
 a slot carries its type and the place of its value's first occurrence in the
 window, so two windows share a template exactly if their slots hold consistent
 values under a renaming: a question asked anew with other numbers and names is
-found, one whose slots don't correspond isn't.
+found, one whose slots don't correspond isn't. Over all windows of a document
+and an item, the values of an item's slots are then paired with the document's:
+the share of values to pairs is the match's consistency, 1 if each value of the
+item stands for one value throughout.
 
 Templates are hashed and joined with the benchmark's. A document is taken to
-hold an item if it has at least ``COVERAGE`` of the item's distinct windows.
+hold an item if it has at least ``COVERAGE`` of the item's distinct windows,
+with a consistency of ``CONSISTENCY`` where the item has slots.
 Items of 5 to 7 tokens are one window of their own length; shorter ones, and
 windows with fewer than four plain words, prove nothing and are passed over.
 
@@ -26,67 +30,110 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.llm.common import joinable, read
+from lattica.llm.common import cut, joinable, read
 
 WINDOW = 8
 SHORTEST = 5
 PLAIN_WORDS = 4
 COVERAGE = 0.5
+CONSISTENCY = 0.5
 SLOT = "\x01"
+#: Tags of canonical tokens.
+NUMBER, UNIT, NAME, PLAIN = 0, 1, 2, 7
 # Measuring units that are slots after a number.
 MEASURES = "mm cm m km in ft yd mi mg g kg t lb oz ml cl l gal s sec min h hr hours days weeks months years kb mb gb tb hz khz mhz ghz w kw mw v kv a ma c f k pa kpa bar mph kmh percent usd eur gbp dollars euros pounds cents meters metres miles feet inches liters litres grams kilograms seconds minutes".split()
 
 
-def tokens(text: Column) -> Column:
-    """Canonical tokens; slots start with a mark, their type and their value."""
-    named = F.regexp_replace(text, r"(?<=[\p{L}\d,;:] )(\p{Lu}\p{Ll}+)", SLOT + "p$1")
-    found = F.regexp_extract_all(F.lower(named), F.lit(rf"{SLOT}p\p{{L}}+|[\p{{L}}\p{{M}}]+|\d+(?:[.,]\d+)*"), 0)
-    numbered = F.transform(found, lambda t: F.when(F.substring(t, 1, 1).between("0", "9"), F.concat(F.lit(SLOT + "n"), t)).otherwise(t))
-    return numbered
+def words(text: Column) -> Column:
+    """Words and numbers of a text, in order and in lower case; names keep a mark in front."""
+    named = F.regexp_replace(text, r"(?<=[\p{L}\d,;:] )(\p{Lu}\p{Ll}+)", SLOT + "$1")
+    return F.regexp_extract_all(F.lower(named), F.lit(rf"{SLOT}?[\p{{L}}\p{{M}}]+|\d+(?:[.,]\d+)*"), 0)
 
 
-def measured(column: str) -> Column:
-    """``column`` of tokens with units after numbers as slots."""
-    return F.transform(column, lambda t, i: F.when(t.isin(MEASURES) & (i > 0) & F.substring(F.get(column, i - 1), 1, 2).eqNullSafe(SLOT + "n"), F.concat(F.lit(SLOT + "u"), t)).otherwise(t))
+def _tagged(value: Column, tag: int) -> Column:
+    """A hash whose last three bits are a tag: 7 for plain words, else the type of a slot."""
+    return F.xxhash64(value).bitwiseAND(F.lit(~7).cast("long")).bitwiseOR(F.lit(tag).cast("long"))
 
 
-def _template(window: Column) -> Column:
-    slot = lambda t: F.substring(t, 1, 1) == SLOT
-    filled = F.transform(window, lambda t: F.when(slot(t), F.concat(F.substring(t, 1, 2), F.array_position(window, t).cast("string"))).otherwise(t))
-    return F.when(F.exists(window, slot), F.when(F.size(F.filter(window, lambda t: ~slot(t))) >= PLAIN_WORDS, F.xxhash64(filled))).otherwise(F.xxhash64(window))
+def canonical(column: str) -> Column:
+    """The array of words in ``column`` as tagged hashes."""
+    number = lambda t: F.substring(t, 1, 1).between("0", "9")
+
+    def token(t: Column, i: Column) -> Column:
+        unit = t.isin(MEASURES) & (i > 0) & number(F.get(column, i - 1))
+        return F.when(number(t), _tagged(t, NUMBER)).when(t.startswith(SLOT), _tagged(t, NAME)).when(unit, _tagged(t, UNIT)).otherwise(_tagged(t, PLAIN))
+
+    return F.transform(column, token)
+
+
+def _slot(token: Column) -> Column:
+    return token.bitwiseAND(F.lit(7).cast("long")) != PLAIN
+
+
+def _templates(starts: Column, n: int) -> Column:
+    """Hashes of the windows of ``n`` tokens of ``t`` at ``starts``; null where too few words are plain."""
+    window = lambda i: F.slice("t", i, F.lit(n))
+
+    def slotted(i: Column) -> Column:
+        w = window(i)
+        place = lambda t: t.bitwiseAND(F.lit(7).cast("long")) + F.array_position(w, t) * 8
+        filled = F.transform(w, lambda t: F.when(_slot(t), place(t)).otherwise(t))
+        return F.when(~F.exists(w, _slot), F.xxhash64(w)).when(F.size(F.filter(w, lambda t: ~_slot(t))) >= PLAIN_WORDS, F.xxhash64(filled))
+
+    return F.when(F.col("slots"), F.transform(starts, slotted)).otherwise(F.transform(starts, lambda i: F.xxhash64(window(i))))
 
 
 def templates(rows: DataFrame, key: str, lengths: list[int]) -> DataFrame:
-    """``(key, h)``: template hashes of every window of the given lengths of ``rows(key, text)``."""
-    found = rows.filter("text is not null").select(key, tokens(F.col("text").cast("string")).alias("t0")).select(key, measured("t0").alias("t"))
-    size = F.size("t")
-    each = []
-    for n in lengths:
-        starts = F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(F.array().cast("array<int>"))
-        each.append(_hashes(starts, n))
+    """``(key, n, h)``: distinct template hashes of the windows of the given lengths of ``rows(key, text)``, n tokens in all."""
+    found = rows.filter("text is not null").select(key, words(F.col("text").cast("string")).alias("w")).select(key, canonical("w").alias("t"))
+    found = found.withColumn("slots", F.exists("t", _slot))
+    size, none = F.size("t"), F.array().cast("array<int>")
+    each = [_templates(F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(none), n) for n in lengths]
     return found.select(key, size.alias("n"), F.explode(F.array_distinct(F.concat(*each))).alias("h")).filter("h is not null")
 
 
-def _hashes(starts: Column, n: int) -> Column:
-    return F.transform(starts, lambda i: _template(F.slice("t", i, n)))
+def slots(rows: DataFrame, key: str, lengths: list[int]) -> DataFrame:
+    """``(key, h, v)``: the windows with slots, their template and the slots' values in order."""
+    found = rows.filter("text is not null").select(key, words(F.col("text").cast("string")).alias("w")).select(key, canonical("w").alias("t"))
+    found = found.withColumn("slots", F.exists("t", _slot)).filter("slots")
+    size, none = F.size("t"), F.array().cast("array<int>")
+    out = None
+    for n in lengths:
+        starts = F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(none)
+        one = found.select(key, F.explode(F.arrays_zip(_templates(starts, n).alias("h"), F.transform(starts, lambda i: F.filter(F.slice("t", i, F.lit(n)), _slot)).alias("v"))).alias("x"))
+        one = one.select(key, "x.h", "x.v").filter("h is not null and size(v) > 0")
+        out = one if out is None else out.union(one)
+    return out
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """``(doc_id, item_id, matched, windows)`` for every document that holds an item."""
+def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, consistency: float = CONSISTENCY) -> DataFrame:
+    """``(doc_id, item_id, matched, windows, consistency)`` for every document that holds an item."""
     items = benchmark.filter("text is not null").groupBy("item_id").agg(F.max("text").alias("text"))
-    sizes = items.select(F.size(tokens(F.col("text"))).alias("n"))
+    sizes = items.select(F.size(words(F.col("text"))).alias("n"))
     short = sorted(r["n"] for r in sizes.filter(F.col("n").between(SHORTEST, WINDOW - 1)).distinct().collect())
     parts = [templates(items, "item_id", [WINDOW]).select("item_id", "h")]
     parts += [templates(items, "item_id", [n]).filter(F.col("n") == n).select("item_id", "h") for n in short]
     wanted = parts[0]
     for more in parts[1:]:
         wanted = wanted.union(more)
+    wanted = cut(wanted, "templates")
     totals = wanted.groupBy("item_id").agg(F.count(F.lit(1)).alias("windows"))
     # Matching starts with the distinct hashes; a hash that many items share fans out after that.
-    hashes = wanted.select("h").distinct()
-    hit = templates(docs.select("doc_id", "text"), "doc_id", [WINDOW, *short]).join(joinable(hashes, 1_000_000), "h", "left_semi").select("doc_id", "h").distinct()
+    hashes, lengths = wanted.select("h").distinct(), [WINDOW, *short]
+    hit = templates(docs.select("doc_id", "text"), "doc_id", lengths).join(joinable(hashes, 1_000_000), "h", "left_semi").select("doc_id", "h").distinct()
     pairs = hit.join(wanted, "h").groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("matched"))
-    return pairs.join(totals, "item_id").filter(F.col("matched") >= coverage * F.col("windows")).select("doc_id", "item_id", "matched", "windows")
+    held = pairs.join(totals, "item_id").filter(F.col("matched") >= coverage * F.col("windows")).select("doc_id", "item_id", "matched", "windows")
+    asked = slots(items, "item_id", lengths)
+    if asked.isEmpty():
+        return held.withColumn("consistency", F.lit(1.0))
+    held, asked = cut(held, "leaks"), cut(asked.distinct(), "slots")
+    # Values are compared in the documents that hold an item with slots; only their texts are read apart again.
+    open_pairs = held.join(asked.select("item_id").distinct(), "item_id", "left_semi").select("doc_id", "item_id")
+    own = slots(docs.join(joinable(open_pairs.select("doc_id").distinct(), 1_000_000), "doc_id", "left_semi").select("doc_id", "text"), "doc_id", lengths)
+    met = own.distinct().join(open_pairs, "doc_id").join(asked.withColumnRenamed("v", "a"), ["item_id", "h"])
+    values = met.select("doc_id", "item_id", F.explode(F.arrays_zip("a", "v")).alias("x")).select("doc_id", "item_id", "x.a", "x.v").distinct()
+    agreed = values.groupBy("doc_id", "item_id").agg((F.countDistinct("a") / F.count(F.lit(1))).alias("consistency"))
+    return held.join(agreed, ["doc_id", "item_id"], "left").withColumn("consistency", F.coalesce("consistency", F.lit(1.0))).filter(F.col("consistency") >= consistency)
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
