@@ -106,13 +106,14 @@ def coverage_text() -> Column:
     return F.format_string("Coverage: %d/%d chunks (%.1f%%), max overlap: %d, avg overlap: %.1f, input tiles: %d", "chunks_with_data", "total_chunks", share, "max_tiles_per_chunk", "avg_tiles_per_chunk", "total_input_tiles")
 
 
-def estimates(covered: DataFrame, grid: OutputGrid) -> DataFrame:
-    """Bytes to read and write, and seconds at the target rate."""
+def estimate_columns(grid: OutputGrid) -> dict[str, Column]:
+    """Bytes to read and write, and seconds at the target rate, from the columns of ``coverage``."""
     s = grid.chunk_shape
     size = s.time * s.embedding * s.height * s.width
     read = F.floor(F.col("chunks_with_data") * F.col("avg_tiles_per_chunk") * size + F.lit(1e-6)).cast("long")
     write = F.col("chunks_with_data") * F.lit(size).cast("long")
-    return covered.select(
-        F.lit(size).cast("long").alias("chunk_bytes"), read.alias("input_bytes"), write.alias("output_bytes"),
-        F.round(write / GIB / COMPRESSION, 6).alias("compressed_gib"), F.round(read / (TARGET_GIB_S * GIB), 6).alias("seconds"),
-    )
+    return {"chunk_bytes": F.lit(size).cast("long"), "input_bytes": read, "output_bytes": write, "compressed_gib": F.round(write / GIB / COMPRESSION, 6), "seconds": F.round(read / (TARGET_GIB_S * GIB), 6)}
+
+
+def estimates(covered: DataFrame, grid: OutputGrid) -> DataFrame:
+    return covered.select(*[v.alias(k) for k, v in estimate_columns(grid).items()])

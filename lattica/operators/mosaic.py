@@ -89,9 +89,8 @@ def inverse_grid(rows: slice, cols: slice, bounds, resolution: float, crs: str,
     return spread(at_row), spread(at_col)
 
 
-def mosaic_block(sources: list[Window_], rows: slice, cols: slice, bounds, resolution: float, crs: str, bands: int) -> np.ndarray:
-    """One block of the output, (bands, rows, cols); ``bounds`` are the whole target's, row 0 at its top."""
-    acc = Accumulator(bands, rows.stop - rows.start, cols.stop - cols.start)
+def accumulate(acc: Accumulator, sources: list[Window_], rows: slice, cols: slice, bounds, resolution: float, crs: str) -> Accumulator:
+    """Add to one block of the output what the sources have for it; ``bounds`` are the whole target's, row 0 at its top."""
     box = (bounds[0] + cols.start * resolution, bounds[3] - rows.stop * resolution, bounds[0] + cols.stop * resolution, bounds[3] - rows.start * resolution)
     for source in sources:
         try:
@@ -106,35 +105,100 @@ def mosaic_block(sources: list[Window_], rows: slice, cols: slice, bounds, resol
             r, c = round_half_away(row), round_half_away(col)
             inside = (r >= 0) & (r < h) & (c >= 0) & (c < w)
         acc.add(source.data[:, r[inside].astype(int), c[inside].astype(int)].astype(np.int64), inside)
-    return acc.result()
+    return acc
+
+
+def _blocks(shape: tuple[int, int]):
+    for r in range(0, shape[0], BLOCK):
+        for c in range(0, shape[1], BLOCK):
+            yield slice(r, min(r + BLOCK, shape[0])), slice(c, min(c + BLOCK, shape[1]))
 
 
 def mosaic(sources: list[Window_], bounds, shape: tuple[int, int], resolution: float, crs: str, bands: int) -> np.ndarray:
     """A whole chunk, (1, bands, height, width), block by block; all nodata without sources."""
     out = np.full((1, bands, *shape), NODATA, np.int8)
-    for r in range(0, shape[0], BLOCK):
-        for c in range(0, shape[1], BLOCK):
-            rows, cols = slice(r, min(r + BLOCK, shape[0])), slice(c, min(c + BLOCK, shape[1]))
-            if sources:
-                out[0, :, rows, cols] = mosaic_block(sources, rows, cols, bounds, resolution, crs, bands)
+    for rows, cols in _blocks(shape) if sources else ():
+        acc = Accumulator(bands, rows.stop - rows.start, cols.stop - cols.start)
+        out[0, :, rows, cols] = accumulate(acc, sources, rows, cols, bounds, resolution, crs).result()
     return out
 
 
+KEY = ("time_idx", "row_idx", "col_idx")
+
+
+def _sources(rows: list[dict]) -> list[Window_]:
+    return [Window_(np.frombuffer(r["data"], np.int8).reshape(r["bands"], r["height"], r["width"]), (r["min_x"], r["min_y"], r["max_x"], r["max_y"]), r["crs"]) for r in rows]
+
+
+def _bounds(grid, row_idx: int, col_idx: int) -> tuple[float, float, float, float]:
+    s, res = grid.chunk_shape, grid.resolution
+    west, north = grid.bounds[0] + col_idx * s.width * res, grid.bounds[3] - row_idx * s.height * res
+    return west, north - s.height * res, west + s.width * res, north
+
+
+def partial_sums(windows: DataFrame, grid) -> DataFrame:
+    """Sums and counts of the blocks of chunks, from ``windows`` with a ``part``: a task holds one part of a chunk's windows.
+
+    For chunks that many tiles cover; ``merged`` makes them chunks.
+    """
+    shape, bands = (grid.chunk_shape.height, grid.chunk_shape.width), grid.num_bands
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        sources, bounds, out = _sources(rows), _bounds(grid, rows[0]["row_idx"], rows[0]["col_idx"]), []
+        for n, (r, c) in enumerate(_blocks(shape)):
+            acc = accumulate(Accumulator(bands, r.stop - r.start, c.stop - c.start), sources, r, c, bounds, grid.resolution, grid.crs)
+            if acc.count.any():
+                out.append({k: rows[0][k] for k in KEY} | {"block": n, "sums": acc.sum.astype("<i4").tobytes(), "counts": acc.count.astype("<i4").tobytes()})
+        return pa.Table.from_pylist(out, schema=pa.schema([(k, pa.int32()) for k in (*KEY, "block")] + [("sums", pa.binary()), ("counts", pa.binary())]))
+
+    return windows.groupBy(*KEY, "part").applyInArrow(run, "time_idx int, row_idx int, col_idx int, block int, sums binary, counts binary")
+
+
+def merged(partial: DataFrame, grid) -> DataFrame:
+    """Chunks as ``mean_blocks`` makes them, from partial sums, read batch by batch."""
+    shape, bands = (grid.chunk_shape.height, grid.chunk_shape.width), grid.num_bands
+    places = list(_blocks(shape))
+
+    def run(batches):
+        whole: dict[tuple, list[Accumulator]] = {}
+        for batch in batches:
+            for r in batch.to_pylist():
+                key = tuple(r[k] for k in KEY)
+                if whole and key not in whole:
+                    yield _chunk_row(*whole.popitem(), places, bands, shape)
+                blocks = whole.setdefault(key, [Accumulator(bands, a.stop - a.start, b.stop - b.start) for a, b in places])
+                acc = blocks[r["block"]]
+                acc.sum += np.frombuffer(r["sums"], "<i4").reshape(acc.sum.shape)
+                acc.count += np.frombuffer(r["counts"], "<i4").reshape(acc.count.shape)
+        for key, blocks in whole.items():
+            yield _chunk_row(key, blocks, places, bands, shape)
+
+    return partial.repartition(*KEY).sortWithinPartitions(*KEY).mapInArrow(run, CHUNK_FIELDS)
+
+
+CHUNK_FIELDS = "time_idx int, row_idx int, col_idx int, data binary, valid_pixels long"
+_CHUNK_SCHEMA = pa.schema([(k, pa.int32()) for k in KEY] + [("data", pa.binary()), ("valid_pixels", pa.int64())])
+
+
+def _chunk_row(key, blocks: list[Accumulator], places, bands: int, shape: tuple[int, int]) -> pa.RecordBatch:
+    data = np.full((bands, *shape), NODATA, np.int8)
+    for (rows, cols), acc in zip(places, blocks):
+        data[:, rows, cols] = acc.result()
+    return pa.RecordBatch.from_pylist([dict(zip(KEY, key)) | {"data": data.tobytes(), "valid_pixels": int((data != NODATA).sum())}], schema=_CHUNK_SCHEMA)
+
+
 def mean_blocks(windows: DataFrame, grid) -> DataFrame:
     """``(time_idx, row_idx, col_idx, data, valid_pixels)``: chunks from windows.
 
     ``windows(time_idx, row_idx, col_idx, tile_id, crs, min_x, min_y, max_x, max_y, bands, height, width, data)``
     has the pixels of a tile that a chunk needs, row 0 at the south.
     """
-    shape, res, bands, step = (grid.chunk_shape.height, grid.chunk_shape.width), grid.resolution, grid.num_bands, grid.chunk_shape
+    shape, bands = (grid.chunk_shape.height, grid.chunk_shape.width), grid.num_bands
 
     def run(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["tile_id"])
-        t, i, j = (rows[0][k] for k in ("time_idx", "row_idx", "col_idx"))
-        west, north = grid.bounds[0] + j * step.width * res, grid.bounds[3] - i * step.height * res
-        bounds = (west, north - shape[0] * res, west + shape[1] * res, north)
-        sources = [Window_(np.frombuffer(r["data"], np.int8).reshape(r["bands"], r["height"], r["width"]), (r["min_x"], r["min_y"], r["max_x"], r["max_y"]), r["crs"]) for r in rows]
-        data = mosaic(sources, bounds, shape, res, grid.crs, bands)
-        return pa.table({"time_idx": pa.array([t], pa.int32()), "row_idx": pa.array([i], pa.int32()), "col_idx": pa.array([j], pa.int32()), "data": pa.array([data.tobytes()], pa.binary()), "valid_pixels": pa.array([int((data != NODATA).sum())], pa.int64())})
-
-    return windows.groupBy("time_idx", "row_idx", "col_idx").applyInArrow(run, "time_idx int, row_idx int, col_idx int, data binary, valid_pixels long")
+        data = mosaic(_sources(rows), _bounds(grid, rows[0]["row_idx"], rows[0]["col_idx"]), shape, grid.resolution, grid.crs, bands)
+        return pa.Table.from_pylist([{k: rows[0][k] for k in KEY} | {"data": data.tobytes(), "valid_pixels": int((data != NODATA).sum())}], schema=_CHUNK_SCHEMA)
+
+    return windows.groupBy(*KEY).applyInArrow(run, CHUNK_FIELDS)

@@ -24,8 +24,10 @@ from lattica.sources.settings import Settings
 
 log = logging.getLogger(__name__)
 CHUNK = lookup.CHUNK
-#: Chunks of one batch: the unit of checkpointing.
-BATCH_CHUNKS = 4096
+#: Chunks of one batch, the unit of checkpointing; a run has at most so many batches.
+BATCH_CHUNKS, MOST_BATCHES = 4096, 64
+#: Windows of a chunk that one task holds.
+PART_WINDOWS = 64
 
 
 class NothingToDo(ValueError):
@@ -76,26 +78,30 @@ def analyze(spark: SparkSession, settings: Settings, tiles: DataFrame | None = N
     """One row: coverage and size estimates, with the coverage line."""
     b = bind(spark, settings, tiles)
     covered = lookup.coverage(lookup.tiles_for_chunks(b.tiles, b.grid), b.grid, b.tiles)
-    shown = covered.withColumn("line", lookup.coverage_text())
-    guess = lookup.estimates(covered, b.grid)
-    # Both come from one row; put side by side without a join.
-    return shown.select("*", *[_estimate(b.grid)[c].alias(c) for c in guess.columns])
+    return covered.select("*", lookup.coverage_text().alias("line"), *[v.alias(k) for k, v in lookup.estimate_columns(b.grid).items()])
 
 
-def _estimate(grid: OutputGrid) -> dict:
-    s = grid.chunk_shape
-    size = s.time * s.embedding * s.height * s.width
-    read = F.floor(F.col("chunks_with_data") * F.col("avg_tiles_per_chunk") * size + F.lit(1e-6)).cast("long")
-    write = F.col("chunks_with_data") * F.lit(size).cast("long")
-    return {"chunk_bytes": F.lit(size).cast("long"), "input_bytes": read, "output_bytes": write, "compressed_gib": F.round(write / lookup.GIB / lookup.COMPRESSION, 6), "seconds": F.round(read / (lookup.TARGET_GIB_S * lookup.GIB), 6)}
+def chunks_of(b: Bound, todo: DataFrame, heads: DataFrame, seen: Observation | None = None, part_windows: int = PART_WINDOWS) -> DataFrame:
+    """The chunks of ``todo``, from the windows that could be read.
 
-
-def mosaic_plan(b: Bound, todo: DataFrame, heads: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Windows read, with faults as rows, and the chunks made of the good ones."""
+    A chunk that more than ``part_windows`` tiles cover is summed up in parts
+    of so many windows, each in a task of its own.
+    """
     pairs = lookup.tiles_for_chunks(b.tiles, b.grid).join(todo.select(*CHUNK), CHUNK, "left_semi")
-    asked = pairs.join(heads.filter("gt is not null").select("s3_path", "gt", "image_width", "image_height"), "s3_path")
-    read = raster.read_windows(windows.planned(asked, b.grid, b.codes, F.col("image_width"), F.col("image_height")))
-    return read, mosaic.mean_blocks(read.filter("error is null"), b.grid)
+    counts = pairs.groupBy(*CHUNK).agg(F.ceil(F.count(F.lit(1)) / part_windows).cast("int").alias("parts"))
+    asked = pairs.join(counts, CHUNK).withColumn("part", F.pmod(F.xxhash64("tile_id"), F.col("parts")))
+    asked = asked.join(heads.filter("gt is not null").select("s3_path", "gt", "image_width", "image_height"), "s3_path")
+    planned = windows.planned(asked, b.grid, b.codes, F.col("image_width"), F.col("image_height"))
+    counted = [F.count_if(F.col("error").isNull()).alias("tiles"), F.count_if(F.col("error").isNotNull()).alias("failures"), F.coalesce(F.sum(F.octet_length("data")), F.lit(0)).alias("bytes")]
+
+    def read(some: DataFrame, at: Observation | None) -> DataFrame:
+        found = raster.read_windows(some)
+        return (found.observe(at, *counted) if at else found).filter("error is null")
+
+    plain = mosaic.mean_blocks(read(planned.filter("parts = 1"), seen), b.grid)
+    if counts.filter("parts > 1").isEmpty():
+        return plain
+    return plain.union(mosaic.merged(mosaic.partial_sums(read(planned.filter("parts > 1"), None), b.grid), b.grid))
 
 
 def run(spark: SparkSession, settings: Settings, tiles: DataFrame | None = None, dry_run: bool = False, batch_chunks: int = BATCH_CHUNKS) -> Stats:
@@ -113,7 +119,7 @@ def run(spark: SparkSession, settings: Settings, tiles: DataFrame | None = None,
         return Stats(total, 0, 0, 0, metrics)
     zarr.create(b.grid, o, resume=bool(keep and keep.completed), years=b.years)
     heads = raster.headers(b.tiles).persist()
-    batches = max(1, -(-total // batch_chunks))
+    batches = min(MOST_BATCHES, max(1, -(-total // batch_chunks)))
     # Chunks near each other share tiles: batches are stretches of the order, not a draw.
     numbered = work.withColumn("_n", (F.col("time_idx") * b.grid.num_spatial_chunks + F.col("row_idx") * b.grid.chunk_counts[3] + F.col("col_idx")).cast("long"))
     edges = numbered.approxQuantile("_n", [k / batches for k in range(1, batches)], 0.001) if batches > 1 else []
@@ -123,11 +129,8 @@ def run(spark: SparkSession, settings: Settings, tiles: DataFrame | None = None,
             todo = numbered
             todo = todo if low is None else todo.filter(F.col("_n") > low)
             todo = todo if high is None else todo.filter(F.col("_n") <= high)
-            read, made = mosaic_plan(b, todo, heads)
             seen, stored = Observation(), Observation()
-            read = read.observe(seen, F.count_if(F.col("error").isNull()).alias("tiles"), F.count_if(F.col("error").isNotNull()).alias("failures"), F.coalesce(F.sum(F.octet_length("data")), F.lit(0)).alias("bytes"))
-            made = mosaic.mean_blocks(read.filter("error is null"), b.grid)
-            written = zarr.write(made, b.grid, o).observe(stored, F.coalesce(F.sum("bytes_written"), F.lit(0)).alias("bytes"))
+            written = zarr.write(chunks_of(b, todo, heads, seen), b.grid, o).observe(stored, F.coalesce(F.sum("bytes_written"), F.lit(0)).alias("bytes"))
             rows = written.collect()  # keys and sizes of one batch
             good = [r for r in rows if r["error"] is None]
             metrics.chunks_processed += len(good)

@@ -46,21 +46,22 @@ _HEADER_SCHEMA = pa.schema(
     [("s3_path", pa.string()), ("image_width", pa.int32()), ("image_height", pa.int32()), ("bands", pa.int32()), ("planar", pa.bool_()), ("tile_width", pa.int32()), ("tile_height", pa.int32()), ("gt", pa.struct([(k, pa.float64()) for k in "abcdef"])), ("error", pa.string())]
 )
 
-WINDOW_FIELDS = "time_idx int, row_idx int, col_idx int, tile_id string, crs string, min_x double, min_y double, max_x double, max_y double, bands int, height int, width int, data binary, error string"
+WINDOW_FIELDS = "time_idx int, row_idx int, col_idx int, part int, tile_id string, crs string, min_x double, min_y double, max_x double, max_y double, bands int, height int, width int, data binary, error string"
 
 
 def read_windows(planned: DataFrame) -> DataFrame:
     """Pixels of planned windows, row 0 at the south; ``planned`` is as ``windows.planned`` makes it, with ``image_width``.
 
-    A file's windows stay together, so that its header is read once a task.
+    ``part``, if there is one, is carried along. A file's windows stay together, so that its header is read once a task.
     """
-    asked = planned.select("time_idx", "row_idx", "col_idx", "tile_id", "crs", "s3_path", (F.col("gt.e") < 0).alias("top_down"), *[F.col(f"window_box.{k}").alias(k) for k in ("min_x", "min_y", "max_x", "max_y")], *[F.col(f"window.{k}").cast("int").alias(a) for k, a in (("x", "x"), ("y", "y"), ("width", "w"), ("height", "h"))])
+    part = F.col("part") if "part" in planned.columns else F.lit(0)
+    asked = planned.select("time_idx", "row_idx", "col_idx", part.cast("int").alias("part"), "tile_id", "crs", "s3_path", (F.col("gt.e") < 0).alias("top_down"), *[F.col(f"window_box.{k}").alias(k) for k in ("min_x", "min_y", "max_x", "max_y")], *[F.col(f"window.{k}").cast("int").alias(a) for k, a in (("x", "x"), ("y", "y"), ("width", "w"), ("height", "h"))])
 
     def run(batches):
         path, read, head = None, None, None
         for batch in batches:
             for r in batch.to_pylist():
-                out = {k: r[k] for k in ("time_idx", "row_idx", "col_idx", "tile_id", "crs", "min_x", "min_y", "max_x", "max_y")} | {"bands": None, "height": r["h"], "width": r["w"], "data": None, "error": None}
+                out = {k: r[k] for k in ("time_idx", "row_idx", "col_idx", "part", "tile_id", "crs", "min_x", "min_y", "max_x", "max_y")} | {"bands": None, "height": r["h"], "width": r["w"], "data": None, "error": None}
                 try:
                     if r["s3_path"] != path:
                         path, read = None, tiff.reader(r["s3_path"])
@@ -77,7 +78,7 @@ def read_windows(planned: DataFrame) -> DataFrame:
 
 
 _WINDOW_SCHEMA = pa.schema(
-    [(k, pa.int32()) for k in ("time_idx", "row_idx", "col_idx")] + [("tile_id", pa.string()), ("crs", pa.string())] + [(k, pa.float64()) for k in ("min_x", "min_y", "max_x", "max_y")] + [(k, pa.int32()) for k in ("bands", "height", "width")] + [("data", pa.binary()), ("error", pa.string())]
+    [(k, pa.int32()) for k in ("time_idx", "row_idx", "col_idx", "part")] + [("tile_id", pa.string()), ("crs", pa.string())] + [(k, pa.float64()) for k in ("min_x", "min_y", "max_x", "max_y")] + [(k, pa.int32()) for k in ("bands", "height", "width")] + [("data", pa.binary()), ("error", pa.string())]
 )
 
 

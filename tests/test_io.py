@@ -149,6 +149,16 @@ def test_run_and_resume(spark, tmp_path, scene):
         run.bind(spark, s, scene)
 
 
+def test_chunks_in_parts(spark, tmp_path, scene):
+    """Windows of a chunk summed in parts give what they give together."""
+    s = settings(tmp_path, resolution=1.0)
+    s.filter.bounds = [0.0, 0.0, 48.0, 32.0]
+    b = run.bind(spark, s, scene)
+    heads, todo = raster.headers(b.tiles), b.grid.chunks(spark)
+    one, parts = ({tuple(r[k] for k in ("row_idx", "col_idx")): bytes(r["data"]) for r in run.chunks_of(b, todo, heads, part_windows=n).collect()} for n in (64, 1))
+    assert len(one) == 6 and one == parts
+
+
 def test_headers_tell_faults(spark, scene):
     rows = {r["s3_path"][-6:]: r for r in raster.headers(scene.union(scene)).collect()}
     assert len(rows) == 3 and rows["/a.tif"]["gt"]["e"] == 1.0 and "Error" in rows["ne.tif"]["error"]
