@@ -42,48 +42,77 @@ GROUP_PIECES = 4096
 #: Words whose ids a worker remembers, and bytes of text that are laid out at once.
 CACHE_WORDS = 400_000
 SLICE_BYTES = 4_000_000
+MARKS = ".,;:!?"
 BLANK = b" \t\n\r\x0b\x0c"
 
 
 class WordIds:
-    """Ids of texts, word by word, from a tokenizer file."""
+    """Ids of texts, word by word, from a tokenizer file.
+
+    ASCII capitals are lowered first, as the tokenizer would, and a word's final
+    punctuation is looked up apart from it: both are what makes words differ most.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
-        self.words = pa.array([], pa.large_string())
-        self.starts, self.sizes, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-    def _learn(self, words: pa.Array) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch(words.to_pylist(), add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter((i for f in found for i in f), np.uint32, int(sizes.sum()))
-        self.words = pa.concat_arrays([self.words, words])
+        self.known = {"": 0}
+        self.starts, self.sizes, self.pool = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def _learn(self, words: list[str]) -> None:
+        plain = [w for w in words if w.isalpha()]
+        rest = [w for w in words if not w.isalpha()]
+        ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, np.uint32)
+        last = np.flatnonzero(self.ends[ids])
+        if len(last) == len(plain):  # a word of letters ends with its only word end
+            sizes = np.diff(last, prepend=-1)
+        else:
+            rest, ids, sizes, plain = words, ids[:0], last[:0], []
+        found = [e.ids for e in self.tokenizer.encode_batch(rest, add_special_tokens=False)]
+        sizes = np.concatenate([sizes, np.fromiter(map(len, found), np.int64, len(found))])
+        ids = np.concatenate([ids, np.fromiter((i for f in found for i in f), np.uint32, sum(map(len, found)))])
+        for w in [*plain, *rest]:
+            self.known[w] = len(self.known)
         self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
         self.sizes, self.pool = np.concatenate([self.sizes, sizes]), np.concatenate([self.pool, ids])
 
+    def _units(self, words: pa.Array) -> np.ndarray:
+        """Of each distinct word, where it and its final punctuation are known; these stand apart after a letter or digit below U+0250."""
+        cores = pc.utf8_rtrim(words, MARKS)
+        split = pc.and_(pc.not_equal(cores, words), pc.match_substring_regex(cores, "[a-z0-9\u00df-\u00f6\u00f8-\u012f]$"))
+        cores = pc.if_else(split, cores, words).to_pylist()
+        at = np.flatnonzero(np.asarray(split).astype(bool))
+        tails = [w[len(cores[i]) :] for i, w in zip(at, words.take(pa.array(at)).to_pylist())]
+        if fresh := (set(cores) | set(tails)).difference(self.known):
+            self._learn(sorted(fresh))
+        out = np.zeros((len(cores), 2), np.int64)
+        out[:, 0] = np.fromiter(map(self.known.__getitem__, cores), np.int64, len(cores))
+        out[at, 1] = np.fromiter(map(self.known.__getitem__, tails), np.int64, len(tails))
+        return out
+
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
-        if len(self.words) > CACHE_WORDS:
+        if len(self.known) > CACHE_WORDS:
             self._forget()
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():  # what may be a special token is left as it is
+            texts = pc.ascii_lower(texts)
         lists = pc.ascii_split_whitespace(texts)
         offsets = np.asarray(lists.offsets).astype(np.int64)
         offsets -= offsets[0]
         coded = pc.dictionary_encode(lists.flatten())
-        codes, words = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
-        at = pc.index_in(words, value_set=self.words)
-        if at.null_count:
-            self._learn(words.filter(pc.is_null(at)))
-            at = pc.index_in(words, value_set=self.words)
-        word = at.to_numpy(zero_copy_only=False)[codes]
-        sizes = self.sizes[word]
+        units = self._units(coded.dictionary)
+        unit = units[coded.indices.to_numpy(zero_copy_only=False)].ravel()
+        sizes = self.sizes[unit]
         ends = np.concatenate([[0], np.cumsum(sizes)])
-        flat = self.pool[np.repeat(self.starts[word] - ends[:-1], sizes) + np.arange(ends[-1])]
-        return np.split(flat, ends[offsets[1:-1]])
+        flat = self.pool[np.repeat(self.starts[unit] - ends[:-1], sizes) + np.arange(ends[-1])]
+        return np.split(flat, ends[2 * offsets[1:-1]])
 
 
 def _parts(text: bytes) -> Iterator[bytes]:
