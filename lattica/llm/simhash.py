@@ -271,15 +271,20 @@ def _near_forest(table: dict[str, np.ndarray], similarity: float) -> tuple[list[
 
     left, right = [], []
     enough = int(MIN_BYTES * (similarity - 0.25))
+    inner = same[1:] == same[:-1]
     live, step = np.arange(n), 1
     while True:
         live = live[live + step < n]
         live = live[same[live] == same[live + step]]
-        if not len(live):
-            return left, right
-        for k in range(0, len(live), 4096):
-            part = live[k : k + 4096]
-            part = part[np.minimum(sizes[part], sizes[part + step]) >= similarity * np.maximum(sizes[part], sizes[part + step])]
+        while (parent != parent[parent]).any():
+            parent[:] = parent[parent]
+        if not len(live) or not (inner & (parent[1:] != parent[:-1])).any():
+            return left, right  # no pairs are left, or each run is one group
+        # Pairs of one group already need no tally.
+        todo = live[parent[live] != parent[live + step]]
+        todo = todo[np.minimum(sizes[todo], sizes[todo + step]) >= similarity * np.maximum(sizes[todo], sizes[todo + step])]
+        for k in range(0, len(todo), 4096):
+            part = todo[k : k + 4096]
             shared = (prints[part, :MIN_BYTES] == prints[part + step, :MIN_BYTES]).sum(1)
             for i in part[shared >= enough]:
                 a, b = find(int(i)), find(int(i) + step)
