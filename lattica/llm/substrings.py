@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lattica.llm.common import joinable, read
+from lattica.llm.common import read
 
 MIN_WORDS = 25
 #: Patterns whose matches, end to end, are the whole text.
@@ -55,7 +55,7 @@ def repeats(docs: DataFrame, kind: str = "line", min_words: int = MIN_WORDS) ->
     """Removed runs: ``(doc_id, start, end, units, words, first_doc_id)``; ``first_doc_id`` keeps the earliest of its units."""
     every = units(docs, kind)
     twice = every.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc_id"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    marked = every.join(joinable(twice.drop("n"), 200_000), ["h1", "h2"]).repartition("doc_id")
+    marked = every.join(twice.drop("n"), ["h1", "h2"]).repartition("doc_id")
     same = Window.partitionBy("doc_id", "h1", "h2").orderBy("pos")
     # Of the document that has a unit first, its first place stays.
     later = marked.withColumn("_nth", F.row_number().over(same)).filter("doc_id > first_doc_id or _nth > 1")
@@ -78,3 +78,19 @@ def remove(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats(read(spark, sf_dir, "documents"))
+
+
+OP10_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(text, '{UNITS["line"]}') AS u FROM documents WHERE text IS NOT NULL AND text <> ''),
+e AS (SELECT doc_id, u, unnest(range(1, len(u) + 1)) AS k FROM d),
+f AS (SELECT doc_id, k - 1 AS pos, u[k] AS unit, trim(regexp_replace(lower(u[k]), '\s+', ' ', 'g')) AS plain FROM e),
+g AS (SELECT *, CAST(sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY pos) AS BIGINT) AS until FROM f),
+h AS (
+  SELECT *, min(doc_id) OVER (PARTITION BY plain) AS first_doc_id, count(*) OVER (PARTITION BY plain) AS n, row_number() OVER (PARTITION BY doc_id, plain ORDER BY pos) AS nth,
+         length(plain) - length(replace(plain, ' ', '')) + 1 AS words
+  FROM g WHERE plain <> ''
+),
+r AS (SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM h WHERE n > 1 AND (doc_id > first_doc_id OR nth > 1))
+SELECT doc_id, CAST(min(until - length(unit)) AS BIGINT) AS start, CAST(max(until) AS BIGINT) AS "end", count(*) AS units, CAST(sum(words) AS BIGINT) AS words, min(first_doc_id) AS first_doc_id
+FROM r GROUP BY doc_id, run HAVING sum(words) >= {MIN_WORDS}
+"""
