@@ -82,12 +82,17 @@ def ring(b: Bounds) -> Column:
 def quad_touches(footprint: Column, rect: Bounds) -> Column:
     """Whether a convex counter-clockwise quadrilateral (a ring of lon, lat) meets a rectangle; touching counts.
 
-    Separating axes: the rectangle's by the quadrilateral's extent, the quadrilateral's by its edges.
+    Separating axes: the rectangle's by the quadrilateral's extent, the quadrilateral's by its edges. The inputs
+    are named once, in a lambda, as each is used many times.
     """
-    w, s, e, n = map(col, rect)
-    at = lambda i: footprint.getItem(i)
-    lon = [at(i)["lon"] for i in range(4)]
-    lat = [at(i)["lat"] for i in range(4)]
+    sides = [v.alias(k) for k, v in zip("wsen", map(col, rect))]
+    return F.exists(F.array(F.struct(footprint.alias("ring"), *sides)), _meets)
+
+
+def _meets(v: Column) -> Column:
+    w, s, e, n = (v[k] for k in "wsen")
+    lon = [v["ring"][i]["lon"] for i in range(4)]
+    lat = [v["ring"][i]["lat"] for i in range(4)]
     apart = (F.greatest(*lon) < w) | (F.least(*lon) > e) | (F.greatest(*lat) < s) | (F.least(*lat) > n)
     for i in range(4):
         j = (i + 1) % 4

@@ -77,6 +77,15 @@ def load(spark: SparkSession, path: str) -> DataFrame:
     return mapped(spark.read.parquet(path))
 
 
+def load_bytes(spark: SparkSession, data: bytes) -> DataFrame:
+    """A catalogue from the bytes of one Parquet file that the driver holds."""
+    import io
+
+    import pyarrow.parquet as pq
+
+    return mapped(spark.createDataFrame(pq.read_table(io.BytesIO(data))))
+
+
 def checked(tiles: DataFrame) -> DataFrame:
     """``tiles``; a null in a required column ends the query that meets it."""
     required = [c for c in ALIASES if c not in OPTIONAL]

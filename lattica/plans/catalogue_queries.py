@@ -121,6 +121,22 @@ def chunk_keys(spark, sf_dir):
     return GRID.chunks(spark).select(*CHUNK, scalars.chunk_key(*map(F.col, CHUNK)).alias("chunk_key"), *[v.alias(k) for k, v in zip(("row0", "col0", "row1", "col1"), box)])
 
 
+@query("SELECT i AS time_idx, CAST(2020 + i AS INTEGER) AS year, CAST(CASE WHEN i < 5 THEN i ELSE -1 END AS INTEGER) AS found FROM range(8) r(i)")
+def time_index(spark, sf_dir):
+    """Years of time indices, beyond the list as well, and back."""
+    rows = spark.range(8).select(F.col("id").alias("time_idx"), GRID.year_of(F.col("id").cast("int")).alias("year"))
+    return rows.withColumn("found", F.coalesce(GRID.time_of(F.col("year")), F.lit(-1)))
+
+
+@query(
+    f"SELECT 5 AS times, 64 AS bands, {GRID.height} AS height, {GRID.width} AS width, {GRID.num_chunks} AS chunks, {GRID.num_spatial_chunks} AS spatial_chunks, CAST(ceil(log2(greatest(max(row_idx), max(col_idx)) + 1)) AS INTEGER) AS hilbert_order FROM ({CHUNKS_SQL}) c"
+)
+def grid_summary(spark, sf_dir):
+    times, bands, height, width = GRID.array_shape
+    values = {"times": times, "bands": bands, "height": height, "width": width, "chunks": GRID.num_chunks, "spatial_chunks": GRID.num_spatial_chunks, "hilbert_order": GRID.hilbert_order}
+    return spark.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()])
+
+
 _CLAMP = "least(greatest(CAST(trunc({v}) AS BIGINT), 0), {n})"
 _PX_COL = _CLAMP.format(v=f"(lon - CAST({GRID.bounds[0]!r} AS DOUBLE)) / CAST(0.025 AS DOUBLE)", n=GRID.width - 1)
 _PX_ROW = _CLAMP.format(v=f"(CAST({GRID.bounds[3]!r} AS DOUBLE) - lat) / CAST(0.025 AS DOUBLE)", n=GRID.height - 1)
@@ -167,6 +183,19 @@ def tiles_for_bounds(spark, sf_dir):
     return lookup.tiles_for_bounds(catalog.with_footprint(tiles(spark, sf_dir), [C.WGS84]), BOX).select("tile_id")
 
 
+_EDGES = [("x", "y - h", "x + h", "y"), ("x + h", "y", "x", "y + h"), ("x", "y + h", "x - h", "y"), ("x - h", "y", "x", "y - h")]
+_OUTSIDE = " OR ".join("(" + " AND ".join(f"(({bx}) - ({ax})) * ({cy} - ({ay})) - (({by}) - ({ay})) * ({cx} - ({ax})) < 0" for cx in (BOX[0], BOX[2]) for cy in (BOX[1], BOX[3])) + ")" for ax, ay, bx, by in _EDGES)
+
+
+@query(f"SELECT tile_id FROM (SELECT tile_id, (min_lon + max_lon) / 2 AS x, (min_lat + max_lat) / 2 AS y, (max_lon - min_lon) * 8 AS h FROM {_T}) q WHERE NOT (x + h < {BOX[0]} OR x - h > {BOX[2]} OR y + h < {BOX[1]} OR y - h > {BOX[3]} OR {_OUTSIDE})")
+def footprint_intersects(spark, sf_dir):
+    """Diamonds around the tiles' centres that meet a rectangle, by separating axes."""
+    rows = tiles(spark, sf_dir).select("tile_id", *[v.alias(k) for k, v in zip("xy", B.centroid(B.geographic()))], ((F.col("max_lon") - F.col("min_lon")) * 8).alias("h"))
+    x, y, h = map(F.col, "xyh")
+    ring = F.array(*[F.struct(a.alias("lon"), b.alias("lat")) for a, b in ((x, y - h), (x + h, y), (x, y + h), (x - h, y), (x, y - h))])
+    return rows.filter(B.quad_touches(ring, BOX)).select("tile_id")
+
+
 @query(PAIRS_SQL)
 def tiles_for_chunk(spark, sf_dir):
     return lookup.tiles_for_chunks(catalog.with_footprint(tiles(spark, sf_dir), [C.WGS84]), GRID).select(*CHUNK, "tile_id")
