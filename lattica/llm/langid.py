@@ -36,7 +36,7 @@ EM_ROUNDS = 3
 #: Words that a worker remembers the scores of.
 CACHE_WORDS = 400_000
 #: Characters of text whose words are laid out at once.
-SLICE_CHARS = 8_000_000
+SLICE_CHARS = 1_000_000
 MARK = "▁"
 UNKNOWN = 1e-9
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -239,6 +239,7 @@ def identify(docs: DataFrame, pieces: list[str] | None = None) -> DataFrame:
         for batch in batches:
             names, share = scorer.score(batch.column(2))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(share)], ["doc_id", "held_out", "lang_pred", "score"])
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, held_out boolean, lang_pred string, score double")
@@ -253,6 +254,7 @@ def accepted(docs: DataFrame, least: float = 0.5, pieces: list[str] | None = Non
         for batch in batches:
             names, share = scorer.score(batch.column(at))
             yield batch.filter(pa.array((names != "und") & (share >= least)))
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, docs.schema)
 

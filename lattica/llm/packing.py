@@ -41,7 +41,7 @@ SEGMENTS = 256
 GROUP_PIECES = 4096
 #: Words whose ids a worker remembers, and bytes of text that are laid out at once.
 CACHE_WORDS = 400_000
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 MARKS = ".,;:!?"
 BLANK = b" \t\n\r\x0b\x0c"
 
@@ -165,6 +165,7 @@ def _cutter(path: str):
                     rows.append((doc_id, start, n, zlib.crc32(raw[4 * start : 4 * (start + n)]), len(ids)))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            pa.default_memory_pool().release_unused()
 
     return run
 
