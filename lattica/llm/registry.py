@@ -8,7 +8,7 @@ from lattica.llm.packing import op7_packing
 from lattica.llm.sharding import op8_sharding
 from lattica.llm.simhash import op1_simhash
 from lattica.llm.spotsigs import op6_spotsigs
-from lattica.llm.substrings import OP10_SQL, op10_substring_dedup
+from lattica.llm.substrings import OP10_SQL, op10_substring_dedup, op10_whole_lines
 from lattica.llm.toxicity import op9_toxicity
 
 QUERIES = {
@@ -22,6 +22,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
+    "op10_whole_lines": op10_whole_lines,
 }
 ORACLE_SQL: dict[str, str] = {
     "op3_chat_rotation": OP3_SQL,

@@ -6,7 +6,12 @@ empty lines). Units are normalised (lower case, single blanks) and hashed to
 128 bits. Digests are grouped globally; the earliest occurrence, by document
 id and place, stays, and each other one is marked. Neighbouring marked units
 form one run, and runs of at least ``MIN_WORDS`` words are removed: a short
-phrase that many texts share by chance is no copied passage.
+phrase that many texts share by chance is no copied passage. A whole line or
+paragraph of ``WHOLE_WORDS`` words that occurs earlier is removed whatever the
+length of its run.
+
+``op10_whole_lines`` is this whole rule. ``op10_substring_dedup`` has the run
+rule alone, as its SQL has it.
 
 Digests are counted with partial aggregates before the shuffle, so a unit that
 holds a third of all rows is a row per task; the join back is split by AQE.
@@ -25,8 +30,10 @@ from pyspark.sql.window import Window
 from lattica.llm.common import read
 
 MIN_WORDS = 25
+#: A repeated whole line or paragraph goes from so many words on.
+WHOLE_WORDS = 5
 #: Patterns whose matches, end to end, are the whole text.
-UNITS = {"line": r"[^.!?\n]+[.!?]*\s*|[.!?\n]+\s*", "paragraph": r"(?:[^\n]+\n?)+\s*|\s+"}
+UNITS = {"line": r"[^.!?\n]+[.!?]*\s*|[.!?\n]+\s*", "paragraph": r"(?:[^\n]+\n?)+\s*|\s+", "whole": r"[^\n]+\s*|\s+"}
 #: Elements that a running sum adds up directly.
 STRIDE = 32
 
@@ -51,19 +58,41 @@ def units(docs: DataFrame, kind: str = "line") -> DataFrame:
     return rows.select("doc_id", "pos", "start", "chars", words.alias("words"), F.xxhash64("plain").alias("h1"), F.xxhash64(F.lit(1), "plain").alias("h2"))
 
 
-def repeats(docs: DataFrame, kind: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
-    """Removed runs: ``(doc_id, start, end, units, words, first_doc_id)``; ``first_doc_id`` keeps the earliest of its units."""
-    every = units(docs, kind)
+def _later(every: DataFrame) -> DataFrame:
+    """The units that occur earlier, with ``first_doc_id``."""
     twice = every.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc_id"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     marked = every.join(twice.drop("n"), ["h1", "h2"]).repartition("doc_id")
     same = Window.partitionBy("doc_id", "h1", "h2").orderBy("pos")
     # Of the document that has a unit first, its first place stays.
-    later = marked.withColumn("_nth", F.row_number().over(same)).filter("doc_id > first_doc_id or _nth > 1")
-    run = later.withColumn("_run", F.col("pos") - F.row_number().over(Window.partitionBy("doc_id").orderBy("pos")))
-    spans = run.groupBy("doc_id", "_run").agg(
+    return marked.withColumn("_nth", F.row_number().over(same)).filter("doc_id > first_doc_id or _nth > 1")
+
+
+def _spans(units: DataFrame) -> DataFrame:
+    """Neighbouring units as one span."""
+    run = units.withColumn("_run", F.col("pos") - F.row_number().over(Window.partitionBy("doc_id").orderBy("pos")))
+    return run.groupBy("doc_id", "_run").agg(
         F.min("start").alias("start"), F.max(F.col("start") + F.col("chars")).alias("end"), F.count(F.lit(1)).alias("units"), F.sum("words").cast("long").alias("words"), F.min("first_doc_id").alias("first_doc_id")
-    )
-    return spans.filter(F.col("words") >= min_words).drop("_run")
+    ).drop("_run")
+
+
+def repeats(docs: DataFrame, kind: str = "line", min_words: int = MIN_WORDS, whole_words: int | None = WHOLE_WORDS) -> DataFrame:
+    """Removed runs: ``(doc_id, start, end, units, words, first_doc_id)``; ``first_doc_id`` keeps the earliest of its units.
+
+    ``whole_words`` is the floor of repeated whole lines and paragraphs; without it they count as other units do.
+    """
+    later = _later(units(docs, kind))
+    if whole_words is None:
+        return _spans(later).filter(F.col("words") >= min_words)
+    # All units of a repeated line are repeated as well, so its span is made up of them.
+    whole = _later(units(docs, "whole")) if kind == "line" else later
+    until = whole.filter(F.col("words") >= whole_words).select("doc_id", "start", (F.col("start") + F.col("chars")).alias("_until"))
+    own = later.withColumn("_run", F.col("pos") - F.row_number().over(Window.partitionBy("doc_id").orderBy("pos")))
+    own = own.withColumn("_total", F.sum("words").over(Window.partitionBy("doc_id", "_run")))
+    both = own.select("doc_id", "start", "pos", "chars", "words", "first_doc_id", "_total").unionByName(until, allowMissingColumns=True)
+    # A line stands before the units that begin where it begins.
+    reach = F.max("_until").over(Window.partitionBy("doc_id").orderBy("start", F.col("pos").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+    gone = both.withColumn("_reach", reach).filter("pos is not null").filter((F.col("_total") >= min_words) | (F.col("start") < F.col("_reach")))
+    return _spans(gone)
 
 
 def remove(docs: DataFrame, spans: DataFrame) -> DataFrame:
@@ -77,6 +106,10 @@ def remove(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats(read(spark, sf_dir, "documents"), whole_words=None)
+
+
+def op10_whole_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats(read(spark, sf_dir, "documents"))
 
 

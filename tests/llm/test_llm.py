@@ -397,6 +397,14 @@ def test_passages(spark):
     assert texts[1][got[1]["start"] : got[1]["end"]] not in cut[1]["text"]
 
 
+def test_whole_lines_go(spark):
+    texts = ["six words stand in this line\nfour words stay here", "a new start. six words stand in this line\nother text\nSix words  stand in this line\nfour words stay here\nanother end", "One here. And two there.\nx\nOne here. And two there.", "a first part.\n\none more paragraph of six words\n", "b\n\none more paragraph of six words\n"]
+    docs = frame(spark, texts)
+    for kind, want in (("line", [None, "a new start. six words stand in this line\nother text\nfour words stay here\nanother end", "One here. And two there.\nx\n", None, "b\n\n"]), ("paragraph", [None, None, None, None, "b\n\n"])):
+        got = {r["doc_id"]: r["text"] for r in substrings.remove(docs, substrings.repeats(docs, kind)).collect()}
+        assert got == {i: t if w is None else w for i, (t, w) in enumerate(zip(texts, want))}
+
+
 def test_units_brute_force(spark, texts):
     import re
 
