@@ -6,14 +6,17 @@ words inside a sentence). A window of ``WINDOW`` tokens is a template in which
 a slot carries its type and the place of its value's first occurrence in the
 window, so two windows share a template exactly if their slots hold consistent
 values under a renaming: a question asked anew with other numbers and names is
-found, one whose slots don't correspond isn't. Over all windows of a document
-and an item, the values of an item's slots are then paired with the document's:
-the share of values to pairs is the match's consistency, 1 if each value of the
-item stands for one value throughout.
+found, one whose slots don't correspond isn't. The values of an item's slots
+are then paired with the document's, once over all windows and once for each
+occurrence (windows at one distance between document and item): the share of
+values to pairs is the match's consistency, 1 if each value of the item stands
+for one value throughout. Values that an occurrence doesn't hold count as pairs
+that disagree, and the best of these shares holds.
 
 Templates are hashed and joined with the benchmark's. A document is taken to
 hold an item if it has at least ``COVERAGE`` of the item's distinct windows,
-with a consistency of ``CONSISTENCY`` where the item has slots.
+with a consistency of ``CONSISTENCY`` where the item has slots; if windows
+enough match with the same values, the document holds it verbatim, consistency 1.
 Items of 5 to 7 tokens are one window of their own length; shorter ones, and
 windows with fewer than four plain words, prove nothing and are passed over.
 
@@ -93,15 +96,15 @@ def templates(rows: DataFrame, key: str, lengths: list[int]) -> DataFrame:
 
 
 def slots(rows: DataFrame, key: str, lengths: list[int]) -> DataFrame:
-    """``(key, h, v)``: the windows with slots, their template and the slots' values in order."""
-    found = rows.filter("text is not null").select(key, words(F.col("text").cast("string")).alias("w")).select(key, canonical("w").alias("t"))
+    """``(key, th, at, h, v)``: the windows with slots, their text's hash, place and template, and the slots' values in order."""
+    found = rows.filter("text is not null").select(key, F.xxhash64(F.col("text").cast("string")).alias("th"), words(F.col("text").cast("string")).alias("w")).select(key, "th", canonical("w").alias("t"))
     found = found.withColumn("slots", F.exists("t", _slot)).filter("slots")
     size, none = F.size("t"), F.array().cast("array<int>")
     out = None
     for n in lengths:
         starts = F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(none)
-        one = found.select(key, F.explode(F.arrays_zip(_templates(starts, n).alias("h"), F.transform(starts, lambda i: F.filter(F.slice("t", i, F.lit(n)), _slot)).alias("v"))).alias("x"))
-        one = one.select(key, "x.h", "x.v").filter("h is not null and size(v) > 0")
+        one = found.select(key, "th", F.explode(F.arrays_zip(starts.alias("at"), _templates(starts, n).alias("h"), F.transform(starts, lambda i: F.filter(F.slice("t", i, F.lit(n)), _slot)).alias("v"))).alias("x"))
+        one = one.select(key, "th", "x.at", "x.h", "x.v").filter("h is not null and size(v) > 0")
         out = one if out is None else out.union(one)
     return out
 
@@ -130,10 +133,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, con
     # Values are compared in the documents that hold an item with slots; only their texts are read apart again.
     open_pairs = held.join(asked.select("item_id").distinct(), "item_id", "left_semi").select("doc_id", "item_id")
     own = slots(docs.join(joinable(open_pairs.select("doc_id").distinct(), 1_000_000), "doc_id", "left_semi").select("doc_id", "text"), "doc_id", lengths)
-    met = own.distinct().join(open_pairs, "doc_id").join(asked.withColumnRenamed("v", "a"), ["item_id", "h"])
-    values = met.select("doc_id", "item_id", F.explode(F.arrays_zip("a", "v")).alias("x")).select("doc_id", "item_id", "x.a", "x.v").distinct()
-    agreed = values.groupBy("doc_id", "item_id").agg((F.countDistinct("a") / F.count(F.lit(1))).alias("consistency"))
-    return held.join(agreed, ["doc_id", "item_id"], "left").withColumn("consistency", F.coalesce("consistency", F.lit(1.0))).filter(F.col("consistency") >= consistency)
+    met = own.distinct().join(open_pairs, "doc_id").join(asked.select("item_id", F.col("at").alias("i"), "h", F.col("v").alias("a")), ["item_id", "h"])
+    met = cut(met.select("doc_id", "item_id", "th", (F.col("at") - F.col("i")).alias("off"), "h", "a", "v"), "met")
+    pair = ["doc_id", "item_id"]
+    values = met.select(*pair, "th", "off", F.explode(F.arrays_zip("a", "v")).alias("x")).select(*pair, "th", "off", "x.a", "x.v").distinct()
+    share = F.countDistinct("a").alias("na"), F.count(F.lit(1)).alias("np")
+    overall = values.select(*pair, "a", "v").distinct().groupBy(*pair).agg(*share)
+    each = values.groupBy(*pair, "th", "off").agg(*share).join(overall.select(*pair, F.col("na").alias("all")), pair)
+    best = each.groupBy(*pair).agg(F.max(F.col("na") / (F.col("np") + F.col("all") - F.col("na"))).alias("best"))
+    # Windows without slots match verbatim, and so do those with the same values.
+    same = met.groupBy(*pair).agg((F.countDistinct("h") - F.countDistinct(F.when(F.col("a") == F.col("v"), F.col("h")))).alias("other"))
+    agreed = overall.select(*pair, (F.col("na") / F.col("np")).alias("overall")).join(best, pair).join(same, pair)
+    judged = held.join(agreed, pair, "left")
+    verbatim = F.col("matched") - F.col("other") >= coverage * F.col("windows")
+    value = F.when(F.col("other").isNull() | ((F.col("matched") > F.col("other")) & verbatim), 1.0).otherwise(F.greatest("overall", "best"))
+    return judged.select(*pair, "matched", "windows", value.alias("consistency")).filter(F.col("consistency") >= consistency)
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

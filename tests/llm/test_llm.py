@@ -149,6 +149,17 @@ def test_templates_and_slots(spark):
     assert got[0, 0]["consistency"] == got[4, 2]["consistency"] == got[5, 3]["consistency"] == 1.0 > got[6, 3]["consistency"] > 0.5
 
 
+def test_repeated_items_and_patterns_are_found(spark):
+    ask = "a tram leaves with {} riders and then goes on for {} long minutes before it counts {} riders again at the depot"
+    same = " ".join(f"add {k} apples to the big red box." for k in (3, 4, 5, 6))
+    bench = spark.createDataFrame([(0, ask.format(40, 45, 40)), (1, same)], "item_id long, text string")
+    variants = [ask.format(a, b, a) for a, b in ((40, 45), (7, 8), (11, 12), (13, 14), (15, 16))]
+    mixed = " ".join(["a tram leaves with 8 riders and then goes on for 7 long minutes before it counts", "it counts 9 riders again at the depot"])
+    texts = [". so ".join(variants), ". so ".join(variants[1:]), f"before. {same} after it all", mixed, "nothing of the kind in these plain words of a text"]
+    got = {(r["doc_id"], r["item_id"]): r["consistency"] for r in decontaminate.leaks(frame(spark, texts), bench).collect()}
+    assert {(0, 0), (1, 0), (2, 1)} <= set(got) and got[0, 0] == got[1, 0] == got[2, 1] == 1.0 and not any(d == 4 for d, _ in got)
+
+
 def test_leaks_brute_force(spark, texts):
     import regex
 
