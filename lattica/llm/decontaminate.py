@@ -17,8 +17,11 @@ Templates are hashed and joined with the benchmark's. A document is taken to
 hold an item if it has at least ``COVERAGE`` of the item's distinct windows,
 with a consistency of ``CONSISTENCY`` where the item has slots; if windows
 enough match with the same values, the document holds it verbatim, consistency 1.
-Items of 5 to 7 tokens are one window of their own length; shorter ones, and
-windows with fewer than four plain words, prove nothing and are passed over.
+Items of 5 to 7 tokens are one window of their own length. A window with fewer
+than four plain words is too weak a template and stands for its tokens as they
+are, whatever their types. Coverage is of all windows, or of those that are
+templates, so that an item asked anew is found although its weak windows differ.
+Shorter items prove nothing; ``unsearchable`` lists them.
 
 The benchmark's windows are broadcast only if they are counted to be few; else
 the join is shuffled. Matches are aggregated before they are shuffled.
@@ -64,34 +67,39 @@ def canonical(column: str) -> Column:
 
     def token(t: Column, i: Column) -> Column:
         unit = t.isin(MEASURES) & (i > 0) & number(F.get(column, i - 1))
-        return F.when(number(t), _tagged(t, NUMBER)).when(t.startswith(SLOT), _tagged(t, NAME)).when(unit, _tagged(t, UNIT)).otherwise(_tagged(t, PLAIN))
+        return F.when(number(t), _tagged(t, NUMBER)).when(t.startswith(SLOT), _tagged(F.ltrim(t, F.lit(SLOT)), NAME)).when(unit, _tagged(t, UNIT)).otherwise(_tagged(t, PLAIN))
 
     return F.transform(column, token)
 
 
+def _untyped(tokens: Column) -> Column:
+    return F.transform(tokens, lambda t: t.bitwiseAND(F.lit(~7).cast("long")))
+
+
 def _slot(token: Column) -> Column:
     return token.bitwiseAND(F.lit(7).cast("long")) != PLAIN
 
 
-def _templates(starts: Column, n: int) -> Column:
-    """Hashes of the windows of ``n`` tokens of ``t`` at ``starts``; null where too few words are plain."""
+def _templates(starts: Column, n: int, weak: bool = True) -> Column:
+    """Hashes of the windows of ``n`` tokens of ``t`` at ``starts``; where too few words are plain, of the tokens as they are, null if not ``weak``."""
     window = lambda i: F.slice("t", i, F.lit(n))
 
     def slotted(i: Column) -> Column:
         w = window(i)
         place = lambda t: t.bitwiseAND(F.lit(7).cast("long")) + F.array_position(w, t) * 8
         filled = F.transform(w, lambda t: F.when(_slot(t), place(t)).otherwise(t))
-        return F.when(~F.exists(w, _slot), F.xxhash64(w)).when(F.size(F.filter(w, lambda t: ~_slot(t))) >= PLAIN_WORDS, F.xxhash64(filled))
+        out = F.when(~F.exists(w, _slot), F.xxhash64(w)).when(F.size(F.filter(w, lambda t: ~_slot(t))) >= PLAIN_WORDS, F.xxhash64(filled))
+        return out.otherwise(F.xxhash64(_untyped(w))) if weak else out
 
     return F.when(F.col("slots"), F.transform(starts, slotted)).otherwise(F.transform(starts, lambda i: F.xxhash64(window(i))))
 
 
-def templates(rows: DataFrame, key: str, lengths: list[int]) -> DataFrame:
+def templates(rows: DataFrame, key: str, lengths: list[int], weak: bool = True) -> DataFrame:
     """``(key, n, h)``: distinct template hashes of the windows of the given lengths of ``rows(key, text)``, n tokens in all."""
     found = rows.filter("text is not null").select(key, words(F.col("text").cast("string")).alias("w")).select(key, canonical("w").alias("t"))
     found = found.withColumn("slots", F.exists("t", _slot))
     size, none = F.size("t"), F.array().cast("array<int>")
-    each = [_templates(F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(none), n) for n in lengths]
+    each = [_templates(F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(none), n, weak) for n in lengths]
     return found.select(key, size.alias("n"), F.explode(F.array_distinct(F.concat(*each))).alias("h")).filter("h is not null")
 
 
@@ -103,29 +111,37 @@ def slots(rows: DataFrame, key: str, lengths: list[int]) -> DataFrame:
     out = None
     for n in lengths:
         starts = F.when(size >= n, F.sequence(F.lit(1), size - n + 1)).otherwise(none)
-        one = found.select(key, "th", F.explode(F.arrays_zip(starts.alias("at"), _templates(starts, n).alias("h"), F.transform(starts, lambda i: F.filter(F.slice("t", i, F.lit(n)), _slot)).alias("v"))).alias("x"))
+        one = found.select(key, "th", F.explode(F.arrays_zip(starts.alias("at"), _templates(starts, n, weak=False).alias("h"), F.transform(starts, lambda i: F.filter(F.slice("t", i, F.lit(n)), _slot)).alias("v"))).alias("x"))
         one = one.select(key, "th", "x.at", "x.h", "x.v").filter("h is not null and size(v) > 0")
         out = one if out is None else out.union(one)
     return out
 
 
+def unsearchable(benchmark: DataFrame) -> DataFrame:
+    """``(item_id, n)``: items of fewer than ``SHORTEST`` tokens, which are not searched for, and how many they have."""
+    return benchmark.select("item_id", F.coalesce(F.size(words(F.col("text").cast("string"))), F.lit(0)).alias("n")).filter(F.col("n") < SHORTEST)
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, consistency: float = CONSISTENCY) -> DataFrame:
     """``(doc_id, item_id, matched, windows, consistency)`` for every document that holds an item."""
     items = benchmark.filter("text is not null").groupBy("item_id").agg(F.max("text").alias("text"))
     sizes = items.select(F.size(words(F.col("text"))).alias("n"))
     short = sorted(r["n"] for r in sizes.filter(F.col("n").between(SHORTEST, WINDOW - 1)).distinct().collect())
-    parts = [templates(items, "item_id", [WINDOW]).select("item_id", "h")]
-    parts += [templates(items, "item_id", [n]).filter(F.col("n") == n).select("item_id", "h") for n in short]
-    wanted = parts[0]
-    for more in parts[1:]:
-        wanted = wanted.union(more)
+    searched = [(n, items if n == WINDOW else items.filter(F.size(words(F.col("text"))) == n)) for n in [WINDOW, *short]]
+    wanted = None
+    for n, rows in searched:
+        strong = templates(rows, "item_id", [n], weak=False).select("item_id", "h", F.lit(True).alias("strong"))
+        part = templates(rows, "item_id", [n]).select("item_id", "h").join(strong, ["item_id", "h"], "left").withColumn("strong", F.coalesce("strong", F.lit(False)))
+        wanted = part if wanted is None else wanted.union(part)
     wanted = cut(wanted, "templates")
-    totals = wanted.groupBy("item_id").agg(F.count(F.lit(1)).alias("windows"))
+    of = lambda name: (F.count(F.lit(1)).alias(name), F.count(F.when(F.col("strong"), 1)).alias(f"{name}_strong"))
+    totals = wanted.groupBy("item_id").agg(*of("windows"))
     # Matching starts with the distinct hashes; a hash that many items share fans out after that.
     hashes, lengths = wanted.select("h").distinct(), [WINDOW, *short]
     hit = templates(docs.select("doc_id", "text"), "doc_id", lengths).join(joinable(hashes, 1_000_000), "h", "left_semi").select("doc_id", "h").distinct()
-    pairs = hit.join(wanted, "h").groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("matched"))
-    held = pairs.join(totals, "item_id").filter(F.col("matched") >= coverage * F.col("windows")).select("doc_id", "item_id", "matched", "windows")
+    pairs = hit.join(wanted, "h").groupBy("doc_id", "item_id").agg(*of("matched"))
+    enough = lambda kind: F.col(f"matched{kind}") >= coverage * F.col(f"windows{kind}")
+    held = pairs.join(totals, "item_id").filter(enough("") | (F.col("matched_strong") > 0) & enough("_strong")).select("doc_id", "item_id", "matched", "windows")
     asked = slots(items, "item_id", lengths)
     if asked.isEmpty():
         return held.withColumn("consistency", F.lit(1.0))

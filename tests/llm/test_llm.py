@@ -160,6 +160,15 @@ def test_repeated_items_and_patterns_are_found(spark):
     assert {(0, 0), (1, 0), (2, 1)} <= set(got) and got[0, 0] == got[1, 0] == got[2, 1] == 1.0 and not any(d == 4 for d, _ in got)
 
 
+def test_items_of_numbers_and_names_are_found(spark):
+    items = ["12 + 13 = 25, 14 + 15 = 29, 16 + 17 = 33", "the Battle Of Hastings And The Norman Conquest Of England", "5 7 9 11 13", "two words", None, "add 4 apples and then 5 pears and then wait 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20 21 22"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [f"some words before {items[0]} and after", f"they say, {items[1]} was long ago", f"so {items[2]} it is", "12 + 13 = 26, 14 + 15 = 30, 16 + 17 = 34", "two words and more", items[5][40:], "add 6 apples and then 8 pears and then wait 1 1 1 1"]
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(frame(spark, texts), bench).collect()}
+    assert got == {(0, 0), (1, 1), (2, 2), (5, 5), (6, 5)}
+    assert {(r["item_id"], r["n"]) for r in decontaminate.unsearchable(bench).collect()} == {(3, 2), (4, 0)}
+
+
 def test_leaks_brute_force(spark, texts):
     import regex
 
