@@ -14,8 +14,9 @@ A task emits a spanning forest of its links, never all pairs of a group.
 
 At a stated likeness of word shingles (``near_copies``) SimHash bits give no
 guarantee: at 0.8 some 15 % of them differ, and hardly a byte stays whole. The
-same index, tally and verification then work on min-wise fingerprints, whose
-bytes agree as often as the texts are alike.
+same index and tally then work on min-wise fingerprints, whose bytes agree as
+often as the texts are alike; candidates are verified on their whole sets of
+shingle hashes.
 
 Defined results: null, empty or blank texts have fingerprint zero and link
 like any other; texts of one or two words hash the whole word sequence;
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.llm.common import components, cut, read
+from lattica.llm.common import components, cut, joinable, read
 
 POSITIONS = 8
 MAX_BITS = 3
@@ -194,8 +195,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return marked.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-#: Positional bytes of a min-wise fingerprint; the smallest hashes that are kept beside them.
-MIN_BYTES, SMALLEST = 256, 128
+#: Positional bytes of a min-wise fingerprint; sets of so many shingles are compared without a tally.
+MIN_BYTES, SMALL = 256, 128
+#: Shingle hashes that a block of a posting list has about.
+LIST_HASHES = 1 << 20
+#: Sets that are handed on at once.
+SET_ROWS = 256
 #: Posting lists: so many, each keyed by so many positional bytes.
 LISTS, LIST_BYTES = 20, 5
 
@@ -214,10 +219,10 @@ def shingle_hashes(text: bytes | None, width: int) -> np.ndarray:
 
 
 def min_print(hashes: np.ndarray, donors: np.ndarray) -> bytes:
-    """Min-wise bytes by one permutation, empty places filled from donors; then the smallest remixed hashes."""
+    """Min-wise bytes by one permutation, empty places filled from donors."""
     out = np.zeros(MIN_BYTES, np.uint8)
     if not len(hashes):
-        return out.tobytes() + b"\xff" * 4 * SMALLEST
+        return out.tobytes()
     place = (hashes >> np.uint64(56)).astype(np.int64)
     first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
     filled = np.zeros(MIN_BYTES, bool)
@@ -226,8 +231,7 @@ def min_print(hashes: np.ndarray, donors: np.ndarray) -> bytes:
     empty = np.flatnonzero(~filled)
     if len(empty):
         out[empty] = out[donors[empty, filled[donors[empty]].argmax(1)]]
-    mixed = np.sort(((hashes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32))[:SMALLEST]
-    return out.tobytes() + np.r_[mixed, np.full(SMALLEST - len(mixed), 0xFFFFFFFF, np.uint32)].astype("<u4").tobytes()
+    return out.tobytes()
 
 
 def _donors() -> np.ndarray:
@@ -239,28 +243,44 @@ def _min_prints(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         donors = _donors()
         for batch in batches:
-            hashes = [shingle_hashes(t.as_py(), width) for t in batch.column(1).cast(pa.binary())]
-            prints = [min_print(h, donors) for h in hashes]
-            marks = np.fromiter((xxhash.xxh64_intdigest(p, SEED) for p in prints), np.uint64, len(prints)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks), pa.array([len(h) for h in hashes], pa.int32()), pa.array(prints, pa.binary())], ["doc_id", "fp", "n", "print"])
+            marks, sizes, prints = [], [], []
+            for t in batch.column(2).cast(pa.binary()):
+                hashes = shingle_hashes(t.as_py(), width)
+                marks.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
+                sizes.append(len(hashes))
+                prints.append(min_print(hashes, donors))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(marks, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(prints, pa.binary())], ["rid", "doc_id", "fp", "n", "print"])
 
     return run
 
 
-def likeness(a: np.ndarray, na: int, b: np.ndarray, nb: int) -> float:
-    """Likeness of two shingle sets from their prints: exact for small sets, else the mean of two estimates."""
-    x, y = (p[MIN_BYTES:].copy().view("<u4") for p in (a, b))
-    x, y = x[: min(na, SMALLEST)], y[: min(nb, SMALLEST)]
-    small = max(na, nb) <= SMALLEST
-    union = np.union1d(x, y)[: None if small else SMALLEST]
-    lowest = float((np.isin(union, x, assume_unique=True) & np.isin(union, y, assume_unique=True)).sum() / max(1, len(union)))
-    bytewise = ((a[:MIN_BYTES] == b[:MIN_BYTES]).mean() - 1 / 256) / (1 - 1 / 256)
-    return lowest if small else (lowest + bytewise) / 2
+def _sets(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        donors = _donors()
+        for batch in batches:
+            for at in range(0, batch.num_rows, SET_ROWS):
+                part = batch.slice(at, SET_ROWS)
+                sets = [shingle_hashes(t.as_py(), width) for t in part.column(2).cast(pa.binary())]
+                prints = [min_print(h, donors) for h in sets]
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(prints, pa.binary()), pa.array([h.tobytes() for h in sets], pa.binary())], ["fp", "n", "print", "hashes"])
+
+    return run
+
+
+def likeness(a: np.ndarray, b: np.ndarray) -> float:
+    """Likeness of two sets of shingle hashes, each sorted and distinct."""
+    if len(a) > len(b):
+        a, b = b, a
+    if not len(a):
+        return float(not len(b))
+    common = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+    return common / (len(a) + len(b) - common)
 
 
 def _near_forest(table: dict[str, np.ndarray], similarity: float) -> tuple[list[int], list[int]]:
-    """As ``_forest``, for prints: shared bytes are tallied for each pair of a run, kept ones verified."""
+    """As ``_forest``, for prints: shared bytes are tallied for each pair of a run, kept ones verified on their sets."""
     same, prints, sizes, n = table["same"], table["prints"], table["n"], len(table["n"])
+    whole = lambda i: np.frombuffer(table["hashes"][int(i)].as_buffer(), np.uint64)
     parent = np.arange(n)
 
     def find(i: int) -> int:
@@ -285,10 +305,11 @@ def _near_forest(table: dict[str, np.ndarray], similarity: float) -> tuple[list[
         todo = todo[np.minimum(sizes[todo], sizes[todo + step]) >= similarity * np.maximum(sizes[todo], sizes[todo + step])]
         for k in range(0, len(todo), 4096):
             part = todo[k : k + 4096]
-            shared = (prints[part, :MIN_BYTES] == prints[part + step, :MIN_BYTES]).sum(1)
-            for i in part[shared >= enough]:
+            shared = (prints[part] == prints[part + step]).sum(1)
+            # The bytes of small sets are too few draws to tell.
+            for i in part[(shared >= enough) | (np.maximum(sizes[part], sizes[part + step]) <= SMALL)]:
                 a, b = find(int(i)), find(int(i) + step)
-                if a != b and likeness(prints[i], sizes[i], prints[i + step], sizes[i + step]) >= similarity:
+                if a != b and likeness(whole(i), whole(i + step)) >= similarity:
                     parent[max(a, b)] = min(a, b)
                     left.append(int(i))
                     right.append(int(i) + step)
@@ -296,14 +317,14 @@ def _near_forest(table: dict[str, np.ndarray], similarity: float) -> tuple[list[
 
 
 def _near_tally(similarity: float):
-    """Over rows ``(k1, k2, fp, n, print)`` sorted by list; a list may go on in the next batch."""
+    """Over rows ``(k1, k2, fp, n, print, hashes)`` sorted by list; a list may go on in the next batch."""
 
     def links(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(batches)
         k1, k2, fp = (rows.column(k).to_numpy() for k in range(3))
         prints = np.frombuffer(b"".join(rows.column(4).to_pylist()), np.uint8).reshape(len(fp), -1)
         same = np.cumsum(np.r_[False, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])])
-        i, j = _near_forest({"same": same, "prints": prints, "n": rows.column(3).to_numpy()}, similarity)
+        i, j = _near_forest({"same": same, "prints": prints, "n": rows.column(3).to_numpy(), "hashes": rows.column(5)}, similarity)
         return pa.RecordBatch.from_arrays([pa.array(fp[i], pa.int64()), pa.array(fp[j], pa.int64())], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,28 +348,35 @@ def _near_tally(similarity: float):
     return run
 
 
-def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, list_rows: int = LIST_ROWS) -> DataFrame:
-    """``(doc_id, component_id)`` of every row: groups of texts alike in their shingles of ``width`` words.
-
-    Likeness comes from prints: exact for two sets of up to 128 shingles, else with a standard error of about 0.02.
-    """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marked = cut(rows.mapInArrow(_min_prints(width), "doc_id long, fp long, n int, print binary"), "prints")
-    first = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("print").alias("print")), "reps")
+def near_groups(rows: DataFrame, width: int = 5, similarity: float = 0.8, list_rows: int = LIST_ROWS) -> DataFrame:
+    """``(rid, doc_id, root)`` of every row of ``rows(rid, doc_id, text)``, written with ids of their own: groups of texts alike in their shingles."""
+    rows = rows.select("rid", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    marked = cut(rows.mapInArrow(_min_prints(width), "rid long, doc_id long, fp long, n int, print binary"), "prints")
+    first = cut(marked.groupBy("fp").agg(F.min("rid").alias("rid"), F.first("n").alias("n"), F.first("print").alias("print")), "reps")
     key = lambda k: F.conv(F.hex(F.substring("print", k * LIST_BYTES + 1, LIST_BYTES)), 16, 10).cast("long")
-    index = first.select("fp", F.inline(F.array(*[F.struct(F.lit(k).cast("long").alias("k1"), key(k).alias("k2")) for k in range(LISTS)])))
-    sized = index.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    lists = cut(index.join(sized, ["k1", "k2"]), "lists")
-    blocks = F.ceil(F.col("m") / F.lit(list_rows // 2)).cast("long")
+    index = first.select("fp", "n", F.inline(F.array(*[F.struct(F.lit(k).cast("long").alias("k1"), key(k).alias("k2")) for k in range(LISTS)])))
+    sized = index.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("w")).filter("m > 1")
+    lists = cut(index.drop("n").join(sized, ["k1", "k2"]), "lists")
+    # Whole sets are made again for the texts in lists alone.
+    listed = first.join(lists.select("fp").distinct(), "fp", "left_semi").select("fp", "n", "rid")
+    sets = cut(rows.select("rid", "text").join(joinable(listed, 1_000_000), "rid").select("fp", "n", "text").mapInArrow(_sets(width), "fp long, n int, print binary, hashes binary"), "sets")
+    blocks = F.greatest(F.ceil(F.col("m") / F.lit(list_rows // 2)), F.ceil(F.col("w") / F.lit(LIST_HASHES))).cast("long")
     own = F.pmod(F.xxhash64("fp"), blocks)
-    pairs = F.when(F.col("m") <= list_rows, F.array(F.lit(-1).cast("long"))).otherwise(F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda o: F.least(o, own) * blocks + F.greatest(o, own)))
+    alone = (F.col("m") <= list_rows) & (F.col("w") <= 2 * LIST_HASHES)
+    pairs = F.when(alone, F.array(F.lit(-1).cast("long"))).otherwise(F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda o: F.least(o, own) * blocks + F.greatest(o, own)))
     dealt = lists.select("k1", "k2", "fp", F.explode(pairs).alias("p")).select((F.col("k1") + LISTS * (F.col("p") + 1)).alias("k1"), "k2", "fp")
-    rows = dealt.join(first.select("fp", "n", "print"), "fp").select("k1", "k2", "fp", "n", "print")
-    edges = rows.repartition("k1", "k2").sortWithinPartitions("k1", "k2", "fp").mapInArrow(_near_tally(similarity), "a long, b long")
+    joined = dealt.join(sets, "fp").select("k1", "k2", "fp", "n", "print", "hashes")
+    edges = joined.repartition("k1", "k2").sortWithinPartitions("k1", "k2", "fp").mapInArrow(_near_tally(similarity), "a long, b long")
     roots = components(edges)
-    known = first.select("fp", "first_id").join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lowest = known.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return marked.select("doc_id", "fp").join(known.join(lowest, "root").select("fp", "component_id"), "fp").select("doc_id", "component_id")
+    return marked.select("rid", "doc_id", "fp").join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("rid", "doc_id", F.coalesce("root", "fp").alias("root"))
+
+
+def near_copies(docs: DataFrame, width: int = 5, similarity: float = 0.8, list_rows: int = LIST_ROWS) -> DataFrame:
+    """``(doc_id, component_id)`` of every row: groups of texts alike in their shingles of ``width`` words."""
+    rows = cut(docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text"), "rows")
+    groups = near_groups(rows, width, similarity, list_rows)
+    lowest = groups.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return groups.join(lowest, "root").select("doc_id", "component_id")
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

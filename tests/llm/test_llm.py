@@ -131,6 +131,28 @@ def test_near_copies(spark):
         assert got[80] == got[81] == 80 and got[82] == got[83] == 82
 
 
+def test_near_copies_brute_force(spark):
+    draw = np.random.default_rng(5)
+    texts = []
+    for k in range(60):
+        t = [f"w{x}" for x in draw.integers(0, 50_000, 400)]
+        u = list(t)
+        # Each change takes five of 396 shingles: likeness from 0.75 to 0.85.
+        for at in np.linspace(10, 390, 7 + k % 6).astype(int):
+            u[at] = "changed"
+        texts += [" ".join(t), " ".join(u)]
+    sets = [{" ".join(w[i : i + 5]) for w in [t.split()] for i in range(len(w) - 4)} for t in texts]
+    alike = [len(a & b) / len(a | b) for a, b in zip(sets[::2], sets[1::2])]
+    assert min(alike) < 0.79 and max(alike) > 0.81 and any(0.78 < x < 0.8 for x in alike)
+    for hashes in (1 << 20, 500):
+        simhash.LIST_HASHES, was = hashes, simhash.LIST_HASHES
+        try:
+            got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(frame(spark, texts)).collect()}
+        finally:
+            simhash.LIST_HASHES = was
+        assert [got[2 * k + 1] == 2 * k for k in range(60)] == [x >= 0.8 for x in alike]
+
+
 # 2
 def test_templates_and_slots(spark):
     bench = spark.createDataFrame([(0, "A train with 120 people counts 120 seats before Alice travels for 45 minutes to the hall"), (1, "tiny one"), (2, "exactly seven plain words are here now"), (3, "A tram leaves with 40 riders and then goes on for 45 long minutes before it counts 40 riders again at the depot")], "item_id long, text string")
