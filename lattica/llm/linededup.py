@@ -123,8 +123,9 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def remove(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``docs`` without the spans and the line ends that follow them; ``left`` tells whether lines remain."""
-    lists = spans.groupBy("doc_id", "th").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cut"))
-    joined = docs.withColumn("th", F.xxhash64(F.col("text").cast("string"))).join(lists, ["doc_id", "th"], "left")
+    lists = spans.groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cut"))
+    joined = docs.withColumn("th", F.xxhash64(F.col("text").cast("string")))
+    joined = joined.join(lists, joined["doc_id"].eqNullSafe(lists["_id"]) & (joined["th"] == lists["_th"]), "left").drop("_id", "_th")
     zero = F.lit(0).cast("long")
     edges = F.concat(F.array(F.struct(zero.alias("start"), zero.alias("end"))), F.transform("_cut", lambda e: F.struct(e["start"].alias("start"), (e["end"] + 1).alias("end"))))
     upto = lambda i: F.coalesce(F.get("_cut", i)["start"], F.length("text").cast("long"))

@@ -31,3 +31,21 @@ def test_near_and_leaking_documents_go(spark):
     item = spark.read.parquet(f"{DATA}/benchmark.parquet").first()["text"]
     leak = docs.union(spark.createDataFrame([(99, f"{clean[1]} {item} {clean[2]}", "en", "s", 1)], docs.schema))
     assert {r["doc_id"] for r in corpus_pipeline.benchmark(spark, leak, DATA).collect()} == set(range(12))
+
+
+def test_null_and_repeated_ids(spark):
+    draw = np.random.default_rng(1)
+    prose = lambda n=120: " ".join(f"w{x}" for x in draw.integers(0, 5000, n))
+    item = spark.read.parquet(f"{DATA}/benchmark.parquet").first()["text"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    frame = lambda rows: spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], schema)
+    kept = lambda stage, rows: sorted(((r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in stage(spark, frame(rows), DATA).collect()))
+    key = lambda rows: sorted((i is None, i or 0, t) for i, t in rows)
+    a, b, c, d, e = (prose() for _ in range(5))
+    rows = [(None, a), (None, b), (7, c), (7, d), (3, e), (7, e), (None, e)]
+    assert kept(corpus_pipeline.near_dedup, rows) == key(rows[:5])
+    rows = [(None, f"{a} {item}"), (None, b), (7, f"{c} {item}"), (7, d)]
+    assert kept(corpus_pipeline.benchmark, rows) == key([rows[1], rows[3]])
+    line = "these six words stand in both"
+    got = kept(corpus_pipeline.line_dedup, [(None, f"{line}\n{a}"), (None, f"{line}\n{b}"), (7, f"{line}\n{c}")])
+    assert sum(line in t for _, _, t in got) == 1 and len(got) == 3
