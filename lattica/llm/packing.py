@@ -25,6 +25,8 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -40,12 +42,17 @@ END_ID = 2
 SEGMENTS = 256
 GROUP_PIECES = 4096
 #: Words whose ids a worker remembers, and bytes of text that are laid out at once.
-CACHE_WORDS = 400_000
-SLICE_BYTES = 1_000_000
+CACHE_WORDS = 1_000_000
+SLICE_BYTES = 8_000_000
 MARKS = ".,;:!?"
 BLANK = b" \t\n\r\x0b\x0c"
 
 
+def _room(values: np.ndarray, n: int) -> np.ndarray:
+    """``values`` with room for ``n`` entries, doubled when it is full."""
+    return values if n <= len(values) else np.concatenate([values, np.zeros(max(n, 2 * len(values)) - len(values), values.dtype)])
+
+
 class WordIds:
     """Ids of texts, word by word, from a tokenizer file.
 
@@ -65,38 +72,39 @@ class WordIds:
 
     def _forget(self) -> None:
         self.known = {"": 0}
-        self.starts, self.sizes, self.pool = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.starts, self.sizes, self.used = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), 0
+        self.pool = np.zeros(1 << 14, np.uint32)
 
     def _learn(self, words: list[str]) -> None:
         plain = [w for w in words if w.isalpha()]
         rest = [w for w in words if not w.isalpha()]
-        ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, np.uint32)
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, np.uint32)
         last = np.flatnonzero(self.ends[ids])
         if len(last) == len(plain):  # a word of letters ends with its only word end
             sizes = np.diff(last, prepend=-1)
         else:
             rest, ids, sizes, plain = words, ids[:0], last[:0], []
-        found = [e.ids for e in self.tokenizer.encode_batch(rest, add_special_tokens=False)]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
         sizes = np.concatenate([sizes, np.fromiter(map(len, found), np.int64, len(found))])
-        ids = np.concatenate([ids, np.fromiter((i for f in found for i in f), np.uint32, sum(map(len, found)))])
-        for w in [*plain, *rest]:
-            self.known[w] = len(self.known)
-        self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
-        self.sizes, self.pool = np.concatenate([self.sizes, sizes]), np.concatenate([self.pool, ids])
+        ids = np.concatenate([ids, np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found)))])
+        at, upto = len(self.known), self.used + len(ids)
+        self.known.update(zip(chain(plain, rest), count(at)))
+        self.starts, self.sizes = _room(self.starts, len(self.known)), _room(self.sizes, len(self.known))
+        self.starts[at : len(self.known)], self.sizes[at : len(self.known)] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.pool = _room(self.pool, upto)
+        self.pool[self.used : upto], self.used = ids, upto
 
     def _units(self, words: pa.Array) -> np.ndarray:
         """Of each distinct word, where it and its final punctuation are known; these stand apart after a letter or digit below U+0250."""
         cores = pc.utf8_rtrim(words, MARKS)
         split = pc.and_(pc.not_equal(cores, words), pc.match_substring_regex(cores, "[a-z0-9\u00df-\u00f6\u00f8-\u012f]$"))
-        cores = pc.if_else(split, cores, words).to_pylist()
-        at = np.flatnonzero(np.asarray(split).astype(bool))
-        tails = [w[len(cores[i]) :] for i, w in zip(at, words.take(pa.array(at)).to_pylist())]
-        if fresh := (set(cores) | set(tails)).difference(self.known):
+        tails = pc.if_else(split, pc.extract_regex(words, f"(?P<t>[{MARKS}]*)$").field("t"), "")
+        coded = [pc.dictionary_encode(c) for c in (pc.if_else(split, cores, words), tails)]
+        distinct = [c.dictionary.to_pylist() for c in coded]
+        if fresh := set(chain(*distinct)).difference(self.known):
             self._learn(sorted(fresh))
-        out = np.zeros((len(cores), 2), np.int64)
-        out[:, 0] = np.fromiter(map(self.known.__getitem__, cores), np.int64, len(cores))
-        out[at, 1] = np.fromiter(map(self.known.__getitem__, tails), np.int64, len(tails))
-        return out
+        places = [np.fromiter(map(self.known.__getitem__, d), np.int64, len(d)) for d in distinct]
+        return np.stack([p[c.indices.to_numpy(zero_copy_only=False)] for p, c in zip(places, coded)], 1)
 
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
         if len(self.known) > CACHE_WORDS:
@@ -115,6 +123,12 @@ class WordIds:
         return np.split(flat, ends[2 * offsets[1:-1]])
 
 
+@lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    """One for each tokenizer and Python worker, whose tasks share what it knows."""
+    return WordIds(path)
+
+
 def _parts(text: bytes) -> Iterator[bytes]:
     """A text in parts of about a slice, cut at white space."""
     at = 0
@@ -155,7 +169,7 @@ def _documents(texts: list[bytes | None], encoder: WordIds) -> Iterator[np.ndarr
 
 def _cutter(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordIds(path)
+        encoder = word_ids(path)
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, ids in zip(batch.column(0).to_pylist(), _documents(batch.column(1).cast(pa.binary()).to_pylist(), encoder)):
@@ -182,18 +196,23 @@ def place(demand: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarra
     if len(share) and share.max() > 1:
         raise ValueError("an item is larger than a sequence")
     bins, order = np.zeros(len(share), np.int64), np.zeros(len(share), np.int64)
-    todo = np.arange(len(share))
-    current, left, filled = 0, np.ones(share.shape[1]), 0
+    # Items that are placed get a demand that never fits; they are left out when half are placed.
+    todo, open_ = np.arange(len(share)), share.T.copy()
+    current, left, filled, placed = 0, np.ones(share.shape[1]), 0, 0
     while len(todo):
-        fits = (share[todo] <= left + 1e-12).all(1)
-        if not fits.any():
+        score = left @ open_
+        score[(open_ > left[:, None] + 1e-12).any(0)] = -1.0
+        k = int(score.argmax())
+        if score[k] < 0:
             current, left, filled = current + 1, np.ones(share.shape[1]), 0
             continue
-        k = int(np.where(fits, share[todo] @ left, -1.0).argmax())
         item = todo[k]
         bins[item], order[item] = current, filled
-        left, filled = left - share[item], filled + 1
-        todo = np.delete(todo, k)
+        left, filled, placed = left - share[item], filled + 1, placed + 1
+        open_[:, k] = 2.0
+        if 2 * placed >= len(todo):
+            keep = open_[0] < 2.0
+            todo, open_, placed = todo[keep], open_[:, keep].copy(), 0
     return bins, order
 
 
