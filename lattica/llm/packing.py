@@ -6,8 +6,9 @@ pieces that fit the open sequence in every dimension, the one whose demand has
 the largest dot product with what is left of it goes in; when none fits, the
 next sequence opens.
 
-A document is cut where a sequence would be full: into whole sequences and one
-remainder. Pieces are dealt by hash into groups of ``GROUP_PIECES``, and each
+A document is cut where a sequence would be full of tokens or of loss-bearing
+tokens: into whole sequences and one remainder. Instruction data have a prompt,
+whose tokens bear no loss, so the three limits bind apart from each other. Pieces are dealt by hash into groups of ``GROUP_PIECES``, and each
 group is packed in a task of its own, so memory is bounded at every size and
 only the last sequences of a group are left open. The same input gives the
 same sequences, whichever executor packs a group.
@@ -40,6 +41,8 @@ TOKENS = 4096
 END_ID = 2
 #: Segments that one sequence may hold.
 SEGMENTS = 256
+#: Of a sequence: tokens, segments, loss-bearing tokens.
+LIMITS = (TOKENS, SEGMENTS, TOKENS)
 GROUP_PIECES = 4096
 #: Words whose ids a worker remembers, and bytes of text that are laid out at once.
 CACHE_WORDS = 1_000_000
@@ -167,27 +170,38 @@ def _documents(texts: list[bytes | None], encoder: WordIds) -> Iterator[np.ndarr
     yield from flush()
 
 
-def _cutter(path: str):
+FOUND = "doc_id long, start long, length long, loss long, ids_crc32 long, doc_tokens long"
+
+
+def _cutter(path: str, limits: tuple[int, int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_ids(path)
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), _documents(batch.column(1).cast(pa.binary()).to_pylist(), encoder)):
-                raw = ids.astype("<u4").tobytes()
-                for start in range(0, len(ids), TOKENS):
-                    n = min(TOKENS, len(ids) - start)
-                    rows.append((doc_id, start, n, zlib.crc32(raw[4 * start : 4 * (start + n)]), len(ids)))
+            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            if asked := batch.num_columns > 2:
+                texts = list(chain.from_iterable(zip(batch.column(2).cast(pa.binary()).to_pylist(), texts)))
+            found = _documents(texts, encoder)
+            for doc_id in batch.column(0).to_pylist():
+                prompt = next(found)[:-1] if asked else ()
+                ids, own = next(found), len(prompt)
+                ids = np.concatenate([prompt, ids]) if own else ids
+                raw, start = ids.astype("<u4").tobytes(), 0
+                while start < len(ids):
+                    end = min(start + limits[0], len(ids), max(start, own) + limits[2])
+                    rows.append((doc_id, start, end - start, max(0, end - max(start, own)), zlib.crc32(raw[4 * start : 4 * end]), len(ids)))
+                    start = end
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], [c.split()[0] for c in FOUND.split(", ")])
             pa.default_memory_pool().release_unused()
 
     return run
 
 
-def pieces(docs: DataFrame, path: str) -> DataFrame:
-    """``(doc_id, start, length, ids_crc32, doc_tokens)``: every document's ids, cut at full sequences."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_cutter(path), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+def pieces(docs: DataFrame, path: str, limits: tuple[int, int, int] = LIMITS, prompt: str | None = None) -> DataFrame:
+    """``(doc_id, start, length, loss, ids_crc32, doc_tokens)``: every document's ids, cut where a sequence would be full; the ids of the column ``prompt`` stand in front and bear no loss."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *([F.col(prompt).cast("string").alias("prompt")] if prompt else []))
+    return rows.mapInArrow(_cutter(path, limits), FOUND)
 
 
 def place(demand: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -228,16 +242,17 @@ def _packer(limits: tuple[int, ...]):
         offset = np.zeros(len(by), np.int64)
         offset[by] = ends - length[by] - base
         sequence = table["grp"].to_numpy().astype(np.int64) * (1 << 32) + bins
-        return table.drop_columns(["grp", "loss"]).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
+        return table.drop_columns(["grp"]).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
     return run
 
 
-def pack(items: DataFrame, limits: tuple[int, int, int] = (TOKENS, SEGMENTS, TOKENS)) -> DataFrame:
-    """``items(doc_id, start, length, loss, ids_crc32, doc_tokens)`` with ``sequence_id`` and ``offset``; limits are tokens, segments, loss-bearing tokens."""
+def pack(items: DataFrame, limits: tuple[int, int, int] = LIMITS) -> DataFrame:
+    """``items(doc_id, start, length, loss, ids_crc32, doc_tokens)``, a written table, with ``sequence_id`` and ``offset``; limits are tokens, segments, loss-bearing tokens."""
     groups = blocks_for(items.count(), GROUP_PIECES)
-    dealt = items.withColumn("grp", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)))
-    return dealt.groupBy("grp").applyInArrow(_packer(limits), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    # Equal rows, too, are dealt over all groups.
+    dealt = items.withColumn("grp", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups)))
+    return dealt.groupBy("grp").applyInArrow(_packer(limits), f"{FOUND}, sequence_id long, offset long")
 
 
 def public_tokenizer() -> str:
@@ -246,10 +261,9 @@ def public_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def pack_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Tokenise, cut and pack; in plain documents every token bears loss."""
-    found = cut(pieces(docs, path or public_tokenizer()), "pieces")
-    return pack(found.select("doc_id", "start", "length", F.col("length").alias("loss"), "ids_crc32", "doc_tokens"))
+def pack_documents(docs: DataFrame, path: str | None = None, limits: tuple[int, int, int] = LIMITS, prompt: str | None = None) -> DataFrame:
+    """Tokenise, cut and pack ``docs(doc_id, text)``. In plain documents every token bears loss; in instruction data those of ``text``, not of the column ``prompt``."""
+    return pack(cut(pieces(docs, path or public_tokenizer(), limits, prompt), "pieces"), limits)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

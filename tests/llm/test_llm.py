@@ -383,6 +383,26 @@ def test_vector_limits():
         packing.place(np.array([[5000.0, 1, 0]]), limits)
 
 
+def test_each_limit_binds(spark):
+    """Instruction data, packed: of tokens, segments and loss-bearing tokens each fills some sequences by itself."""
+    rows = [(i, "answer " * 30, "ask " * 1) for i in range(40)] + [(100 + i, "yes", "long prompt " * 90) for i in range(40)] + [(200 + i, "no", None) for i in range(60)]
+    docs = spark.createDataFrame(rows + rows[:3], "doc_id long, text string, prompt string")
+    limits = (400, 12, 100)
+    out = packing.pack_documents(docs, limits=limits, prompt="prompt").toPandas()
+    own = packing.WordIds(packing.public_tokenizer())
+    import pyarrow as pa
+
+    for i, text, prompt in rows:
+        p, t = own.ids(pa.array([prompt or "", text], pa.large_string()))
+        part = out[out.doc_id == i]
+        copies = 2 if i < 3 else 1
+        assert part.length.sum() == copies * (len(p) + len(t) + 1) and part.loss.sum() == copies * (len(t) + 1)
+    by = out.groupby("sequence_id").agg(tokens=("length", "sum"), segments=("length", "size"), loss=("loss", "sum"))
+    assert (by.tokens <= limits[0]).all() and (by.segments <= limits[1]).all() and (by.loss <= limits[2]).all()
+    full = by.assign(t=by.tokens > 360, s=by.segments == 12, l=by.loss > 90)
+    assert (full.t & ~full.s & ~full.l).any() and (full.s & ~full.t & ~full.l).any() and (full.l & ~full.t & ~full.s).any()
+
+
 # 8
 def test_sharding(spark, texts):
     rows = registry.QUERIES["op8_sharding"](spark, DATA).toPandas()
