@@ -385,7 +385,7 @@ def test_vector_limits():
 
 def test_each_limit_binds(spark):
     """Instruction data, packed: of tokens, segments and loss-bearing tokens each fills some sequences by itself."""
-    rows = [(i, "answer " * 30, "ask " * 1) for i in range(40)] + [(100 + i, "yes", "long prompt " * 90) for i in range(40)] + [(200 + i, "no", None) for i in range(60)]
+    rows = [(i, "answer " * 30, "ask " * 1) for i in range(40)] + [(100 + i, "yes", "long prompt " * 90) for i in range(40)] + [(200 + i, "no", None) for i in range(300)]
     docs = spark.createDataFrame(rows + rows[:3], "doc_id long, text string, prompt string")
     limits = (400, 12, 100)
     out = packing.pack_documents(docs, limits=limits, prompt="prompt").toPandas()
