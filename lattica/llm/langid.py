@@ -9,6 +9,8 @@ segmentations again, on a bounded sample of labelled rows.
 Words are maximal runs of letters, lower-cased, with the vocabulary's word
 mark in front. Texts are scored whole: a batch's words are encoded as a
 dictionary, each distinct word is scored once, and scores are summed by text.
+Pieces may be as long as the vocabulary has them and words of any length are
+one word, also in the fit: the sums of long ones are scaled as they grow.
 
 Defined results: ``und`` with score 0 for null texts and texts without a
 letter, and for every text where no labelled row was seen; languages that
@@ -18,6 +20,8 @@ returns none, other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,16 +34,17 @@ from lattica.llm.common import read
 
 #: Labelled documents of each language that the model is fitted on, about.
 SAMPLE_DOCS = 400
-#: Longest piece, in characters, that a segmentation may use.
-PIECE_CHARS = 6
 EM_ROUNDS = 3
 #: Words that a worker remembers the scores of.
-CACHE_WORDS = 400_000
-#: Characters of text whose words are laid out at once.
-SLICE_CHARS = 1_000_000
+CACHE_WORDS = 1_000_000
+#: Bytes of text whose words are laid out at once.
+SLICE_BYTES = 4_000_000
+#: Up to so many characters, mark included, a word's likelihood can't leave the range of a double; longer ones are scaled on the way.
+PLAIN_CHARS = 28
 MARK = "▁"
+#: Likelihood of a character that is no piece.
 UNKNOWN = 1e-9
-BASE = np.uint64(0x9E3779B97F4A7C15)
+CHAR_BITS = 21
 
 
 def vocabulary(path: str) -> list[str]:
@@ -48,7 +53,7 @@ def vocabulary(path: str) -> list[str]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = (model.id_to_piece(i).lower() for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
-    return sorted({p for p in pieces if 0 < len(p) <= PIECE_CHARS and p.lstrip(MARK).isalpha()} | {MARK})
+    return sorted({p for p in pieces if p.lstrip(MARK).isalpha()} | {MARK})
 
 
 def public_vocabulary() -> list[str]:
@@ -57,37 +62,57 @@ def public_vocabulary() -> list[str]:
     return vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
 
 
-def _hash(points: np.ndarray, start: int, length: int) -> np.ndarray:
-    h = np.zeros(len(points), np.uint64)
-    for k in range(start, start + length):
-        h = (h + points[:, k].astype(np.uint64) + np.uint64(1)) * BASE
-        h ^= h >> np.uint64(29)
-    return h
-
-
 class Lattice:
-    """Finds the pieces of words; words go in as arrays of code points, grouped by length."""
+    """Finds the pieces of words in a trie; words go in as arrays of code points, grouped by length."""
 
     def __init__(self, pieces: list[str]):
-        hashed = np.array([_hash(np.array([[ord(c) for c in p]], np.uint32), 0, len(p))[0] for p in pieces], np.uint64)
-        self.order = np.argsort(hashed)
-        self.hashes = hashed[self.order]
         self.size = len(pieces)
-
-    def spans(self, points: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
-        """Piece ids at (start, length); ``size`` where there is none."""
-        out = {}
+        self.child: dict[int, int] = {}
+        at = []
+        for piece in pieces:
+            node = 0
+            for c in piece:
+                node = self.child.setdefault(node << CHAR_BITS | ord(c), len(self.child) + 1)
+            at.append(node)
+        self.piece = np.full(len(self.child) + 1, self.size, np.int64)
+        self.piece[at] = np.arange(self.size)
+        keys = np.fromiter(self.child.keys(), np.int64, len(self.child))
+        order = np.argsort(keys)
+        self.keys, self.nodes = keys[order], np.fromiter(self.child.values(), np.int64, len(self.child))[order]
+
+    def spans(self, points: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """By start and then by end: the rows that have a piece there, and which; a single character that is none has the id ``size``."""
+        points = points.astype(np.int64)
         for start in range(points.shape[1]):
-            for length in range(1, min(PIECE_CHARS, points.shape[1] - start) + 1):
-                h = _hash(points, start, length)
-                at = np.minimum(np.searchsorted(self.hashes, h), self.size - 1)
-                ids = np.where(self.hashes[at] == h, self.order[at], self.size)
-                if length == 1 or (ids != self.size).any():
-                    out[start, length] = ids
-        return out
+            rows, node = np.arange(len(points)), np.zeros(len(points), np.int64)
+            for end in range(start + 1, points.shape[1] + 1):
+                key = node << CHAR_BITS | points[rows, end - 1]
+                place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                known = self.keys[place] == key
+                if end == start + 1:
+                    yield start, end, rows, np.where(known, self.piece[self.nodes[place]], self.size)
+                rows, node = rows[known], self.nodes[place[known]]
+                if not len(rows):
+                    break
+                if end > start + 1:
+                    ids = self.piece[node]
+                    if (found := ids < self.size).any():
+                        yield start, end, rows[found], ids[found]
+
+    def walk(self, word: str, start: int) -> Iterator[tuple[int, int]]:
+        """End and id of each piece of ``word`` at ``start``, as ``spans``."""
+        node = self.child.get(ord(word[start]), 0)
+        yield start + 1, int(self.piece[node]) if node else self.size
+        end = start + 1
+        while node and end < len(word):
+            node = self.child.get(node << CHAR_BITS | ord(word[end]), 0)
+            end += 1
+            if node and self.piece[node] < self.size:
+                yield end, int(self.piece[node])
 
 
 def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places and code points of the words of each length."""
     marked = [MARK + w for w in words]
     lengths = np.fromiter(map(len, marked), np.int64, len(marked))
     for n in np.unique(lengths):
@@ -95,60 +120,91 @@ def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield at, np.frombuffer("".join(marked[i] for i in at).encode("utf-32-le"), np.uint32).reshape(len(at), n)
 
 
-def _forward(spans: dict, n: int, rows: int, probs: np.ndarray, langs: int) -> list[np.ndarray]:
+def _forward(spans, n: int, rows: int, probs: np.ndarray) -> list[np.ndarray]:
     """Sums over segmentations of each prefix; ``probs`` is (pieces + 1, languages), the last row for unknown characters."""
-    alpha = [np.ones((rows, langs))] + [np.zeros((rows, langs)) for _ in range(n)]
-    for start in range(n):
-        for length in range(1, min(PIECE_CHARS, n - start) + 1):
-            if (ids := spans.get((start, length))) is not None:
-                p = probs[ids]
-                if length > 1:
-                    p = p * (ids < len(probs) - 1)[:, None]
-                alpha[start + length] += alpha[start] * p
+    alpha = [np.ones((rows, probs.shape[1]))] + [np.zeros((rows, probs.shape[1])) for _ in range(n)]
+    for start, end, at, ids in spans:
+        alpha[end][at] += alpha[start][at] * probs[ids]
     return alpha
 
 
+def _long_score(word: str, lattice: Lattice, probs: np.ndarray) -> np.ndarray:
+    """As the forward pass, for one word of any length; sums are scaled before they leave a double's range."""
+    ahead, now, log = {}, np.ones(probs.shape[1]), np.zeros(probs.shape[1])
+    for start in range(len(word)):
+        for end, piece in lattice.walk(word, start):
+            more = now * probs[piece]
+            ahead[end] = ahead[end] + more if end in ahead else more
+        now = ahead.pop(start + 1)
+        if now.min() < 1e-100:
+            log += np.log(now)
+            ahead = {k: v / now for k, v in ahead.items()}
+            now = np.ones(len(now))
+    return log + np.log(now)
+
+
 def word_scores(words: list[str], lattice: Lattice, probs: np.ndarray, chunk: int = 20_000) -> np.ndarray:
     """Log-likelihood of each word in each language."""
     out = np.zeros((len(words), probs.shape[1]))
     for at, points in _by_length(words):
-        if points.shape[1] > 64:  # very long words: in parts, each a word of its own
-            for i, w in zip(at, points):
-                parts = ["".join(map(chr, w[k : k + 48])).removeprefix(MARK) for k in range(0, len(w), 48)]
-                out[i] = word_scores(parts, lattice, probs).sum(0)
+        if points.shape[1] > PLAIN_CHARS:
+            for i in at:
+                out[i] = _long_score(MARK + words[i], lattice, probs)
             continue
         for k in range(0, len(at), chunk):
             part = points[k : k + chunk]
-            alpha = _forward(lattice.spans(part), part.shape[1], len(part), probs, probs.shape[1])
-            out[at[k : k + chunk]] = np.log(np.maximum(alpha[-1], 1e-300))
+            out[at[k : k + chunk]] = np.log(_forward(lattice.spans(part), part.shape[1], len(part), probs)[-1])
     return out
 
 
+def _log_sum(values: list[float]) -> float:
+    top = max(values)
+    return top + math.log(sum(math.exp(v - top) for v in values))
+
+
+def _long_counts(word: str, lattice: Lattice, log_p: np.ndarray) -> Iterator[tuple[int, float]]:
+    """Expected uses of pieces in one word of any length, by forward and backward sums of logarithms."""
+    spans = [(start, end, piece, float(log_p[piece])) for start in range(len(word)) for end, piece in lattice.walk(word, start)]
+    into: list[list[float]] = [[] for _ in range(len(word) + 1)]
+    alpha, beta = [0.0] * (len(word) + 1), [0.0] * (len(word) + 1)
+    for start, end, _, p in spans:
+        if into[start]:
+            alpha[start], into[start] = _log_sum(into[start]), []
+        into[end].append(alpha[start] + p)
+    total = alpha[-1] = _log_sum(into[-1])
+    out: list[list[float]] = [[] for _ in range(len(word) + 1)]
+    for start, end, _, p in reversed(spans):
+        if out[end]:
+            beta[end], out[end] = _log_sum(out[end]), []
+        out[start].append(p + beta[end])
+    for start, end, piece, p in spans:
+        yield piece, math.exp(alpha[start] + p + beta[end] - total)
+
+
 def fit(counts: dict[str, dict[str, int]], pieces: list[str]) -> tuple[list[str], np.ndarray]:
     """Languages in order and their piece probabilities, from word counts by language."""
     lattice, langs = Lattice(pieces), sorted(counts)
     probs = np.zeros((lattice.size + 1, len(langs)))
     for column, lang in enumerate(langs):
-        words = [w for w in counts[lang] if len(w) < 64]
+        words = [w for w in counts[lang] if len(w) < PLAIN_CHARS]
+        long = [(MARK + w, n) for w, n in counts[lang].items() if len(w) >= PLAIN_CHARS]
         weight = np.array([counts[lang][w] for w in words], float)
-        laid = [(at, points.shape[1], lattice.spans(points)) for at, points in _by_length(words)]
+        laid = [(at, points.shape[1], list(lattice.spans(points))) for at, points in _by_length(words)]
         p = np.full((lattice.size + 1, 1), 1 / lattice.size)
         p[-1] = UNKNOWN
         for _ in range(EM_ROUNDS):
             expected = np.full(lattice.size + 1, 0.1)
             for at, n, spans in laid:
-                alpha = _forward(spans, n, len(at), p, 1)
+                alpha = _forward(spans, n, len(at), p)
                 beta = [np.zeros((len(at), 1)) for _ in range(n)] + [np.ones((len(at), 1))]
-                for start in range(n - 1, -1, -1):
-                    for length in range(1, min(PIECE_CHARS, n - start) + 1):
-                        if (ids := spans.get((start, length))) is not None:
-                            known = (ids < lattice.size)[:, None] if length > 1 else 1
-                            beta[start] += p[ids] * known * beta[start + length]
-                total = np.maximum(alpha[-1], 1e-300)
-                for (start, length), ids in spans.items():
-                    known = (ids < lattice.size) if length > 1 else 1
-                    share = (alpha[start] * p[ids] * beta[start + length] / total)[:, 0] * weight[at] * known
+                for start, end, rows, ids in reversed(spans):
+                    beta[start][rows] += p[ids] * beta[end][rows]
+                for start, end, rows, ids in spans:
+                    share = (alpha[start][rows] * p[ids] * beta[end][rows] / alpha[-1][rows])[:, 0] * weight[at[rows]]
                     np.add.at(expected, ids, share)
+            for word, n in long:
+                for piece, share in _long_counts(word, lattice, np.log(p[:, 0])):
+                    expected[piece] += n * share
             p = (expected / expected[:-1].sum())[:, None]
             p[-1] = UNKNOWN
         probs[:, column] = p[:, 0]
@@ -177,30 +233,33 @@ def word_counts(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> dict[str, di
 
 
 class Scorer:
-    """Scores arrays of texts; one for each task, it remembers words."""
+    """Scores arrays of texts and remembers words."""
 
     def __init__(self, langs: list[str], probs: np.ndarray, pieces: list[str]):
         self.langs, self.probs, self.lattice = langs, probs.astype(float), Lattice(pieces)
-        self.words, self.known = pa.array([], pa.large_string()), np.zeros((0, len(langs)))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.scores = {"": 0}, np.zeros((1 << 12, len(self.langs)))
+
+    def _word_scores(self, words: list[str]) -> np.ndarray:
+        if len(self.known) > CACHE_WORDS:
+            self._forget()
+        if fresh := sorted(set(words).difference(self.known)):
+            at, upto = len(self.known), len(self.known) + len(fresh)
+            self.known.update(zip(fresh, range(at, upto)))
+            if upto > len(self.scores):
+                self.scores = np.concatenate([self.scores, np.zeros((max(upto, 2 * len(self.scores)) - len(self.scores), len(self.langs)))])
+            self.scores[at:upto] = word_scores(fresh, self.lattice, self.probs)
+        return self.scores[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))]
 
     def _totals(self, text: pa.Array) -> np.ndarray:
         plain = pc.utf8_lower(text.cast(pa.large_string()).fill_null(""))
         lists = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.replace_substring_regex(plain, r"[^\p{L}\p{M}]+", " ")))
         offsets = np.asarray(lists.offsets)
         coded = pc.dictionary_encode(lists.flatten())
-        words, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
-        at = pc.index_in(words, value_set=self.words)
-        new = np.asarray(pc.is_null(at)).astype(bool)
-        scores = np.zeros((len(words), len(self.langs)))
-        scores[~new] = self.known[at.drop_null().to_numpy(zero_copy_only=False)]
-        if new.any():
-            fresh = words.filter(pa.array(new))
-            scores[new] = word_scores(fresh.to_pylist(), self.lattice, self.probs)
-            if len(self.words) < CACHE_WORDS:
-                self.words = pa.concat_arrays([self.words, fresh])
-                self.known = np.concatenate([self.known, scores[new]])
-        scores[np.asarray(pc.equal(words, "")).astype(bool)] = 0
-        sums = np.concatenate([np.zeros((1, len(self.langs))), np.cumsum(scores[codes], 0)])
+        scores = self._word_scores(coded.dictionary.to_pylist())
+        sums = np.concatenate([np.zeros((1, len(self.langs))), np.cumsum(scores[coded.indices.to_numpy(zero_copy_only=False)], 0)])
         return sums[offsets[1:] - offsets[0]] - sums[offsets[:-1] - offsets[0]]
 
     def score(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -211,7 +270,7 @@ class Scorer:
         sizes = np.cumsum(pc.binary_length(text).fill_null(0).to_numpy(zero_copy_only=False))
         while start < len(text):
             base = sizes[start - 1] if start else 0
-            end = max(start + 1, int(np.searchsorted(sizes, base + SLICE_CHARS, "right")))
+            end = max(start + 1, int(np.searchsorted(sizes, base + SLICE_BYTES, "right")))
             parts.append(self._totals(text.slice(start, end - start)))
             start = end
         total = np.concatenate(parts)
@@ -222,6 +281,18 @@ class Scorer:
         return names, np.where(none, 0.0, share)
 
 
+_scorers: dict[str, Scorer] = {}
+
+
+def _scorer(model: tuple) -> Scorer:
+    """The scorer of a model, one for each Python worker, whose tasks share what it knows."""
+    mark = hashlib.sha256(repr((model[0], model[2])).encode() + model[1].tobytes()).hexdigest()
+    if mark not in _scorers:
+        _scorers.clear()
+        _scorers[mark] = Scorer(*model)
+    return _scorers[mark]
+
+
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(modulus)) == remainder, F.lit(False))
 
@@ -235,7 +306,7 @@ def identify(docs: DataFrame, pieces: list[str] | None = None) -> DataFrame:
     model = _model(docs, pieces or public_vocabulary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(*model)
+        scorer = _scorer(model)
         for batch in batches:
             names, share = scorer.score(batch.column(2))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(share)], ["doc_id", "held_out", "lang_pred", "score"])
@@ -250,7 +321,7 @@ def accepted(docs: DataFrame, least: float = 0.5, pieces: list[str] | None = Non
     model, at = _model(docs, pieces or public_vocabulary()), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(*model)
+        scorer = _scorer(model)
         for batch in batches:
             names, share = scorer.score(batch.column(at))
             yield batch.filter(pa.array((names != "und") & (share >= least)))

@@ -227,18 +227,55 @@ def test_passages_sql(spark):
 
 
 # 4
+def all_segmentations(word, p):
+    """Log of the sum over all segmentations, by exact fractions."""
+    from fractions import Fraction
+
+    sums = [Fraction(1)] + [Fraction(0)] * len(word)
+    for end in range(1, len(word) + 1):
+        for start in range(end):
+            piece = word[start:end]
+            sums[end] += sums[start] * Fraction(p[piece] if piece in p else langid.UNKNOWN if end == start + 1 else 0)
+    return np.log(float(sums[-1].numerator / (1 << max(0, sums[-1].numerator.bit_length() - 60)))) + np.log(2) * max(0, sums[-1].numerator.bit_length() - 60) - np.log(2) * (sums[-1].denominator.bit_length() - 1) - np.log(float(Fraction(sums[-1].denominator, 1 << (sums[-1].denominator.bit_length() - 1))))
+
+
 def test_forward_sums_all_segmentations():
-    pieces = sorted([langid.MARK, langid.MARK + "a", "a", "b", "ab", "ba"])
+    pieces = sorted([langid.MARK, langid.MARK + "a", "a", "b", "ab", "ba", "abbaabbaab", "abba" * 6])
     lattice = langid.Lattice(pieces)
-    probs = np.full((len(pieces) + 1, 1), langid.UNKNOWN)
-    probs[:-1, 0] = np.arange(1, len(pieces) + 1) / 30
-    p = dict(zip(pieces, probs[:, 0]))
-
-    def total(word):
-        return 1.0 if not word else sum(p.get(word[:n], langid.UNKNOWN if n == 1 else 0) * total(word[n:]) for n in range(1, min(langid.PIECE_CHARS, len(word)) + 1))
+    probs = np.full((len(pieces) + 1, 2), langid.UNKNOWN)
+    probs[:-1, 0] = np.arange(1, len(pieces) + 1) / 40
+    probs[:-1, 1] = probs[:-1, 0][::-1]
+    words = ["abba", "bab", "zab", "a", "abbaabbaabz", "z" * 27, "z" * 28, "z" * 63, "z" * 64, "abba" * 40, "zabz" * 50]
+    got = langid.word_scores(words, lattice, probs)
+    for lang in range(2):
+        p = dict(zip(pieces, probs[:, lang]))
+        assert np.allclose(got[:, lang], [all_segmentations(langid.MARK + w, p) for w in words], rtol=1e-9)
+
+
+def test_expected_counts_of_long_words(monkeypatch):
+    """A fit that takes the words as long ones gives what the plain way gives."""
+    counts = {"a": {"abba": 3, "babab": 1, "zzab": 2}, "b": {"bb": 1, "abbaabba": 2}}
+    pieces = sorted([langid.MARK, langid.MARK + "a", "a", "b", "ab", "ba", "abba"])
+    plain = langid.fit(counts, pieces)[1]
+    monkeypatch.setattr(langid, "PLAIN_CHARS", 2)
+    assert np.allclose(langid.fit(counts, pieces)[1], plain, rtol=1e-9)
+
+
+def test_scores_brute_force(spark):
+    """The query's score: likelihoods summed over all words of a text, the fitted pieces given."""
+    import regex
 
-    words = ["abba", "bab", "zab", "a"]
-    assert np.allclose(np.exp(langid.word_scores(words, lattice, probs))[:, 0], [total(langid.MARK + w) for w in words])
+    rows = [(k, t, lang, "s", len(t)) for k, (t, lang) in enumerate([("the cat sat on the mat", "en"), ("le chat est sur la table", "fr"), ("the dog and the cat", "en"), ("la table et le chien", "fr"), ("中文没有空格" * 40, "en"), ("The... CHAT!", None)] * 4)]
+    docs = spark.createDataFrame(rows, ROWS)
+    pieces = langid.public_vocabulary()
+    assert max(map(len, pieces)) > 10
+    langs, probs, _ = langid._model(docs, pieces)
+    got = {r["doc_id"]: r for r in langid.identify(docs, pieces).collect()}
+    tables = [{w: q for w, q in zip(pieces, probs[:, k])} for k in range(len(langs))]
+    for i, text, *_ in rows[:6]:
+        total = [sum(all_segmentations(langid.MARK + w, t) for w in regex.findall(r"[\p{L}\p{M}]+", text.lower())) for t in tables]
+        share = 1 / sum(np.exp(x - max(total)) for x in total)
+        assert got[i]["lang_pred"] == langs[int(np.argmax(total))] and got[i]["score"] == pytest.approx(share, rel=1e-6)
 
 
 def test_language_accuracy(spark, docs):
