@@ -8,7 +8,10 @@ shared, so a lost executor costs a re-read and no recomputation.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,23 +41,61 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+_open = threading.local()
+
+
+@contextmanager
+def scratch() -> Iterator[list[DataFrame]]:
+    """Collects the tables that ``cut`` writes meanwhile, for a caller that knows when they are no longer read."""
+    stack = _open.__dict__.setdefault("stack", [])
+    stack.append([])
+    try:
+        yield stack[-1]
+    finally:
+        stack.pop()
+
+
+def _hadoop(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def cut(df: DataFrame, label: str = "t") -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: one copy of the work, no lineage."""
+    """Write ``df`` to the shared folder and read it back: one copy of the work, no lineage.
+
+    The table goes with ``drop_cut``, or at the latest when the application ends.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lattica-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    files, at = _hadoop(spark, path)
+    files.deleteOnExit(at)
     out = spark.read.schema(df.schema).parquet(path)
     out._lattica_path = path
+    if stack := _open.__dict__.get("stack"):
+        stack[-1].append(out)
     return out
 
 
-def drop_cut(df: DataFrame | None) -> None:
-    """Delete a table that ``cut`` wrote, once nothing reads it any more."""
-    path = getattr(df, "_lattica_path", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+def drop_cut(*tables: DataFrame | None) -> None:
+    """Delete tables that ``cut`` wrote, once nothing reads them any more."""
+    for df in tables:
+        if path := getattr(df, "_lattica_path", None):
+            files, at = _hadoop(df.sparkSession, path)
+            files.delete(at, True)
+
+
+def free(columns: list[str], name: str) -> str:
+    """``name``, or what stands for it where a column has it, in any case of letters."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_rows(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a row id, written, so that it stays the same wherever it is read."""
+    return cut(docs.withColumn(name, F.monotonically_increasing_id()), "rows")
 
 
 def bounded_count(df: DataFrame, limit: int) -> bool:
@@ -90,11 +131,12 @@ def numbered(df: DataFrame, by: list[str], order: list[Column], spread: Column,
     )
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a long, b long)``: ``(node, root)``, root the smallest node.
 
     Alternating large-star and small-star steps, each a pre-aggregated minimum
     and one join; a star's centre, however large, is split by adaptive joins.
+    Rounds go on until the edges are what they were, so the result is whole.
     """
 
     def star(pairs: DataFrame, large: bool) -> DataFrame:
@@ -113,11 +155,10 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
 
     now = cut(edges.select("a", "b").filter("a <> b").distinct(), "cc")
     seen = mark(now)
-    for _ in range(rounds):
+    was = None
+    while was != seen:
         nxt = cut(star(star(now, True), False), "cc")
         drop_cut(now)
         now, was, seen = nxt, seen, mark(nxt)
-        if was == seen:
-            break
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(now.select("b", "b").distinct())

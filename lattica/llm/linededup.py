@@ -9,16 +9,19 @@ works on what still repeats, and rounds end with the longest repeated run.
 
 Each rank class is an interval of the suffix array whose longest common prefix
 is at least 2**k. A place that isn't the earliest of its class begins a later
-copy; the deepest such class names the copied source. A line is deleted if it
-has ``MIN_WORDS`` words and occurs earlier, or if it lies in a run of two or
-more lines that occurs earlier; neighbouring deleted lines form one span.
+copy; the deepest such class names the copied source, and the longest common
+prefix with it, found exactly by going down the levels again, is the maximal
+run at that place. A line is deleted if it has ``MIN_WORDS`` words and occurs
+earlier, or if it lies in a run of two or more lines that occurs earlier;
+neighbouring deleted lines form one span.
 
 Ranks are made with a range partition and a sort of distinct keys, counted
 with partial aggregates: one line that fills a third of all rows is one key.
 
 Defined results: null and empty texts have no lines; lines are compared
-without white space at their ends; rows with equal id and text are one
-document; an empty table gives no rows; other columns are ignored.
+without white space at their ends; each row is a document of its own, in the
+order of ids (null ids last), texts and rows, so of repeated rows one stays
+whole; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,11 +30,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lattica.llm.common import cut, drop_cut, read
+from lattica.llm.common import cut, drop_cut, free, read, with_rows
 
 MIN_WORDS = 5
-#: A place is document * 2**LINE_BITS + line.
-LINE_BITS = 24
 STRIDE = 32
 
 
@@ -49,11 +50,11 @@ def gapless(df: DataFrame, order: list[str], name: str) -> DataFrame:
     return rough.withColumn("_p", part).join(F.broadcast(shift), "_p").withColumn(name, F.col("_s") + F.col("_r").bitwiseAND(F.lit((1 << 33) - 1))).drop("_p", "_s", "_r")
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """``(doc_id, th, uid, i, start, chars, words, h1, h2)``: lines that aren't blank, ``i`` their number among those."""
+def lines(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """``(doc_id, th, uid, i, start, chars, words, h1, h2)``: lines that aren't blank, ``i`` their number among those; ``uid`` is the column ``row``, if that is named."""
     zero, add = F.lit(0).cast("long"), lambda a, x: a + x
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text is not null and text <> ''")
-    rows = rows.select("doc_id", F.xxhash64("text").alias("th"), F.monotonically_increasing_id().alias("uid"), F.split("text", "\n", -1).alias("u"))
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), (F.col(row) if row else F.monotonically_increasing_id()).alias("uid")).filter("text is not null and text <> ''")
+    rows = rows.select("doc_id", F.xxhash64("text").alias("th"), "uid", F.split("text", "\n", -1).alias("u"))
     rows = rows.withColumn("n", F.transform("u", lambda x: F.length(x).cast("long") + 1))
     rows = rows.withColumn("b", F.transform(F.sequence(F.lit(0), F.ceil(F.size("n") / STRIDE).cast("int") - 1), lambda b: F.aggregate(F.slice("n", b * STRIDE + 1, F.lit(STRIDE)), zero, add)))
     rows = rows.withColumn("p", F.transform("b", lambda x, i: F.aggregate(F.slice("b", F.lit(1), i), zero, add)))
@@ -75,63 +76,82 @@ def _classes(pairs: DataFrame, key: list[str]) -> DataFrame:
     return pairs.join(ranked(twice, key, "r"), key).select("pos", "r", "first")
 
 
-def repeated_runs(places: DataFrame) -> DataFrame:
-    """``(pos, level, first)``: at each level, the places whose run of 2**level lines has an earlier copy, which is at ``first``.
+def suffix_classes(places: DataFrame) -> list[DataFrame]:
+    """By level ``(pos, r, first)``: the places whose run of 2**level lines occurs at least twice, its rank and its first place.
 
     ``places(pos, h1, h2)`` are the lines.
     """
-    level = 0
-    now = cut(_classes(places, ["h1", "h2"]), "suffix")
-    later = []
+    found, now = [], cut(_classes(places, ["h1", "h2"]), "suffix")
     while not now.isEmpty():
-        later.append(now.filter("first < pos").select("pos", F.lit(level).alias("level"), "first"))
-        on = now.select((F.col("pos") - (1 << level)).alias("pos"), F.col("r").alias("r2"))
+        found.append(now)
+        on = now.select((F.col("pos") - (1 << (len(found) - 1))).alias("pos"), F.col("r").alias("r2"))
         now = cut(_classes(now.select("pos", F.col("r").alias("r1")).join(on, "pos"), ["r1", "r2"]), "suffix")
-        level += 1
-    out = now.select("pos", F.lit(level).alias("level"), "first")
-    for x in later:
-        out = out.union(x)
+    drop_cut(now)
+    return found
+
+
+def common_runs(pairs: DataFrame, classes: list[DataFrame]) -> DataFrame:
+    """``pairs(a, b, level, ...)`` with ``run_lines``, the longest common prefix of the places ``a`` and ``b``, which share 2**level lines and not twice as many."""
+    out = pairs.withColumn("run_lines", F.expr("shiftleft(cast(1 as bigint), level)"))
+    for k in range(len(classes) - 2, -1, -1):
+        ranks = classes[k].select("pos", "r")
+        open_ = out.filter(F.col("level") > k).withColumn("pa", F.col("a") + F.col("run_lines")).withColumn("pb", F.col("b") + F.col("run_lines"))
+        more = open_.join(ranks.select(F.col("pos").alias("pa"), F.col("r").alias("ra")), "pa", "left").join(ranks.select(F.col("pos").alias("pb"), F.col("r").alias("rb")), "pb", "left")
+        more = more.withColumn("run_lines", F.col("run_lines") + F.when(F.col("ra") == F.col("rb"), 1 << k).otherwise(0)).select(out.columns)
+        out = more.union(out.filter(F.col("level") <= k))
     return out
 
 
-def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Deleted spans: ``(doc_id, th, start, end, lines, words, run_level, first_doc_id)``.
+def repeats(docs: DataFrame, min_words: int = MIN_WORDS, row: str | None = None) -> DataFrame:
+    """Deleted spans: ``(doc_id, start, end, lines, words, run_lines, first_doc_id)``, and the column ``row`` if that is named.
 
-    ``th`` is the XXH64 of the text, ``first_doc_id`` has the deepest earlier copy of the span's first run.
+    ``run_lines`` has the length of the maximal run at the span's beginning, ``first_doc_id`` the document that has it first.
     """
-    every = cut(lines(docs), "lines")
-    known = gapless(every.groupBy("doc_id", "th").agg(F.min("uid").alias("uid")), ["doc_id", "th"], "d")
-    known = cut(known, "docs")
-    at = cut(every.drop("doc_id", "th").join(known.select("uid", "d"), "uid").select((F.col("d") * (1 << LINE_BITS) + F.col("i")).alias("pos"), "start", "chars", "words", "h1", "h2"), "places")
+    every = cut(lines(docs, row), "lines")
+    known = gapless(every.groupBy("uid").agg(F.first("doc_id").alias("doc_id"), F.first("th").alias("th")).withColumn("_none", F.col("doc_id").isNull()), ["_none", "doc_id", "th", "uid"], "d")
+    known = cut(known.select("uid", "d", "doc_id"), "docs")
+    # A place is document * 2**bits + line; the longest document leaves one place free after its last line.
+    bits = ((every.agg(F.max("i")).first()[0] or 0) + 2).bit_length()
+    if bits + known.count().bit_length() > 62:
+        raise ValueError("the lines of these documents can't be numbered in 62 bits")
+    at = cut(every.join(known.select("uid", "d"), "uid").select((F.shiftleft("d", bits) + F.col("i")).alias("pos"), "start", "chars", "words", "h1", "h2"), "places")
     drop_cut(every)
-    later = cut(repeated_runs(at.select("pos", "h1", "h2")), "later")
-    deep = later.groupBy("pos").agg(F.max("level").alias("level"), F.max_by("first", "level").alias("first"))
+    classes = suffix_classes(at.select("pos", "h1", "h2"))
+    later = at.select("pos").filter(F.lit(False)).select("pos", F.lit(0).alias("level"), F.col("pos").alias("first"))
+    for level, found in enumerate(classes):
+        later = later.union(found.filter("first < pos").select("pos", F.lit(level).alias("level"), "first"))
     # Every later place is one line at least; those of two lines cover the next line as well.
     alone = later.filter("level = 0").select("pos", F.lit(False).alias("run"))
     pair = later.filter("level = 1").select(F.explode(F.array(F.col("pos"), F.col("pos") + 1)).alias("pos"), F.lit(True).alias("run"))
     marked = alone.union(pair).groupBy("pos").agg(F.max("run").alias("run"))
-    gone = at.select("pos", "start", "chars", "words").join(marked, "pos").filter(F.col("run") | (F.col("words") >= min_words)).join(deep, "pos", "left")
-    doc = F.shiftright("pos", LINE_BITS)
-    island = gone.withColumn("d", doc).withColumn("_run", F.col("pos") - F.row_number().over(Window.partitionBy("d").orderBy("pos")))
-    spans = island.groupBy("d", "_run").agg(
-        F.min("start").alias("start"), F.max(F.col("start") + F.col("chars")).alias("end"), F.count(F.lit(1)).alias("lines"), F.sum("words").cast("long").alias("words"),
-        F.min_by("level", "pos").alias("run_level"), F.shiftright(F.min_by("first", "pos"), LINE_BITS).alias("f"),
-    )
+    gone = at.select("pos", "start", "chars", "words").join(marked, "pos").filter(F.col("run") | (F.col("words") >= min_words))
+    island = gone.withColumn("d", F.shiftright("pos", bits)).withColumn("_run", F.col("pos") - F.row_number().over(Window.partitionBy("d").orderBy("pos")))
+    spans = island.groupBy("d", "_run").agg(F.min("pos").alias("a"), F.min("start").alias("start"), F.max(F.col("start") + F.col("chars")).alias("end"), F.count(F.lit(1)).alias("lines"), F.sum("words").cast("long").alias("words")).drop("_run")
+    spans = cut(spans, "spans")
+    deep = later.join(spans.select(F.col("a").alias("pos")), "pos", "left_semi").groupBy("pos").agg(F.max("level").alias("level"), F.max_by("first", "level").alias("b"))
+    runs = common_runs(deep.withColumnRenamed("pos", "a"), classes).withColumn("f", F.shiftright("b", bits)).select("a", "f", "run_lines")
     source = known.select(F.col("d").alias("f"), F.col("doc_id").alias("first_doc_id"))
-    return spans.join(known.select("d", "doc_id", "th"), "d").join(source, "f", "left").select("doc_id", "th", "start", "end", "lines", "words", "run_level", "first_doc_id")
+    named = known.select("d", "doc_id", *([F.col("uid").alias(row)] if row else []))
+    return spans.join(runs, "a").join(named, "d").join(source, "f").select("doc_id", *([row] if row else []), "start", "end", "lines", "words", "run_lines", "first_doc_id")
 
 
-def remove(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``docs`` without the spans and the line ends that follow them; ``left`` tells whether lines remain."""
-    lists = spans.groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_cut"))
-    joined = docs.withColumn("th", F.xxhash64(F.col("text").cast("string")))
-    joined = joined.join(lists, joined["doc_id"].eqNullSafe(lists["_id"]) & (joined["th"] == lists["_th"]), "left").drop("_id", "_th")
-    zero = F.lit(0).cast("long")
-    edges = F.concat(F.array(F.struct(zero.alias("start"), zero.alias("end"))), F.transform("_cut", lambda e: F.struct(e["start"].alias("start"), (e["end"] + 1).alias("end"))))
-    upto = lambda i: F.coalesce(F.get("_cut", i)["start"], F.length("text").cast("long"))
+def remove(docs: DataFrame, spans: DataFrame, row: str, flag: str) -> DataFrame:
+    """``docs`` without the spans and the line ends that follow them, matched by the column ``row``; the column ``flag`` tells whether lines remain."""
+    own = free(docs.columns + [flag], "_cut")
+    lists = spans.groupBy(row).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(own))
+    joined, zero, cuts = docs.join(lists, row, "left"), F.lit(0).cast("long"), F.col(f"`{own}`")
+    edges = F.concat(F.array(F.struct(zero.alias("start"), zero.alias("end"))), F.transform(cuts, lambda e: F.struct(e["start"].alias("start"), (e["end"] + 1).alias("end"))))
+    upto = lambda i: F.coalesce(F.get(cuts, i)["start"], F.length("text").cast("long"))
     kept = F.array_join(F.transform(edges, lambda e, i: F.substring(F.col("text"), (e["end"] + 1).cast("int"), F.greatest(upto(i) - e["end"], zero).cast("int"))), "")
-    return joined.withColumn("text", F.when(F.col("_cut").isNull(), F.col("text")).otherwise(kept)).withColumn("left", F.col("_cut").isNull() | (F.trim("text") != "")).drop("_cut", "th")
+    return joined.withColumn("text", F.when(cuts.isNull(), F.col("text")).otherwise(kept)).withColumn(flag, cuts.isNull() | (F.trim("text") != "")).drop(own)
+
+
+def dedup(docs: DataFrame) -> DataFrame:
+    """``docs``, all columns, without later copies; rows that lose all their lines go."""
+    row, flag = free(docs.columns, "_row"), free(docs.columns, "_left")
+    rows = with_rows(docs, row)
+    return remove(rows, repeats(rows.select(row, "doc_id", "text"), row=row), row, flag).filter(F.col(flag)).select(docs.columns)
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats(read(spark, sf_dir, "documents")).drop("th")
+    return repeats(read(spark, sf_dir, "documents"))

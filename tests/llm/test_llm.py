@@ -288,46 +288,81 @@ def test_language_accuracy(spark, docs):
 
 # 5
 def brute_lines(texts):
-    one, two, spans = set(), set(), []
-    for i in sorted(texts):
+    """``(doc, start, end, lines, words, run, source)`` of ``texts``, (doc, text) in order: every run of lines is looked for in all that stands before."""
+    spans, seen, before = [], {}, []
+    for d, (i, text) in enumerate(texts):
         found, at = [], 0
-        for line in (texts[i] or "").split("\n"):
+        for line in (text or "").split("\n"):
             if line.strip(" \t\n\x0b\x0c\r"):
                 found.append((at, at + len(line), line.strip(" \t\n\x0b\x0c\r")))
             at += len(line) + 1
-        gone = [False] * len(found)
-        for k, (_, _, x) in enumerate(found):
-            gone[k] |= x in one and len(x.split()) >= linededup.MIN_WORDS
-            if k + 1 < len(found):
-                pair = x, found[k + 1][2]
-                if pair in two:
-                    gone[k] = gone[k + 1] = True
-                two.add(pair)
-            one.add(x)
+        gone, deep = [False] * len(found), {}
+        own = [x for _, _, x in found]
+        before.append(own)
+        for k in range(len(own)):
+            level = 0
+            while k + (1 << level) <= len(own):
+                run = tuple(own[k : k + (1 << level)])
+                if run in seen:
+                    deep[k] = seen[run]
+                    if level or len(own[k].split()) >= linededup.MIN_WORDS:
+                        gone[k] = True
+                    if level == 1:
+                        gone[k + 1] = True
+                else:
+                    seen[run] = d, k
+                level += 1
         k = 0
         while k < len(found):
             j = k
             while j < len(found) and gone[j]:
                 j += 1
             if j > k:
-                spans.append((i, found[k][0], found[j - 1][1], j - k))
+                e, f = deep[k]
+                same = 0
+                while k + same < len(own) and f + same < len(before[e]) and own[k + same] == before[e][f + same]:
+                    same += 1
+                spans.append((i, found[k][0], found[j - 1][1], j - k, sum(len(x.split()) for x in own[k:j]), same, texts[e][0]))
             k = max(j, k + 1)
-    return sorted(spans)
+    return sorted(spans, key=str)
+
+
+LINE_COLUMNS = ["doc_id", "start", "end", "lines", "words", "run_lines", "first_doc_id"]
 
 
 def test_lines_brute_force(spark, texts):
-    got = registry.QUERIES["op5_line_dedup"](spark, DATA).collect()
-    assert sorted((r["doc_id"], r["start"], r["end"], r["lines"]) for r in got) == brute_lines(texts)
+    got = registry.QUERIES["op5_line_dedup"](spark, DATA).select(LINE_COLUMNS).collect()
+    assert sorted(map(tuple, got), key=str) == brute_lines(sorted(texts.items()))
+
+
+def test_line_runs_brute_force(spark):
+    """Few different lines, so that runs of many lengths overlap; some ids are null or repeated."""
+    draw = np.random.default_rng(4)
+    texts = ["\n".join(str(draw.choice(["a", "b", "c d e f g h", "", " a "])) for _ in range(draw.integers(0, 40))) for _ in range(30)]
+    rows = [(k if k < 25 else None, t) for k, t in enumerate(texts)]
+    signed = lambda t: (h := xxhash.xxh64_intdigest(t.encode(), 42)) - (h >> 63 << 64)
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, signed(r[1])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, linededup.repeats(docs).select(LINE_COLUMNS).collect()), key=str) == brute_lines(order)
 
 
 def test_line_runs_and_removal(spark):
     run = "a\nb\nc\nd"
     docs = frame(spark, [run + "\nown zero", "x\n" + run + "\ny", "one two three four five\nz", "one two three four five", "b\nq", "same\n" * 40])
-    spans = linededup.repeats(docs).cache()
-    got = {(r["doc_id"], r["start"], r["end"], r["run_level"], r["first_doc_id"]) for r in spans.collect()}
-    assert {g for g in got if g[0] == 1} == {(1, 2, 9, 2, 0)} and (3, 0, 23, 0, 2) in got and not any(g[0] == 4 for g in got)
-    text = {r["doc_id"]: (r["text"], r["left"]) for r in linededup.remove(docs, spans).collect()}
-    assert text[1] == ("x\ny", True) and text[3] == ("", False) and text[4] == ("b\nq", True) and text[0][0].startswith(run)
+    got = {tuple(r) for r in linededup.repeats(docs).select("doc_id", "start", "end", "run_lines", "first_doc_id").collect()}
+    assert {g for g in got if g[0] == 1} == {(1, 2, 9, 4, 0)} and (3, 0, 23, 1, 2) in got and not any(g[0] == 4 for g in got)
+    text = {r["doc_id"]: r["text"] for r in linededup.dedup(docs).collect()}
+    assert text[1] == "x\ny" and 3 not in text and text[4] == "b\nq" and text[0].startswith(run)
+
+
+def test_repeated_rows_and_clashing_columns_in_lines(spark):
+    """Of repeated rows one stays whole, whatever their ids; other columns pass, whatever their names."""
+    text = "these are six words of text\nand a second line stands here"
+    docs = spark.createDataFrame([(i, t, 1, 2, 3, 4) for i, t in [(7, text), (7, text), (None, text), (None, text), (3, "own words alone\nx"), (None, None), (9, "")]], "doc_id long, text string, left int, th int, _row int, _left int")
+    out = linededup.dedup(docs)
+    assert out.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted([(7, text), (3, "own words alone\nx"), (None, None), (9, "")], key=str)
+    assert linededup.dedup(docs.limit(0)).collect() == []
 
 
 # 6
