@@ -1,129 +1,152 @@
 """Substring deduplication by line or paragraph hashing, original offsets retained.
 
-A text is cut into units (``line``: lines, and sentences within them, so that
-a passage set inside a longer line is found; ``paragraph``: blocks between
-empty lines). Units are normalised (lower case, single blanks) and hashed to
-128 bits. Digests are grouped globally; the earliest occurrence, by document
-id and place, stays, and each other one is marked. Neighbouring marked units
-form one run, and runs of at least ``MIN_WORDS`` words are removed: a short
-phrase that many texts share by chance is no copied passage. A whole line or
-paragraph of ``WHOLE_WORDS`` words that occurs earlier is removed whatever the
-length of its run.
-
-``op10_whole_lines`` is this whole rule. ``op10_substring_dedup`` has the run
-rule alone, as its SQL has it.
-
-Digests are counted with partial aggregates before the shuffle, so a unit that
-holds a third of all rows is a row per task; the join back is split by AQE.
-
-Defined results: null and empty texts have no units; a unit repeated within a
-text keeps its first place; rows with the same id are ranked alike, as one
-document; an empty table gives no rows; other columns are ignored.
+A text is cut into blocks (``line``: lines; ``paragraph``: what stands between
+empty lines) and blocks into parts, a part for each sentence, so that a passage
+set inside a longer line is found. Blocks and parts are normalised (lower case,
+single blanks) and hashed to 128 bits. Digests are grouped globally; the
+earliest occurrence, by document id and place, stays, and each other one is
+marked. A marked block of ``WHOLE_WORDS`` words is removed. Marked parts are
+removed where neighbouring ones make a run of ``MIN_WORDS`` words: a short
+sentence that many texts share by chance, inside lines that differ, is no
+copied passage. With 1 for either floor every repeated block or part goes.
+
+Blocks and parts are written once. Digests are counted with partial aggregates
+before the shuffle, and those that repeat are written, so that adaptive
+execution can split the join that marks a digest that holds a third of all rows.
+
+Defined results: null and empty texts have no blocks; each row is a document
+of its own, in the order of ids (null ids last) and rows, so of repeated rows
+one stays whole; a block repeated within a text keeps its first place; an
+empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lattica.llm.common import read
+from lattica.llm.common import cut, free, read, with_rows
 
+#: A run of repeated sentences inside lines goes from so many words on, a repeated whole line or paragraph from so many.
 MIN_WORDS = 25
-#: A repeated whole line or paragraph goes from so many words on.
 WHOLE_WORDS = 5
-#: Patterns whose matches, end to end, are the whole text.
-UNITS = {"line": r"[^.!?\n]+[.!?]*\s*|[.!?\n]+\s*", "paragraph": r"(?:[^\n]+\n?)+\s*|\s+", "whole": r"[^\n]+\s*|\s+"}
+#: Patterns whose matches, end to end, are the whole text; of parts, the whole block.
+BLOCKS = {"line": r"[^\n]+\s*|\s+", "paragraph": r"(?:[^\n]+\n?)+\s*|\s+"}
+PARTS = r"[^.!?]+[.!?]*\s*|[.!?]+\s*"
 #: Elements that a running sum adds up directly.
 STRIDE = 32
+#: A rank is (id - lowest long) * RANK + number of the unit, one number of 38 digits.
+RANK, LOWEST = Decimal(10**18), Decimal(1 << 63)
 
 
-def units(docs: DataFrame, kind: str = "line") -> DataFrame:
-    """``(doc_id, pos, start, chars, words, h1, h2)``: each unit of each text, its place in code points."""
-    zero, add = F.lit(0).cast("long"), lambda a, x: a + x
-    found = docs.filter("text is not null and text <> ''").select("doc_id", F.regexp_extract_all(F.col("text").cast("string"), F.lit(UNITS[kind]), 0).alias("u"))
-    sized = found.select("doc_id", "u", F.transform("u", lambda x: F.length(x).cast("long")).alias("n"))
-    blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size("n") / STRIDE).cast("int") - 1), lambda b: F.aggregate(F.slice("n", b * STRIDE + 1, F.lit(STRIDE)), zero, add))
-    summed = sized.withColumn("b", blocks)
-    summed = summed.withColumn("p", F.transform("b", lambda x, i: F.aggregate(F.slice("b", F.lit(1), i), zero, add)))
-
-    def unit(x: Column, i: Column) -> Column:
-        block = F.floor(i / STRIDE).cast("int")
-        start = F.get("p", block) + F.aggregate(F.slice("n", block * STRIDE + 1, i % STRIDE), zero, add)
-        plain = F.trim(F.regexp_replace(F.lower(x), r"\s+", " "))
-        return F.struct(i.alias("pos"), start.alias("start"), F.length(x).alias("chars"), plain.alias("plain"))
-
-    rows = summed.select("doc_id", F.inline(F.transform("u", unit))).filter("plain <> ''")
-    words = F.length("plain") - F.length(F.replace(F.col("plain"), F.lit(" "))) + 1
-    return rows.select("doc_id", "pos", "start", "chars", words.alias("words"), F.xxhash64("plain").alias("h1"), F.xxhash64(F.lit(1), "plain").alias("h2"))
-
-
-def _later(every: DataFrame) -> DataFrame:
-    """The units that occur earlier, with ``first_doc_id``."""
-    twice = every.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc_id"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    marked = every.join(twice.drop("n"), ["h1", "h2"]).repartition("doc_id")
-    same = Window.partitionBy("doc_id", "h1", "h2").orderBy("pos")
-    # Of the document that has a unit first, its first place stays.
-    return marked.withColumn("_nth", F.row_number().over(same)).filter("doc_id > first_doc_id or _nth > 1")
+def _plain(x: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(x), r"\s+", " "))
 
 
-def _spans(units: DataFrame) -> DataFrame:
-    """Neighbouring units as one span."""
-    run = units.withColumn("_run", F.col("pos") - F.row_number().over(Window.partitionBy("doc_id").orderBy("pos")))
-    return run.groupBy("doc_id", "_run").agg(
-        F.min("start").alias("start"), F.max(F.col("start") + F.col("chars")).alias("end"), F.count(F.lit(1)).alias("units"), F.sum("words").cast("long").alias("words"), F.min("first_doc_id").alias("first_doc_id")
-    ).drop("_run")
+def _starts(pieces: Column, base: Column) -> Column:
+    """``(start, x)`` of each of an array's strings, laid end to end from ``base``."""
+    zero, add = F.lit(0).cast("long"), lambda a, x: a + x
+    sizes = F.transform(pieces, lambda x: F.length(x).cast("long"))
+    blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(pieces) / STRIDE).cast("int") - 1), lambda b: F.aggregate(F.slice(sizes, b * STRIDE + 1, F.lit(STRIDE)), zero, add))
+    # Names its arguments, so that the sums are made once.
+    named = F.transform(F.array(F.struct(pieces.alias("u"), sizes.alias("n"), blocks.alias("b"))), lambda s: F.struct(s["u"].alias("u"), s["n"].alias("n"), F.transform(s["b"], lambda x, i: F.aggregate(F.slice(s["b"], F.lit(1), i), zero, add)).alias("p")))
+
+    def placed(s: Column) -> Column:
+        def start(x: Column, i: Column) -> Column:
+            block = F.floor(i / STRIDE).cast("int")
+            return F.struct((base + F.get(s["p"], block) + F.aggregate(F.slice(s["n"], block * STRIDE + 1, i % STRIDE), zero, add)).alias("start"), x.alias("x"))
+
+        return F.transform(s["u"], start)
+
+    return F.flatten(F.transform(named, placed))
+
+
+def units(docs: DataFrame, kind: str = "line", row: str | None = None) -> DataFrame:
+    """``(doc_id, row, uid, whole, start, chars, words, h1, h2)``: each block (``whole``) and part that isn't blank, its place in code points and a number that rises with row and place."""
+    zero = F.lit(0).cast("long")
+    found = docs.select("doc_id", (F.col(row) if row else F.monotonically_increasing_id()).alias("row"), F.col("text").cast("string").alias("text")).filter("text is not null and text <> ''")
+    blocks = found.select("doc_id", "row", F.inline(_starts(F.regexp_extract_all("text", F.lit(BLOCKS[kind]), 0), zero)))
+    blocks = blocks.select("doc_id", "row", "start", "x", _plain(F.col("x")).alias("plain")).filter("plain <> ''")
+    parts = F.filter(F.transform(_starts(F.regexp_extract_all("x", F.lit(PARTS), 0), F.col("start")), lambda s: F.struct(F.lit(False).alias("whole"), s["start"].alias("start"), F.length(s["x"]).alias("chars"), _plain(s["x"]).alias("plain"))), lambda s: s["plain"] != "")
+    block = F.array(F.struct(F.lit(True).alias("whole"), F.col("start").alias("start"), F.length("x").alias("chars"), F.col("plain").alias("plain")))
+    rows = blocks.select("doc_id", "row", F.inline(F.concat(block, parts)))
+    words = F.length("plain") - F.length(F.replace(F.col("plain"), F.lit(" "))) + 1
+    return rows.select("doc_id", "row", F.monotonically_increasing_id().alias("uid"), "whole", "start", "chars", words.alias("words"), F.xxhash64("plain", "whole").alias("h1"), F.xxhash64(F.lit(1), "plain", "whole").alias("h2"))
 
 
-def repeats(docs: DataFrame, kind: str = "line", min_words: int = MIN_WORDS, whole_words: int | None = WHOLE_WORDS) -> DataFrame:
-    """Removed runs: ``(doc_id, start, end, units, words, first_doc_id)``; ``first_doc_id`` keeps the earliest of its units.
+def repeats(docs: DataFrame, kind: str = "line", min_words: int = MIN_WORDS, whole_words: int = WHOLE_WORDS, row: str | None = None) -> DataFrame:
+    """Removed runs: ``(doc_id, start, end, units, words, first_doc_id)``, and the column ``row`` if that is named.
 
-    ``whole_words`` is the floor of repeated whole lines and paragraphs; without it they count as other units do.
+    ``units`` counts parts; ``first_doc_id`` has the earliest of the documents where they stay.
     """
-    later = _later(units(docs, kind))
-    if whole_words is None:
-        return _spans(later).filter(F.col("words") >= min_words)
-    # All units of a repeated line are repeated as well, so its span is made up of them.
-    whole = _later(units(docs, "whole")) if kind == "line" else later
-    until = whole.filter(F.col("words") >= whole_words).select("doc_id", "start", (F.col("start") + F.col("chars")).alias("_until"))
-    own = later.withColumn("_run", F.col("pos") - F.row_number().over(Window.partitionBy("doc_id").orderBy("pos")))
-    own = own.withColumn("_total", F.sum("words").over(Window.partitionBy("doc_id", "_run")))
-    both = own.select("doc_id", "start", "pos", "chars", "words", "first_doc_id", "_total").unionByName(until, allowMissingColumns=True)
-    # A line stands before the units that begin where it begins.
-    reach = F.max("_until").over(Window.partitionBy("doc_id").orderBy("start", F.col("pos").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
-    gone = both.withColumn("_reach", reach).filter("pos is not null").filter((F.col("_total") >= min_words) | (F.col("start") < F.col("_reach")))
-    return _spans(gone)
-
-
-def remove(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """``docs`` with the spans cut out of their texts and listed, with original offsets, in ``removed``."""
-    lists = spans.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("removed"))
-    joined = docs.join(lists, "doc_id", "left")
-    edges = F.concat(F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(0).cast("long").alias("end"))), F.col("removed"))
-    upto = lambda i: F.coalesce(F.get("removed", i)["start"], F.length("text").cast("long"))
+    every = cut(units(docs, kind, row), "units")
+    ident = F.coalesce(F.col("doc_id").cast("decimal(20,0)") + F.lit(LOWEST), F.lit(2 * LOWEST))
+    every = every.withColumn("rank", (ident * F.lit(RANK) + F.col("uid")).cast("decimal(38,0)"))
+    twice = cut(every.groupBy("h1", "h2").agg(F.min("rank").alias("first"), F.min("doc_id").alias("first_doc_id"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "twice")
+    later = every.join(twice, ["h1", "h2"]).filter("rank > first").select("doc_id", "row", "uid", "whole", "start", (F.col("start") + F.col("chars")).alias("end"), "words", "first_doc_id")
+    # A block stands before its first part.
+    place = Window.partitionBy("row").orderBy("uid")
+    reach = F.max(F.when(F.col("whole") & (F.col("words") >= whole_words), F.col("end"))).over(place.rowsBetween(Window.unboundedPreceding, 0))
+    parts = _runs(later.withColumn("_reach", F.coalesce(reach, F.lit(0))).filter(~F.col("whole")))
+    parts = parts.withColumn("_total", F.sum("words").over(Window.partitionBy("row", "_run")))
+    gone = _runs(parts.filter((F.col("_total") >= min_words) | (F.col("start") < F.col("_reach"))))
+    spans = gone.groupBy("row", "_run").agg(F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("units"), F.sum("words").cast("long").alias("words"), F.min("first_doc_id").alias("first_doc_id"))
+    return spans.select("doc_id", *([F.col("row").alias(row)] if row else []), "start", "end", "units", "words", "first_doc_id")
+
+
+def _runs(parts: DataFrame) -> DataFrame:
+    """``parts`` with ``_run``: one number for those that stand end to end."""
+    place = Window.partitionBy("row").orderBy("uid")
+    first = F.coalesce((F.lag("end").over(place) != F.col("start")).cast("int"), F.lit(1))
+    return parts.withColumn("_first", first).withColumn("_run", F.sum("_first").over(place)).drop("_first")
+
+
+def remove(docs: DataFrame, spans: DataFrame, row: str, removed: str = "removed") -> DataFrame:
+    """``docs`` with the spans, matched by the column ``row``, cut out of their texts and listed, with original offsets, in a column ``removed``."""
+    lists = spans.groupBy(row).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias(removed))
+    joined, cuts, zero = docs.join(lists, row, "left"), F.col(f"`{removed}`"), F.lit(0).cast("long")
+    edges = F.concat(F.array(F.struct(zero.alias("start"), zero.alias("end"))), cuts)
+    upto = lambda i: F.coalesce(F.get(cuts, i)["start"], F.length("text").cast("long"))
     kept = F.array_join(F.transform(edges, lambda e, i: F.substring(F.col("text"), (e["end"] + 1).cast("int"), (upto(i) - e["end"]).cast("int"))), "")
-    return joined.withColumn("text", F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept))
+    return joined.withColumn("text", F.when(cuts.isNull(), F.col("text")).otherwise(kept))
 
 
-def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats(read(spark, sf_dir, "documents"), whole_words=None)
+def dedup(docs: DataFrame, kind: str = "line", min_words: int = MIN_WORDS, whole_words: int = WHOLE_WORDS) -> DataFrame:
+    """``docs``, all columns, without later copies; what was cut out of a text is listed in ``removed`` (with a mark after it where ``docs`` has such a column)."""
+    row, removed = free(docs.columns, "_row"), free(docs.columns, "removed")
+    rows = with_rows(docs, row)
+    return remove(rows, repeats(rows.select(row, "doc_id", "text"), kind, min_words, whole_words, row), row, removed).select(*docs.columns, removed)
 
 
-def op10_whole_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats(read(spark, sf_dir, "documents"))
 
 
 OP10_SQL = rf"""
-WITH d AS (SELECT doc_id, regexp_extract_all(text, '{UNITS["line"]}') AS u FROM documents WHERE text IS NOT NULL AND text <> ''),
-e AS (SELECT doc_id, u, unnest(range(1, len(u) + 1)) AS k FROM d),
-f AS (SELECT doc_id, k - 1 AS pos, u[k] AS unit, trim(regexp_replace(lower(u[k]), '\s+', ' ', 'g')) AS plain FROM e),
-g AS (SELECT *, CAST(sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY pos) AS BIGINT) AS until FROM f),
+WITH d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS row, regexp_extract_all(text, '{BLOCKS["line"]}') AS u FROM documents WHERE text IS NOT NULL AND text <> ''),
+e AS (SELECT doc_id, row, unnest(u) AS x, unnest(range(1, len(u) + 1)) AS k FROM d),
+b AS (SELECT doc_id, row, k, x, CAST(sum(length(x)) OVER (PARTITION BY row ORDER BY k) AS BIGINT) - length(x) AS start, regexp_extract_all(x, '{PARTS}') AS v FROM e),
+p AS (SELECT doc_id, row, k, start AS base, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS j FROM b),
+c AS (
+  SELECT doc_id, row, k, 0 AS j, true AS whole, start, x FROM b
+  UNION ALL
+  SELECT doc_id, row, k, j, false, base + CAST(sum(length(x)) OVER (PARTITION BY row, k ORDER BY j) AS BIGINT) - length(x), x FROM p
+),
+f AS (SELECT *, start + length(x) AS until, trim(regexp_replace(lower(x), '\s+', ' ', 'g')) AS plain FROM c),
 h AS (
-  SELECT *, min(doc_id) OVER (PARTITION BY plain) AS first_doc_id, count(*) OVER (PARTITION BY plain) AS n, row_number() OVER (PARTITION BY doc_id, plain ORDER BY pos) AS nth,
+  SELECT *, min(doc_id) OVER (PARTITION BY plain, whole) AS first_doc_id, row_number() OVER (PARTITION BY plain, whole ORDER BY doc_id, row, k, j) AS nth,
          length(plain) - length(replace(plain, ' ', '')) + 1 AS words
-  FROM g WHERE plain <> ''
+  FROM f WHERE plain <> ''
 ),
-r AS (SELECT *, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM h WHERE n > 1 AND (doc_id > first_doc_id OR nth > 1))
-SELECT doc_id, CAST(min(until - length(unit)) AS BIGINT) AS start, CAST(max(until) AS BIGINT) AS "end", count(*) AS units, CAST(sum(words) AS BIGINT) AS words, min(first_doc_id) AS first_doc_id
-FROM r GROUP BY doc_id, run HAVING sum(words) >= {MIN_WORDS}
+m AS (SELECT *, coalesce(max(CASE WHEN whole AND words >= {WHOLE_WORDS} THEN until END) OVER (PARTITION BY row ORDER BY k, j), 0) AS reach FROM h WHERE nth > 1),
+r AS (SELECT *, CASE WHEN lag(until) OVER (PARTITION BY row ORDER BY k, j) = start THEN 0 ELSE 1 END AS f FROM m WHERE NOT whole),
+s AS (SELECT *, sum(f) OVER (PARTITION BY row ORDER BY k, j) AS run FROM r),
+t AS (SELECT *, sum(words) OVER (PARTITION BY row, run) AS total FROM s),
+g AS (SELECT *, CASE WHEN lag(until) OVER (PARTITION BY row ORDER BY k, j) = start THEN 0 ELSE 1 END AS f2 FROM t WHERE total >= {MIN_WORDS} OR start < reach),
+o AS (SELECT *, sum(f2) OVER (PARTITION BY row ORDER BY k, j) AS run2 FROM g)
+SELECT doc_id, CAST(min(start) AS BIGINT) AS start, CAST(max(until) AS BIGINT) AS "end", count(*) AS units, CAST(sum(words) AS BIGINT) AS words, min(first_doc_id) AS first_doc_id
+FROM o GROUP BY doc_id, row, run2
 """

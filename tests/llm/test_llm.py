@@ -523,34 +523,57 @@ def test_passages(spark):
     passage = ". ".join(" ".join(f"p{k}x{j}" for j in range(9)) for k in range(7)) + "."
     texts = ["start of one " + passage + " and the end.", "quite another text. before it " + passage + " after that.", "a short phrase. nothing more.", "a short phrase. something else.", passage]
     docs = frame(spark, texts)
-    spans = substrings.repeats(docs).cache()
-    got = {r["doc_id"]: r for r in spans.collect()}
+    got = {r["doc_id"]: r for r in substrings.repeats(docs).collect()}
     assert set(got) == {1, 4} and got[1]["first_doc_id"] == 0 and got[1]["words"] >= 50
-    cut = {r["doc_id"]: r for r in substrings.remove(docs, spans).collect()}
+    cut = {r["doc_id"]: r for r in substrings.dedup(docs).collect()}
     assert "p3x3" not in cut[1]["text"] and cut[0]["text"] == texts[0] and cut[2]["removed"] is None
-    assert texts[1][got[1]["start"] : got[1]["end"]] not in cut[1]["text"]
+    assert texts[1][got[1]["start"] : got[1]["end"]] not in cut[1]["text"] and tuple(cut[1]["removed"][0]) == (got[1]["start"], got[1]["end"])
+    every = {r["doc_id"]: r["text"] for r in substrings.dedup(docs, min_words=1, whole_words=1).collect()}
+    assert every[3] == "something else." and every[2] == texts[2]
 
 
 def test_whole_lines_go(spark):
     texts = ["six words stand in this line\nfour words stay here", "a new start. six words stand in this line\nother text\nSix words  stand in this line\nfour words stay here\nanother end", "One here. And two there.\nx\nOne here. And two there.", "a first part.\n\none more paragraph of six words\n", "b\n\none more paragraph of six words\n"]
     docs = frame(spark, texts)
-    for kind, want in (("line", [None, "a new start. six words stand in this line\nother text\nfour words stay here\nanother end", "One here. And two there.\nx\n", None, "b\n\n"]), ("paragraph", [None, None, None, None, "b\n\n"])):
-        got = {r["doc_id"]: r["text"] for r in substrings.remove(docs, substrings.repeats(docs, kind)).collect()}
-        assert got == {i: t if w is None else w for i, (t, w) in enumerate(zip(texts, want))}
+    lines = [None, "a new start. six words stand in this line\nother text\nfour words stay here\nanother end", "One here. And two there.\nx\n", None, "b\n\n"]
+    for kind, floor, want in (("line", 5, lines), ("paragraph", 5, [None, None, None, None, "b\n\n"]), ("line", 1, [None, lines[1].replace("four words stay here\n", ""), *lines[2:]])):
+        assert {r["doc_id"]: r["text"] for r in substrings.dedup(docs, kind, whole_words=floor).collect()} == {i: t if w is None else w for i, (t, w) in enumerate(zip(texts, want))}
+
+
+def test_repeated_rows_and_ids_of_substrings(spark):
+    """Of repeated rows the earliest stays whole; null ids come last; texts that share an id are apart; other columns pass."""
+    a, b, c = "six words stand in this line", "another line of some six words", "yet another line of six words"
+    rows = [(None, a), (7, f"{a}\n{b}"), (7, f"{a}\n{b}"), (9, f"own words\n{b}"), (9, f"{c}\n{a}"), (None, c), (None, c), (1, None), (2, "")]
+    docs = spark.createDataFrame([(i, t, 1, 2, 3, 4) for i, t in rows], "doc_id long, text string, removed int, _row int, rank int, h1 int")
+    out = substrings.dedup(docs)
+    assert out.columns == [*docs.columns, "removed_"]
+    want = [(None, ""), (7, f"{a}\n{b}"), (7, ""), (9, "own words\n"), (9, f"{c}\n"), (None, ""), (None, ""), (1, None), (2, "")]
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted(want, key=str)
+    spans = sorted(((r["doc_id"], r["start"], r["end"], r["first_doc_id"]) for r in substrings.repeats(docs).collect()), key=str)
+    assert spans == sorted([(None, 0, 28, 7), (7, 0, 59, 7), (9, 10, 40, 7), (9, 30, 58, 7), (None, 0, 29, 9), (None, 0, 29, 9)], key=str)
+    assert substrings.dedup(docs.limit(0)).collect() == []
+    nulls = spark.createDataFrame([(None, a)] * 3, "doc_id long, text string")
+    assert sorted(r["text"] for r in substrings.dedup(nulls).collect()) == ["", "", a]
 
 
 def test_units_brute_force(spark, texts):
     import re
 
+    some = {**dict(list(texts.items())[:60]), -1: " lead. \n\n.\n!x\n\ta.b  c!?\nlast" * 20}
     for kind in ("line", "paragraph"):
-        rows = substrings.units(spark.createDataFrame(list(texts.items())[:60], "doc_id long, text string"), kind).collect()
+        rows = substrings.units(spark.createDataFrame(list(some.items()), "doc_id long, text string"), kind).collect()
         want = []
-        for i, t in list(texts.items())[:60]:
-            parts = re.findall(substrings.UNITS[kind], t)
-            assert "".join(parts) == t
+        for i, t in some.items():
+            blocks = re.findall(substrings.BLOCKS[kind], t)
+            assert "".join(blocks) == t
             at = 0
-            for k, p in enumerate(parts):
-                if p.strip():
-                    want.append((i, k, at, len(p)))
-                at += len(p)
-        assert sorted((r["doc_id"], r["pos"], r["start"], r["chars"]) for r in rows) == sorted(want)
+            for b in blocks:
+                parts = re.findall(substrings.PARTS, b)
+                assert "".join(parts) == b
+                if b.strip():
+                    want.append((i, True, at, len(b)))
+                for p in parts:
+                    if p.strip():
+                        want.append((i, False, at, len(p)))
+                    at += len(p)
+        assert sorted((r["doc_id"], r["whole"], r["start"], r["chars"]) for r in rows) == sorted(want)
