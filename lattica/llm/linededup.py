@@ -95,10 +95,12 @@ def common_runs(pairs: DataFrame, classes: list[DataFrame]) -> DataFrame:
     out = pairs.withColumn("run_lines", F.expr("shiftleft(cast(1 as bigint), level)"))
     for k in range(len(classes) - 2, -1, -1):
         ranks = classes[k].select("pos", "r")
-        open_ = out.filter(F.col("level") > k).withColumn("pa", F.col("a") + F.col("run_lines")).withColumn("pb", F.col("b") + F.col("run_lines"))
-        more = open_.join(ranks.select(F.col("pos").alias("pa"), F.col("r").alias("ra")), "pa", "left").join(ranks.select(F.col("pos").alias("pb"), F.col("r").alias("rb")), "pb", "left")
-        more = more.withColumn("run_lines", F.col("run_lines") + F.when(F.col("ra") == F.col("rb"), 1 << k).otherwise(0)).select(out.columns)
-        out = more.union(out.filter(F.col("level") <= k))
+        # Pairs that parted above this level have a place that is none.
+        on = lambda at: F.when(F.col("level") > k, F.col(at) + F.col("run_lines")).otherwise(-F.col("a") - 1)  # noqa: B023, E731
+        both = out.withColumn("pa", on("a")).withColumn("pb", on("b"))
+        both = both.join(ranks.select(F.col("pos").alias("pa"), F.col("r").alias("ra")), "pa", "left").join(ranks.select(F.col("pos").alias("pb"), F.col("r").alias("rb")), "pb", "left")
+        was, out = out, cut(both.withColumn("run_lines", F.col("run_lines") + F.when(F.col("ra") == F.col("rb"), 1 << k).otherwise(0)).select(out.columns), "runs")
+        drop_cut(was)
     return out
 
 

@@ -1,7 +1,7 @@
 """Substring deduplication by line or paragraph hashing, original offsets retained.
 
 A text is cut into blocks (``line``: lines; ``paragraph``: what stands between
-empty lines) and blocks into parts, a part for each sentence, so that a passage
+empty lines) and into parts, the sentences within its lines, so that a passage
 set inside a longer line is found. Blocks and parts are normalised (lower case,
 single blanks) and hashed to 128 bits. Digests are grouped globally; the
 earliest occurrence, by document id and place, stays, and each other one is
@@ -33,9 +33,9 @@ from lattica.llm.common import cut, free, read, with_rows
 #: A run of repeated sentences inside lines goes from so many words on, a repeated whole line or paragraph from so many.
 MIN_WORDS = 25
 WHOLE_WORDS = 5
-#: Patterns whose matches, end to end, are the whole text; of parts, the whole block.
+#: Patterns whose matches, end to end, are the whole text.
 BLOCKS = {"line": r"[^\n]+\s*|\s+", "paragraph": r"(?:[^\n]+\n?)+\s*|\s+"}
-PARTS = r"[^.!?]+[.!?]*\s*|[.!?]+\s*"
+PARTS = r"[^.!?\n]+[.!?]*\s*|[.!?]+\s*|\s+"
 #: Elements that a running sum adds up directly.
 STRIDE = 32
 #: A rank is (id - lowest long) * RANK + number of the unit, one number of 38 digits.
@@ -46,33 +46,29 @@ def _plain(x: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(x), r"\s+", " "))
 
 
-def _starts(pieces: Column, base: Column) -> Column:
-    """``(start, x)`` of each of an array's strings, laid end to end from ``base``."""
+def units(docs: DataFrame, kind: str = "line", row: str | None = None) -> DataFrame:
+    """``(doc_id, row, uid, whole, start, chars, words, h1, h2)``: each block (``whole``) and part that isn't blank, its place in code points and a number that rises with the row."""
     zero, add = F.lit(0).cast("long"), lambda a, x: a + x
-    sizes = F.transform(pieces, lambda x: F.length(x).cast("long"))
-    blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(pieces) / STRIDE).cast("int") - 1), lambda b: F.aggregate(F.slice(sizes, b * STRIDE + 1, F.lit(STRIDE)), zero, add))
-    # Names its arguments, so that the sums are made once.
-    named = F.transform(F.array(F.struct(pieces.alias("u"), sizes.alias("n"), blocks.alias("b"))), lambda s: F.struct(s["u"].alias("u"), s["n"].alias("n"), F.transform(s["b"], lambda x, i: F.aggregate(F.slice(s["b"], F.lit(1), i), zero, add)).alias("p")))
-
-    def placed(s: Column) -> Column:
-        def start(x: Column, i: Column) -> Column:
+    found = docs.select("doc_id", (F.col(row) if row else F.monotonically_increasing_id()).alias("row"), F.col("text").cast("string").alias("text")).filter("text is not null and text <> ''")
+    patterns = {"v": BLOCKS[kind], "u": PARTS}
+    found = found.select("doc_id", "row", *[F.regexp_extract_all("text", F.lit(p), 0).alias(c) for c, p in patterns.items()])
+    for c in patterns:
+        found = found.withColumn(f"n{c}", F.transform(c, lambda x: F.length(x).cast("long")))
+    for c in patterns:
+        sums = F.transform(F.sequence(F.lit(0), F.ceil(F.size(c) / STRIDE).cast("int") - 1), lambda b: F.aggregate(F.slice(f"n{c}", b * STRIDE + 1, F.lit(STRIDE)), zero, add))  # noqa: B023
+        found = found.withColumn(f"b{c}", sums)
+    for c in patterns:
+        found = found.withColumn(f"p{c}", F.transform(f"b{c}", lambda x, i: F.aggregate(F.slice(f"b{c}", F.lit(1), i), zero, add)))  # noqa: B023
+
+    def placed(c: str) -> Column:
+        def unit(x: Column, i: Column) -> Column:
             block = F.floor(i / STRIDE).cast("int")
-            return F.struct((base + F.get(s["p"], block) + F.aggregate(F.slice(s["n"], block * STRIDE + 1, i % STRIDE), zero, add)).alias("start"), x.alias("x"))
-
-        return F.transform(s["u"], start)
+            start = F.get(f"p{c}", block) + F.aggregate(F.slice(f"n{c}", block * STRIDE + 1, i % STRIDE), zero, add)
+            return F.struct(F.lit(c == "v").alias("whole"), start.alias("start"), F.length(x).alias("chars"), _plain(x).alias("plain"))
 
-    return F.flatten(F.transform(named, placed))
+        return F.transform(c, unit)
 
-
-def units(docs: DataFrame, kind: str = "line", row: str | None = None) -> DataFrame:
-    """``(doc_id, row, uid, whole, start, chars, words, h1, h2)``: each block (``whole``) and part that isn't blank, its place in code points and a number that rises with row and place."""
-    zero = F.lit(0).cast("long")
-    found = docs.select("doc_id", (F.col(row) if row else F.monotonically_increasing_id()).alias("row"), F.col("text").cast("string").alias("text")).filter("text is not null and text <> ''")
-    blocks = found.select("doc_id", "row", F.inline(_starts(F.regexp_extract_all("text", F.lit(BLOCKS[kind]), 0), zero)))
-    blocks = blocks.select("doc_id", "row", "start", "x", _plain(F.col("x")).alias("plain")).filter("plain <> ''")
-    parts = F.filter(F.transform(_starts(F.regexp_extract_all("x", F.lit(PARTS), 0), F.col("start")), lambda s: F.struct(F.lit(False).alias("whole"), s["start"].alias("start"), F.length(s["x"]).alias("chars"), _plain(s["x"]).alias("plain"))), lambda s: s["plain"] != "")
-    block = F.array(F.struct(F.lit(True).alias("whole"), F.col("start").alias("start"), F.length("x").alias("chars"), F.col("plain").alias("plain")))
-    rows = blocks.select("doc_id", "row", F.inline(F.concat(block, parts)))
+    rows = found.select("doc_id", "row", F.inline(F.concat(placed("v"), placed("u")))).filter("plain <> ''")
     words = F.length("plain") - F.length(F.replace(F.col("plain"), F.lit(" "))) + 1
     return rows.select("doc_id", "row", F.monotonically_increasing_id().alias("uid"), "whole", "start", "chars", words.alias("words"), F.xxhash64("plain", "whole").alias("h1"), F.xxhash64(F.lit(1), "plain", "whole").alias("h2"))
 
@@ -84,11 +80,11 @@ def repeats(docs: DataFrame, kind: str = "line", min_words: int = MIN_WORDS, who
     """
     every = cut(units(docs, kind, row), "units")
     ident = F.coalesce(F.col("doc_id").cast("decimal(20,0)") + F.lit(LOWEST), F.lit(2 * LOWEST))
-    every = every.withColumn("rank", (ident * F.lit(RANK) + F.col("uid")).cast("decimal(38,0)"))
-    twice = cut(every.groupBy("h1", "h2").agg(F.min("rank").alias("first"), F.min("doc_id").alias("first_doc_id"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "twice")
-    later = every.join(twice, ["h1", "h2"]).filter("rank > first").select("doc_id", "row", "uid", "whole", "start", (F.col("start") + F.col("chars")).alias("end"), "words", "first_doc_id")
+    rank = (ident * F.lit(RANK) + F.col("uid")).cast("decimal(38,0)")
+    twice = cut(every.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.min("doc_id").alias("first_doc_id"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "twice")
+    later = every.join(twice, ["h1", "h2"]).filter(rank > F.col("first")).select("doc_id", "row", "whole", "start", (F.col("start") + F.col("chars")).alias("end"), "words", "first_doc_id")
     # A block stands before its first part.
-    place = Window.partitionBy("row").orderBy("uid")
+    place = Window.partitionBy("row").orderBy("start", F.col("whole").desc())
     reach = F.max(F.when(F.col("whole") & (F.col("words") >= whole_words), F.col("end"))).over(place.rowsBetween(Window.unboundedPreceding, 0))
     parts = _runs(later.withColumn("_reach", F.coalesce(reach, F.lit(0))).filter(~F.col("whole")))
     parts = parts.withColumn("_total", F.sum("words").over(Window.partitionBy("row", "_run")))
@@ -99,7 +95,7 @@ def repeats(docs: DataFrame, kind: str = "line", min_words: int = MIN_WORDS, who
 
 def _runs(parts: DataFrame) -> DataFrame:
     """``parts`` with ``_run``: one number for those that stand end to end."""
-    place = Window.partitionBy("row").orderBy("uid")
+    place = Window.partitionBy("row").orderBy("start")
     first = F.coalesce((F.lag("end").over(place) != F.col("start")).cast("int"), F.lit(1))
     return parts.withColumn("_first", first).withColumn("_run", F.sum("_first").over(place)).drop("_first")
 
@@ -127,26 +123,25 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP10_SQL = rf"""
 WITH d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS row, regexp_extract_all(text, '{BLOCKS["line"]}') AS u FROM documents WHERE text IS NOT NULL AND text <> ''),
-e AS (SELECT doc_id, row, unnest(u) AS x, unnest(range(1, len(u) + 1)) AS k FROM d),
-b AS (SELECT doc_id, row, k, x, CAST(sum(length(x)) OVER (PARTITION BY row ORDER BY k) AS BIGINT) - length(x) AS start, regexp_extract_all(x, '{PARTS}') AS v FROM e),
-p AS (SELECT doc_id, row, k, start AS base, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS j FROM b),
-c AS (
-  SELECT doc_id, row, k, 0 AS j, true AS whole, start, x FROM b
+p AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS row, regexp_extract_all(text, '{PARTS}') AS v FROM documents WHERE text IS NOT NULL AND text <> ''),
+e AS (
+  SELECT doc_id, row, true AS whole, unnest(u) AS x, unnest(range(1, len(u) + 1)) AS k FROM d
   UNION ALL
-  SELECT doc_id, row, k, j, false, base + CAST(sum(length(x)) OVER (PARTITION BY row, k ORDER BY j) AS BIGINT) - length(x), x FROM p
+  SELECT doc_id, row, false, unnest(v), unnest(range(1, len(v) + 1)) FROM p
 ),
+c AS (SELECT *, CAST(sum(length(x)) OVER (PARTITION BY row, whole ORDER BY k) AS BIGINT) - length(x) AS start FROM e),
 f AS (SELECT *, start + length(x) AS until, trim(regexp_replace(lower(x), '\s+', ' ', 'g')) AS plain FROM c),
 h AS (
-  SELECT *, min(doc_id) OVER (PARTITION BY plain, whole) AS first_doc_id, row_number() OVER (PARTITION BY plain, whole ORDER BY doc_id, row, k, j) AS nth,
+  SELECT *, min(doc_id) OVER (PARTITION BY plain, whole) AS first_doc_id, row_number() OVER (PARTITION BY plain, whole ORDER BY doc_id, row, k) AS nth,
          length(plain) - length(replace(plain, ' ', '')) + 1 AS words
   FROM f WHERE plain <> ''
 ),
-m AS (SELECT *, coalesce(max(CASE WHEN whole AND words >= {WHOLE_WORDS} THEN until END) OVER (PARTITION BY row ORDER BY k, j), 0) AS reach FROM h WHERE nth > 1),
-r AS (SELECT *, CASE WHEN lag(until) OVER (PARTITION BY row ORDER BY k, j) = start THEN 0 ELSE 1 END AS f FROM m WHERE NOT whole),
-s AS (SELECT *, sum(f) OVER (PARTITION BY row ORDER BY k, j) AS run FROM r),
+m AS (SELECT *, coalesce(max(CASE WHEN whole AND words >= {WHOLE_WORDS} THEN until END) OVER (PARTITION BY row ORDER BY start, whole DESC), 0) AS reach FROM h WHERE nth > 1),
+r AS (SELECT *, CASE WHEN lag(until) OVER (PARTITION BY row ORDER BY start) = start THEN 0 ELSE 1 END AS f FROM m WHERE NOT whole),
+s AS (SELECT *, sum(f) OVER (PARTITION BY row ORDER BY start) AS run FROM r),
 t AS (SELECT *, sum(words) OVER (PARTITION BY row, run) AS total FROM s),
-g AS (SELECT *, CASE WHEN lag(until) OVER (PARTITION BY row ORDER BY k, j) = start THEN 0 ELSE 1 END AS f2 FROM t WHERE total >= {MIN_WORDS} OR start < reach),
-o AS (SELECT *, sum(f2) OVER (PARTITION BY row ORDER BY k, j) AS run2 FROM g)
+g AS (SELECT *, CASE WHEN lag(until) OVER (PARTITION BY row ORDER BY start) = start THEN 0 ELSE 1 END AS f2 FROM t WHERE total >= {MIN_WORDS} OR start < reach),
+o AS (SELECT *, sum(f2) OVER (PARTITION BY row ORDER BY start) AS run2 FROM g)
 SELECT doc_id, CAST(min(start) AS BIGINT) AS start, CAST(max(until) AS BIGINT) AS "end", count(*) AS units, CAST(sum(words) AS BIGINT) AS words, min(first_doc_id) AS first_doc_id
 FROM o GROUP BY doc_id, row, run2
 """

@@ -564,16 +564,11 @@ def test_units_brute_force(spark, texts):
         rows = substrings.units(spark.createDataFrame(list(some.items()), "doc_id long, text string"), kind).collect()
         want = []
         for i, t in some.items():
-            blocks = re.findall(substrings.BLOCKS[kind], t)
-            assert "".join(blocks) == t
-            at = 0
-            for b in blocks:
-                parts = re.findall(substrings.PARTS, b)
-                assert "".join(parts) == b
-                if b.strip():
-                    want.append((i, True, at, len(b)))
-                for p in parts:
-                    if p.strip():
-                        want.append((i, False, at, len(p)))
-                    at += len(p)
+            for whole, pattern in ((True, substrings.BLOCKS[kind]), (False, substrings.PARTS)):
+                found, at = re.findall(pattern, t), 0
+                assert "".join(found) == t
+                for x in found:
+                    if x.strip():
+                        want.append((i, whole, at, len(x)))
+                    at += len(x)
         assert sorted((r["doc_id"], r["whole"], r["start"], r["chars"]) for r in rows) == sorted(want)
