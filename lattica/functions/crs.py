@@ -78,8 +78,14 @@ _RAD = math.pi / 180
 
 @dataclass(frozen=True)
 class Utm:
-    zone: int
-    south: bool
+    """Zone and hemisphere are numbers, or columns: one formula for all zones."""
+
+    zone: int | Column
+    south: bool | Column
+
+    @property
+    def north_at(self):
+        return F.when(self.south, FALSE_NORTH).otherwise(0.0) if isinstance(self.south, Column) else FALSE_NORTH if self.south else 0.0
 
     def forward(self, m, lon, lat):
         two = 2 * math.sqrt(_N) / (1 + _N)
@@ -92,9 +98,9 @@ class Utm:
             for j, a in enumerate(_ALPHA, 1):
                 east = east + m.cos(xi * (2 * j)) * m.sinh(eta * (2 * j)) * a
                 north = north + m.sin(xi * (2 * j)) * m.cosh(eta * (2 * j)) * a
-            return east * (K0 * _RADIUS) + FALSE_EAST, north * (K0 * _RADIUS) + (FALSE_NORTH if self.south else 0.0)
+            return east * (K0 * _RADIUS) + FALSE_EAST, north * (K0 * _RADIUS) + self.north_at
 
-        sphere = m.bind(m.sin(lat * _RAD), lon * _RAD - (6 * self.zone - 183) * _RAD, conformal)
+        sphere = m.bind(m.sin(lat * _RAD), lon * _RAD - (self.zone * 6 - 183) * _RAD, conformal)
         return m.bind(*sphere, rectified)
 
     def inverse(self, m, x, y):
@@ -109,9 +115,9 @@ class Utm:
             lat = chi
             for j, d in enumerate(_DELTA, 1):
                 lat = lat + m.sin(chi * (2 * j)) * d
-            return turn / _RAD + (6 * self.zone - 183), lat / _RAD
+            return turn / _RAD + (self.zone * 6 - 183), lat / _RAD
 
-        plane = m.bind((y - (FALSE_NORTH if self.south else 0.0)) / (K0 * _RADIUS), (x - FALSE_EAST) / (K0 * _RADIUS), unrectified)
+        plane = m.bind((y - self.north_at) / (K0 * _RADIUS), (x - FALSE_EAST) / (K0 * _RADIUS), unrectified)
         return m.bind(*plane, geodetic)
 
 
@@ -191,16 +197,37 @@ def bounds(b, source: str, target: str) -> tuple[Column, Column, Column, Column]
     return F.least(*xs), F.least(*ys), F.greatest(*xs), F.greatest(*ys)
 
 
-def to_geographic_by_code(b, code: Column, codes: list[str]) -> Column:
-    """Geographic bounds of columns whose code varies by row, as a struct; ``codes`` are those that occur."""
-    out = None
-    for c in codes:
-        w, s, e, n = bounds(b, c, WGS84)
-        made = F.struct(w.alias("min_x"), s.alias("min_y"), e.alias("max_x"), n.alias("max_y"))
-        out = F.when(code == c, made) if out is None else out.when(code == c, made)
+def by_code(x: Column, y: Column, code: Column, codes: list[str], inverse: bool) -> Column:
+    """Struct ``x, y`` of a point in the system of each row's ``code`` (``inverse``: from it) from geographic coordinates; null for a code without a closed form.
+
+    ``codes`` are those that occur. They decide which of the three kinds of
+    formula the plan holds, each once: zones are a column, so the plan is the
+    same for one zone and for all.
+    """
+    n = F.when(F.upper(code).rlike("^EPSG:[0-9]{4,5}$"), F.substring_index(code, ":", -1).cast("int"))
+    kinds = {type(projection(c)) for c in codes if definition(c)}
+    forms = {Geographic: (n == 4326, Geographic()), EqualArea: (n == 6933, EqualArea()), Utm: (F.floor(n / 100).isin(326, 327) & (n % 100).between(1, 60), Utm(n % 100, F.floor(n / 100) == 327))}
+    out = F.lit(None).cast("struct<x:double,y:double>")
+    for kind, (test, form) in forms.items():
+        if kind in kinds:
+            px, py = (form.inverse if inverse else form.forward)(_Columns, x, y)
+            out = F.when(test, F.struct(px.alias("x"), py.alias("y"))).otherwise(out)
     return out
 
 
+def corners(b) -> Column:
+    """The corners of bounds, as an array of struct ``x, y``, counter-clockwise from the south-west."""
+    return F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in ((b[0], b[1]), (b[2], b[1]), (b[2], b[3]), (b[0], b[3]))])
+
+
+def bounds_by_code(b, code: Column, codes: list[str]) -> Column:
+    """Bounds of the corners of geographic bounds in the system of each row's ``code``, as a struct."""
+    points = F.transform(corners(b), lambda c: by_code(c["x"], c["y"], code, codes, False))
+    edge = lambda p, pick, axis: pick(F.transform(p, lambda c: c[axis]))
+    named = F.transform(F.array(points), lambda p: F.struct(edge(p, F.array_min, "x").alias("min_x"), edge(p, F.array_min, "y").alias("min_y"), edge(p, F.array_max, "x").alias("max_x"), edge(p, F.array_max, "y").alias("max_y")))
+    return named[0]
+
+
 def bounds_of(b, source: str, target: str, samples: int | None = None) -> tuple[float, float, float, float]:
     """Bounds of numbers: by their corners, or with ``samples`` steps along each edge; failing points are left out when sampled."""
     if source == target:

@@ -97,21 +97,11 @@ def checked(tiles: DataFrame) -> DataFrame:
 
 def with_footprint(tiles: DataFrame, codes: list[str]) -> DataFrame:
     """``tiles`` with ``footprint``: the native corners as a closed geographic ring, or the geographic rectangle where that fails."""
-    native = B.prefixed()
-    made = None
-    for code in codes:
-        try:
-            corners = [C.point(x, y, code, C.WGS84) for x, y in ((native[0], native[1]), (native[2], native[1]), (native[2], native[3]), (native[0], native[3]))]
-        except C.UnsupportedCrs:
-            continue
-        whole = F.lit(True)
-        for x, y in corners:
-            whole &= ~(F.isnan(x) | F.isnan(y))
-        points = [F.struct(x.alias("lon"), y.alias("lat")) for x, y in corners]
-        test, value = (F.col("crs") == code) & whole, F.array(*points, points[0])
-        made = F.when(test, value) if made is None else made.when(test, value)
-    box = B.ring(B.geographic())
-    return tiles.withColumn("footprint", box if made is None else made.otherwise(box))
+    points = F.transform(C.corners(B.prefixed()), lambda c: C.by_code(c["x"], c["y"], F.col("crs"), codes, True))
+    failed = lambda c: c.isNull() | F.isnan(c["x"]) | F.isnan(c["y"])
+    corner = lambda c: F.struct(c["x"].alias("lon"), c["y"].alias("lat"))
+    ring = lambda p: F.when(~F.exists(p, failed), F.transform(F.concat(p, F.slice(p, 1, 1)), corner)).otherwise(B.ring(B.geographic()))
+    return tiles.withColumn("footprint", F.transform(F.array(points), ring)[0])
 
 
 def filtered(tiles: DataFrame, bounds=None, years=None) -> DataFrame:

@@ -19,12 +19,7 @@ def planned(pairs: DataFrame, grid: OutputGrid, codes: list[str], image_width=No
     ``compat`` the bounds are the plain intersection, else those of the pixels.
     """
     box = grid.chunk_bounds_wgs84(F.col("row_idx"), F.col("col_idx"))
-    native = None
-    for code in codes:
-        w, s, e, n = C.bounds(box, C.WGS84, code)
-        made = F.struct(w.alias("min_x"), s.alias("min_y"), e.alias("max_x"), n.alias("max_y"))
-        native = F.when(F.col("crs") == code, made) if native is None else native.when(F.col("crs") == code, made)
-    asked = pairs.withColumn("_native", native)
+    asked = pairs.withColumn("_native", C.bounds_by_code(box, F.col("crs"), codes))
     cut = B.intersection([F.col(f"_native.{k}") for k in ("min_x", "min_y", "max_x", "max_y")], B.prefixed())
     asked = asked.withColumn("_cut", cut).filter("_cut is not null and gt is not null")
     gt = F.col("gt")

@@ -11,6 +11,7 @@ from lattica.functions import bounds as B
 from lattica.functions import crs as C
 from lattica.functions import hilbert, scalars
 from lattica.operators import catalog, lookup, mosaic
+from lattica.operators.grid import ChunkShape, OutputGrid
 from lattica.plans.demo import BOUNDS_SQL, CHUNKS_SQL, GRID, PIXELS_SQL, TILES_SQL, completed, pixels, tiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -370,11 +371,11 @@ def valid_pixel_count(spark, sf_dir):
 
 @query(
     f"""WITH s AS ({PIXELS_SQL}), o AS (SELECT src, row, col, row * 2 AS out_row, col * 2 AS out_col FROM (SELECT DISTINCT src, row, col FROM s) d)
-SELECT o.src, o.out_row + a.i AS out_row, o.out_col + b.i AS out_col, s.band, s.value FROM o JOIN (SELECT unnest([0, 1]) AS i, 1 AS k) a ON a.k = 1 JOIN (SELECT unnest([0, 1]) AS i, 1 AS k) b ON b.k = 1 JOIN s ON s.src = o.src AND s.row = o.row AND s.col = o.col WHERE s.band < 8"""
+SELECT o.src, o.out_row + a.i AS out_row, o.out_col + b.i AS out_col, s.band, s.value FROM o JOIN (SELECT unnest([0, 1]) AS i, 1 AS k) a ON a.k = 1 JOIN (SELECT unnest([0, 1]) AS i, 1 AS k) b ON b.k = 1 JOIN s ON s.src = o.src AND s.row = o.row AND s.col = o.col"""
 )
 def nearest_resample(spark, sf_dir):
     """Twice as fine: each output pixel takes the source pixel that its centre is nearest to."""
-    source = pixels(spark, sf_dir).filter("band < 8")
+    source = pixels(spark, sf_dir)
     spots = source.select("src", "row", "col").distinct()
     two = F.array(F.lit(0), F.lit(1))
     out = spots.select("src", (F.col("row") * 2).alias("r"), (F.col("col") * 2).alias("c")).withColumn("i", F.explode(two)).withColumn("j", F.explode(two)).select("src", (F.col("r") + F.col("i")).alias("out_row"), (F.col("c") + F.col("j")).alias("out_col"))
@@ -397,15 +398,98 @@ def metrics_summary(spark, sf_dir):
     return g.select("event_type", n.alias("http_requests"), F.round(metrics.rate(n, s), 6).alias("chunks_per_second"), F.round(metrics.gib_rate(F.col("v") * 1048576, s), 6).alias("read_gib_s"), F.round(metrics.hit_rate(F.col("h"), n - F.col("h")), 6).alias("hit_rate"))
 
 
+# Projections: a catalogue over all UTM zones, and an equal-area grid.
+UTM_CODES = [f"EPSG:{32600 + 100 * south + zone}" for south in (0, 1) for zone in range(1, 61)]
+EQUAL_AREA = OutputGrid.over(BOX, C.EASE2, 2500.0, [2020], 64, ChunkShape(1, 64, 256, 256))
+_UTM_SQL = """
+SELECT *, 'EPSG:' || (32600 + 100 * south + zone) AS crs, CAST(6 * zone - 183 AS DOUBLE) AS meridian, CASE WHEN south = 1 THEN CAST(10000000 AS DOUBLE) ELSE 0 END AS north_at FROM (
+  SELECT 'T' || c_custkey AS tile_id, CAST(c_custkey % 60 + 1 AS INTEGER) AS zone, CAST(c_custkey // 60 % 2 AS INTEGER) AS south, CAST(300000 + (c_custkey * 7919 % 4000) * 100 AS DOUBLE) AS x, CAST(1000000 + (c_custkey * 104729 % 700) * 10000 AS DOUBLE) AS y, CAST(c_custkey % 30 AS DOUBLE) / 10 - 2 AS dlon, (c_custkey * 104729 % 1500) / CAST(10 AS DOUBLE) - 75 AS lat FROM customer) k
+"""
+_FIXED = {k: f"CAST({v!r} AS DOUBLE)" for k, v in {"e": C._E, "e2": C._E2, "m": C.K0 * C._RADIUS, "area": C.EqualArea().scale, "a": C.A}.items()}
+
+
+def _sum_sql(terms, text: str) -> str:
+    """``text`` for each coefficient ``k`` with its number ``j``, added up."""
+    return " + ".join(text.format(k=f"CAST({k!r} AS DOUBLE)", j=2 * j) for j, k in enumerate(terms, 1))
+
+
+def utm_inverse_sql(rows: str) -> str:
+    """``rows`` with columns x, y, meridian, north_at: with lon and lat."""
+    out = f"SELECT *, (y - north_at) / {_FIXED['m']} AS xi, (x - 500000) / {_FIXED['m']} AS eta FROM ({rows}) i0"
+    out = f"SELECT *, xi - ({_sum_sql(C._BETA, '{k} * sin({j} * xi) * cosh({j} * eta)')}) AS u, eta - ({_sum_sql(C._BETA, '{k} * cos({j} * xi) * sinh({j} * eta)')}) AS v FROM ({out}) i1"
+    out = f"SELECT *, asin(sin(u) / cosh(v)) AS chi FROM ({out}) i2"
+    return f"SELECT *, meridian + degrees(atan2(sinh(v), cos(u))) AS lon_, degrees(chi + {_sum_sql(C._DELTA, '{k} * sin({j} * chi)')}) AS lat_ FROM ({out}) i3"
+
+
+def utm_forward_sql(rows: str) -> str:
+    """``rows`` with columns lon, lat, meridian, north_at: with x and y."""
+    out = f"SELECT *, sinh(atanh(sin(radians(lat))) - {_FIXED['e']} * atanh({_FIXED['e']} * sin(radians(lat)))) AS t, radians(lon - meridian) AS turn FROM ({rows}) f0"
+    out = f"SELECT *, atan2(t, cos(turn)) AS xi, atanh(sin(turn) / sqrt(t * t + 1)) AS eta FROM ({out}) f1"
+    return f"SELECT *, 500000 + {_FIXED['m']} * (eta + {_sum_sql(C._ALPHA, '{k} * cos({j} * xi) * sinh({j} * eta)')}) AS x_, north_at + {_FIXED['m']} * (xi + {_sum_sql(C._ALPHA, '{k} * sin({j} * xi) * cosh({j} * eta)')}) AS y_ FROM ({out}) f2"
+
+
+def _utm(spark, sf_dir):
+    k = F.col("c_custkey")
+    zone, south = (k % 60 + 1).cast("int"), F.floor(k / 60) % 2
+    x, y = (300000 + (k * 7919 % 4000) * 100).cast("double"), (1000000 + (k * 104729 % 700) * 10000).cast("double")
+    lon, lat = zone * 6.0 - 183 + k % 30 / 10.0 - 2, (k * 104729 % 1500) / 10.0 - 75
+    box = (x.alias("min_x"), y.alias("min_y"), (x + 10240).alias("max_x"), (y + 10240).alias("max_y"), lon.alias("min_lon"), lat.alias("min_lat"), (lon + 0.5).alias("max_lon"), (lat + 0.5).alias("max_lat"))
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.concat(F.lit("T"), k.cast("string")).alias("tile_id"), F.concat(F.lit("EPSG:"), (32600 + 100 * south + zone).cast("int").cast("string")).alias("crs"), *box)
+
+
+_CORNERS = [(0, 0), (10240, 0), (10240, 10240), (0, 10240)]
+_RING_SQL = " UNION ALL ".join(f"SELECT tile_id, crs, {i} AS corner, x + {dx} AS x, y + {dy} AS y, meridian, north_at FROM utm" for i, (dx, dy) in enumerate([*_CORNERS, _CORNERS[0]]))
+
+
+@query(f"WITH utm AS ({_UTM_SQL}) SELECT tile_id, crs, corner, round(lon_, 7) AS lon, round(lat_, 7) AS lat FROM ({utm_inverse_sql(_RING_SQL)}) r")
+def utm_footprint(spark, sf_dir):
+    """Footprints of a catalogue in all 120 zones."""
+    rows = catalog.with_footprint(_utm(spark, sf_dir), UTM_CODES).select("tile_id", "crs", F.posexplode("footprint").alias("corner", "p"))
+    return rows.select("tile_id", "crs", "corner", F.round("p.lon", 7).alias("lon"), F.round("p.lat", 7).alias("lat"))
+
+
+_BOX_SQL = " UNION ALL ".join(f"SELECT tile_id, crs, meridian + dlon + {dx} AS lon, lat + {dy} AS lat, meridian, north_at FROM utm" for dx, dy in ((0, 0), (0.5, 0), (0.5, 0.5), (0, 0.5)))
+
+
+@query(f"WITH utm AS ({_UTM_SQL}) SELECT tile_id, crs, round(min(x_), 3) AS min_x, round(min(y_), 3) AS min_y, round(max(x_), 3) AS max_x, round(max(y_), 3) AS max_y FROM ({utm_forward_sql(_BOX_SQL)}) r GROUP BY 1, 2")
+def utm_native_bounds(spark, sf_dir):
+    """Geographic bounds in the system of each tile."""
+    box = C.bounds_by_code(B.geographic(), F.col("crs"), UTM_CODES)
+    return _utm(spark, sf_dir).withColumn("box", box).select("tile_id", "crs", *[F.round(f"box.{k}", 3).alias(k) for k in ("min_x", "min_y", "max_x", "max_y")])
+
+
+_ER, _EC = EQUAL_AREA.chunk_counts[2:]
+_ESTEP = 256 * 2500
+_D = lambda v: f"CAST({v!r} AS DOUBLE)"
+
+
+def _authalic_sql(y: str) -> str:
+    e2 = _FIXED["e2"]
+    pole = f"((1 - {e2}) * (1 / (1 - {e2}) - ln((1 - {_FIXED['e']}) / (1 + {_FIXED['e']})) / (2 * {_FIXED['e']})))"
+    b = f"asin({y} * 2 * {_FIXED['area']} / ({_FIXED['a']} * {pole}))"
+    series = (C._E2 / 3 + 31 * C._E2**2 / 180 + 517 * C._E2**3 / 5040, 23 * C._E2**2 / 360 + 251 * C._E2**3 / 3780, 761 * C._E2**3 / 45360)
+    return f"degrees({b} + " + _sum_sql(series, "{k} * sin({j} * " + b.replace("{", "").replace("}", "") + ")") + ")"
+
+
+@query(
+    f"""SELECT row_idx, col_idx, round(degrees(x0 / ({_FIXED['a']} * {_FIXED['area']})), 7) AS west, round({_authalic_sql('y0')}, 7) AS south, round(degrees(x1 / ({_FIXED['a']} * {_FIXED['area']})), 7) AS east, round({_authalic_sql('y1')}, 7) AS north FROM (
+  SELECT *, greatest(y1 - {_ESTEP}, {_D(EQUAL_AREA.bounds[1])}) AS y0, least(x0 + {_ESTEP}, {_D(EQUAL_AREA.bounds[2])}) AS x1 FROM (
+    SELECT CAST(i // {_EC} AS INTEGER) AS row_idx, CAST(i % {_EC} AS INTEGER) AS col_idx, {_D(EQUAL_AREA.bounds[0])} + (i % {_EC}) * {_ESTEP} AS x0, {_D(EQUAL_AREA.bounds[3])} - (i // {_EC}) * {_ESTEP} AS y1 FROM range({_ER * _EC}) r(i)) c) d"""
+)
+def equal_area_chunks(spark, sf_dir):
+    """Geographic bounds of the chunks of an equal-area grid."""
+    box = EQUAL_AREA.chunk_bounds_wgs84(F.col("row_idx"), F.col("col_idx"))
+    return EQUAL_AREA.chunks(spark).select("row_idx", "col_idx", *[F.round(v, 7).alias(k) for k, v in zip(("west", "south", "east", "north"), box)])
+
+
 @query()
 def projection_roundtrip(spark, sf_dir):
-    """Tile corners to UTM and equal-area coordinates and back; the largest errors, in degrees."""
-    rows = tiles(spark, sf_dir).filter("abs(min_lat) < 75").select("tile_id", F.pmod("min_lon", F.lit(6.0)).alias("lon"), "min_lat")
-    out = rows.select("tile_id")
-    for code, lon in (("EPSG:32631", F.col("lon")), (C.EASE2, F.col("lon"))):
-        x, y = C.point(lon, F.col("min_lat"), C.WGS84, code)
-        back = C.point(x, y, code, C.WGS84)
-        name = code.split(":")[1]
-        rows = rows.withColumn(f"error_{name}", F.greatest(F.abs(back[0] - lon), F.abs(back[1] - F.col("min_lat"))))
-    out = rows.agg(F.count(F.lit(1)).alias("points"), *[F.max(c).alias(c) for c in ("error_32631", "error_6933")])
-    return out
+    """Tile corners to the UTM zone that they are in and to equal-area coordinates and back; the largest errors, in degrees."""
+    lon, lat = F.col("min_lon"), F.col("min_lat")
+    zone = F.least(F.floor((lon + 180) / 6) + 1, F.lit(60))
+    own = F.concat(F.lit("EPSG:"), (F.when(lat < 0, 32700).otherwise(32600) + zone).cast("int").cast("string"))
+    rows = tiles(spark, sf_dir).select(lon, lat, own.alias("utm"), F.lit(C.EASE2).alias("ease2"))
+    for name, codes in (("utm", UTM_CODES), ("ease2", [C.EASE2])):
+        rows = rows.withColumn("p", C.by_code(lon, lat, F.col(name), codes, False)).withColumn("q", C.by_code(F.col("p.x"), F.col("p.y"), F.col(name), codes, True))
+        rows = rows.withColumn(f"error_{name}", F.greatest(F.abs(F.col("q.x") - lon), F.abs(F.col("q.y") - lat)))
+    return rows.agg(F.count(F.lit(1)).alias("points"), *[F.max(c).alias(c) for c in ("error_utm", "error_ease2")])
