@@ -1,16 +1,20 @@
 """Run metrics: rates, hit rates, a snapshot and its sinks.
 
-Counts come from ``observe`` on the running plan, so they cost no extra pass.
+Counts and seconds come with the rows of written chunks, so they cost no extra pass.
 """
 
 from __future__ import annotations
 
 import json
+import logging
+import threading
+import time
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+log = logging.getLogger(__name__)
 GIB = float(1 << 30)
 
 
@@ -50,6 +54,21 @@ class Snapshot:
     http_requests: int = 0
     http_request_secs: float = 0.0
 
+    def add(self, row) -> None:
+        """Count what a written chunk's row tells."""
+        self.failures += len(row["failed"]) + (row["error"] is not None)
+        self.tiles_read += row["tiles"]
+        self.bytes_read += row["bytes_read"]
+        self.bytes_written += row["bytes_written"]
+        self.cog_read_secs += row["read_secs"]
+        self.reproject_secs += row["reproject_secs"]
+        self.mosaic_secs += row["mosaic_secs"]
+        self.zarr_write_secs += row["write_secs"]
+        self.http_requests += row["requests"]
+        self.http_request_secs += row["request_secs"]
+        self.metadata_cache_hits += row["header_hits"]
+        self.metadata_cache_misses += row["tiles"] - row["header_hits"]
+
     def _per_second(self, v: float) -> float:
         return v / self.elapsed if self.elapsed > 0 else 0.0
 
@@ -91,3 +110,25 @@ class Snapshot:
             f"Read: {self.bytes_read / GIB:.2f} GB @ {self.read_throughput_gbps:.2f} GB/s | Write: {self.bytes_written / GIB:.2f} GB @ {self.write_throughput_gbps:.2f} GB/s | "
             f"Rate: {self.chunks_per_second:.1f} chunks/s | Failures: {self.failures} | Elapsed: {self.elapsed:.1f}s | Time: {times} | Cache: meta {meta:.0f}% tile {tile:.0f}%"
         )
+
+
+class Reporter:
+    """Logs a snapshot every ``interval`` seconds, and a last time when it is stopped."""
+
+    def __init__(self, metrics: Snapshot, interval: float, began: float):
+        self.metrics, self.interval, self.began, self.over = metrics, max(interval, 0.1), began, threading.Event()
+        self.thread = threading.Thread(target=self._run, daemon=True)
+        self.thread.start()
+
+    def _log(self) -> None:
+        self.metrics.elapsed = time.time() - self.began
+        log.info("%s", self.metrics)
+
+    def _run(self) -> None:
+        while not self.over.wait(self.interval):
+            self._log()
+
+    def stop(self) -> None:
+        self.over.set()
+        self.thread.join()
+        self._log()

@@ -11,14 +11,14 @@ import logging
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lattica.functions import crs as C
 from lattica.operators import catalog, lookup, mosaic, windows
 from lattica.operators.grid import OutputGrid
 from lattica.plans.checkpoint import CheckpointFile
-from lattica.plans.metrics import Snapshot
+from lattica.plans.metrics import Reporter, Snapshot
 from lattica.sources import raster, zarr
 from lattica.sources.settings import Settings
 
@@ -26,8 +26,8 @@ log = logging.getLogger(__name__)
 CHUNK = lookup.CHUNK
 #: Chunks of one batch, the unit of checkpointing; a run has at most so many batches.
 BATCH_CHUNKS, MOST_BATCHES = 4096, 64
-#: Windows of a chunk that one task holds.
-PART_WINDOWS = 64
+#: Windows of a chunk that one task holds, and bytes of their pixels.
+PART_WINDOWS, PART_BYTES = 64, 256 << 20
 
 
 class NothingToDo(ValueError):
@@ -81,27 +81,28 @@ def analyze(spark: SparkSession, settings: Settings, tiles: DataFrame | None = N
     return covered.select("*", lookup.coverage_text().alias("line"), *[v.alias(k) for k, v in lookup.estimate_columns(b.grid).items()])
 
 
-def chunks_of(b: Bound, todo: DataFrame, heads: DataFrame, seen: Observation | None = None, part_windows: int = PART_WINDOWS) -> DataFrame:
-    """The chunks of ``todo``, from the windows that could be read.
+def chunks_of(b: Bound, todo: DataFrame, heads: DataFrame, part_windows: int = PART_WINDOWS, part_bytes: int = PART_BYTES) -> DataFrame:
+    """The chunks of ``todo``, each a row, from the windows that could be read; the others are named in ``failed``.
 
-    A chunk that more than ``part_windows`` tiles cover is summed up in parts
-    of so many windows, each in a task of its own.
+    A chunk that more than ``part_windows`` windows or ``part_bytes`` of pixels cover is
+    summed up in parts of so many, each in a task of its own.
     """
     pairs = lookup.tiles_for_chunks(b.tiles, b.grid).join(todo.select(*CHUNK), CHUNK, "left_semi")
-    counts = pairs.groupBy(*CHUNK).agg(F.ceil(F.count(F.lit(1)) / part_windows).cast("int").alias("parts"))
-    asked = pairs.join(counts, CHUNK).withColumn("part", F.pmod(F.xxhash64("tile_id"), F.col("parts")))
-    asked = asked.join(heads.filter("gt is not null").select("s3_path", "gt", "image_width", "image_height"), "s3_path")
-    planned = windows.planned(asked, b.grid, b.codes, F.col("image_width"), F.col("image_height"))
-    counted = [F.count_if(F.col("error").isNull()).alias("tiles"), F.count_if(F.col("error").isNotNull()).alias("failures"), F.coalesce(F.sum(F.octet_length("data")), F.lit(0)).alias("bytes")]
+    asked = pairs.join(heads.select("s3_path", "gt", "image_width", "image_height", F.col("bands").alias("image_bands"), F.col("error").alias("fault")), "s3_path", "left")
+    planned = windows.planned(asked.filter("gt is not null"), b.grid, b.codes, F.col("image_width"), F.col("image_height"))
+    size = F.col("window.width") * F.col("window.height") * F.col("image_bands")
+    parts = planned.groupBy(*CHUNK).agg(F.greatest(F.ceil(F.count(F.lit(1)) / part_windows), F.ceil(F.sum(size) / part_bytes), F.lit(1)).cast("int").alias("parts"))
+    parts = todo.select(*CHUNK).join(parts, CHUNK, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    whole, many = parts.filter("parts = 1"), parts.filter("parts > 1")
+    # A file without a header fails every window; a chunk that its tiles only touch has no window and is done with nothing.
+    lost = asked.filter("gt is null").select(*CHUNK, F.lit(0).alias("part"), "tile_id", F.concat_ws(": ", "s3_path", F.coalesce("fault", F.lit("no header"))).alias("error"))
 
-    def read(some: DataFrame, at: Observation | None) -> DataFrame:
-        found = raster.read_windows(some)
-        return (found.observe(at, *counted) if at else found).filter("error is null")
+    def read(of: DataFrame) -> DataFrame:
+        found = raster.read_windows(planned.join(of, CHUNK).withColumn("part", F.pmod(F.xxhash64("tile_id"), F.col("parts"))))
+        return found.unionByName(lost.join(of, CHUNK, "left_semi"), allowMissingColumns=True)
 
-    plain = mosaic.mean_blocks(read(planned.filter("parts = 1"), seen), b.grid)
-    if counts.filter("parts > 1").isEmpty():
-        return plain
-    return plain.union(mosaic.merged(mosaic.partial_sums(read(planned.filter("parts > 1"), None), b.grid), b.grid))
+    plain = mosaic.mean_blocks(read(whole).unionByName(whole.select(*CHUNK), allowMissingColumns=True), b.grid)
+    return plain if many.isEmpty() else plain.union(mosaic.merged(mosaic.partial_sums(read(many), b.grid), b.grid))
 
 
 def run(spark: SparkSession, settings: Settings, tiles: DataFrame | None = None, dry_run: bool = False, batch_chunks: int = BATCH_CHUNKS) -> Stats:
@@ -109,7 +110,7 @@ def run(spark: SparkSession, settings: Settings, tiles: DataFrame | None = None,
     settings.validate()
     began, o = time.time(), settings.output
     b = bind(spark, settings, tiles)
-    keep = CheckpointFile.open(o.base if o.is_local else ".", settings) if settings.processing.checkpoint.enabled else None
+    keep = CheckpointFile.open(o.base, settings) if settings.processing.checkpoint.enabled else None
     done = keep.frame(spark) if keep and keep.completed else None
     work = lookup.work_list(spark, b.tiles, b.grid, b.years, done).select(*CHUNK).persist()
     total = work.count()
@@ -120,36 +121,40 @@ def run(spark: SparkSession, settings: Settings, tiles: DataFrame | None = None,
     zarr.create(b.grid, o, resume=bool(keep and keep.completed), years=b.years)
     heads = raster.headers(b.tiles).persist()
     batches = min(MOST_BATCHES, max(1, -(-total // batch_chunks)))
-    # Chunks near each other share tiles: batches are stretches of the order, not a draw.
-    numbered = work.withColumn("_n", (F.col("time_idx") * b.grid.num_spatial_chunks + F.col("row_idx") * b.grid.chunk_counts[3] + F.col("col_idx")).cast("long"))
-    edges = numbered.approxQuantile("_n", [k / batches for k in range(1, batches)], 0.001) if batches > 1 else []
-    spans = list(zip([None, *edges], [*edges, None]))
+    # Chunks near each other share tiles: batches are stretches of the order, not a draw, and end where a shard ends.
+    high, wide = o.sharding.shard_shape if o.sharding.enabled else (1, 1)
+    down, across = -(-b.grid.chunk_counts[2] // high), -(-b.grid.chunk_counts[3] // wide)
+    numbered = work.withColumn("_n", ((F.col("time_idx").cast("long") * down + F.floor(F.col("row_idx") / high)) * across + F.floor(F.col("col_idx") / wide)).cast("long"))
+    edges = sorted(set(numbered.approxQuantile("_n", [k / batches for k in range(1, batches)], 0.001))) if batches > 1 else []
+    reporter = Reporter(metrics, settings.processing.metrics_interval_secs, began) if settings.processing.enable_metrics else None
+    processed = 0
     try:
-        for low, high in spans:
+        for low, high in zip([None, *edges], [*edges, None]):
             todo = numbered
             todo = todo if low is None else todo.filter(F.col("_n") > low)
             todo = todo if high is None else todo.filter(F.col("_n") <= high)
-            seen, stored = Observation(), Observation()
-            written = zarr.write(chunks_of(b, todo, heads, seen), b.grid, o).observe(stored, F.coalesce(F.sum("bytes_written"), F.lit(0)).alias("bytes"))
-            rows = written.collect()  # keys and sizes of one batch
-            good = [r for r in rows if r["error"] is None]
-            metrics.chunks_processed += len(good)
-            metrics.failures += len(rows) - len(good) + seen.get["failures"]
-            metrics.tiles_read += seen.get["tiles"]
-            metrics.bytes_read += seen.get["bytes"]
-            metrics.bytes_written += stored.get["bytes"]
+            written = zarr.write(chunks_of(b, todo, heads), b.grid, o)
+            rows = written.collect()  # keys, sizes and failures of one batch
+            for r in rows:
+                for fault in [*r["failed"], *([r["error"]] if r["error"] else [])]:
+                    log.warning("chunk %d:%d:%d: %s", r["time_idx"], r["row_idx"], r["col_idx"], fault)
+                metrics.add(r)
+            # A chunk with a failure has what could be read, but isn't done: a later run makes it anew.
+            good = {f"{r['time_idx']}:{r['row_idx']}:{r['col_idx']}" for r in rows if r["error"] is None and not r["failed"]}
+            processed += len(good)
+            metrics.chunks_processed = processed
             if keep:
-                keep.completed |= {f"{r['time_idx']}:{r['row_idx']}:{r['col_idx']}" for r in good}
-                keep.flush()
+                keep.completed |= good
+                keep.flush(due_only=True)
             metrics.elapsed = time.time() - began
-            if settings.processing.enable_metrics:
-                log.info("%s", metrics)
     finally:
+        if reporter:
+            reporter.stop()
         if keep:
             keep.flush()
         heads.unpersist()
         work.unpersist()
-    metrics.chunks_skipped += total - metrics.chunks_processed
+    metrics.chunks_skipped += total - processed
     if settings.processing.metrics_output_path:
         metrics.save(settings.processing.metrics_output_path)
-    return Stats(total, metrics.chunks_processed, total - metrics.chunks_processed, metrics.failures, metrics)
+    return Stats(total, processed, total - processed, metrics.failures, metrics)

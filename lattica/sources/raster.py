@@ -8,6 +8,8 @@ Spark data source.
 
 from __future__ import annotations
 
+import time
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,7 +48,21 @@ _HEADER_SCHEMA = pa.schema(
     [("s3_path", pa.string()), ("image_width", pa.int32()), ("image_height", pa.int32()), ("bands", pa.int32()), ("planar", pa.bool_()), ("tile_width", pa.int32()), ("tile_height", pa.int32()), ("gt", pa.struct([(k, pa.float64()) for k in "abcdef"])), ("error", pa.string())]
 )
 
-WINDOW_FIELDS = "time_idx int, row_idx int, col_idx int, part int, tile_id string, crs string, min_x double, min_y double, max_x double, max_y double, bands int, height int, width int, data binary, error string"
+WINDOW_FIELDS = "time_idx int, row_idx int, col_idx int, part int, tile_id string, crs string, min_x double, min_y double, max_x double, max_y double, bands int, height int, width int, data binary, error string, read_secs double, requests long, request_secs double, header_hit int"
+
+
+class _Counted:
+    """A reader that counts its requests and their time."""
+
+    def __init__(self, read: tiff.Reader):
+        self.read, self.requests, self.seconds = read, 0, 0.0
+
+    def __call__(self, offset: int, size: int) -> bytes:
+        began = time.perf_counter()
+        try:
+            return self.read(offset, size)
+        finally:
+            self.requests, self.seconds = self.requests + 1, self.seconds + time.perf_counter() - began
 
 
 def read_windows(planned: DataFrame) -> DataFrame:
@@ -62,24 +78,31 @@ def read_windows(planned: DataFrame) -> DataFrame:
         for batch in batches:
             for r in batch.to_pylist():
                 out = {k: r[k] for k in ("time_idx", "row_idx", "col_idx", "part", "tile_id", "crs", "min_x", "min_y", "max_x", "max_y")} | {"bands": None, "height": r["h"], "width": r["w"], "data": None, "error": None}
+                began, hit = time.perf_counter(), int(r["s3_path"] == path)
+                if not hit:
+                    path, read = None, None
                 try:
-                    if r["s3_path"] != path:
-                        path, read = None, tiff.reader(r["s3_path"])
+                    if not hit:
+                        read = _Counted(tiff.reader(r["s3_path"]))
                         head = tiff.header(read)
                         path = r["s3_path"]
                     data = tiff.window(read, head, r["x"], r["y"], r["w"], r["h"])
                     data = data[:, ::-1] if r["top_down"] else data
                     out |= {"bands": head.bands, "data": np.ascontiguousarray(data).tobytes()}
                 except Exception as e:  # noqa: BLE001
-                    out["error"] = f"{type(e).__name__}: {e}"
+                    out["error"] = f"{r['s3_path']}: {type(e).__name__}: {e}"
+                out |= {"read_secs": time.perf_counter() - began, "requests": read.requests if read else 0, "request_secs": read.seconds if read else 0.0, "header_hit": hit}
+                if read:
+                    read.requests, read.seconds = 0, 0.0
                 yield pa.RecordBatch.from_pylist([out], schema=_WINDOW_SCHEMA)
 
     return asked.repartition("s3_path").sortWithinPartitions("s3_path", "y", "x").mapInArrow(run, WINDOW_FIELDS)
 
 
 _WINDOW_SCHEMA = pa.schema(
-    [(k, pa.int32()) for k in ("time_idx", "row_idx", "col_idx", "part")] + [("tile_id", pa.string()), ("crs", pa.string())] + [(k, pa.float64()) for k in ("min_x", "min_y", "max_x", "max_y")] + [(k, pa.int32()) for k in ("bands", "height", "width")] + [("data", pa.binary()), ("error", pa.string())]
-)
+    [(k, pa.int32()) for k in ("time_idx", "row_idx", "col_idx", "part")] + [("tile_id", pa.string()), ("crs", pa.string())] + [(k, pa.float64()) for k in ("min_x", "min_y", "max_x", "max_y")] + [(k, pa.int32()) for k in ("bands", "height", "width")]
+    + [("data", pa.binary()), ("error", pa.string()), ("read_secs", pa.float64()), ("requests", pa.int64()), ("request_secs", pa.float64()), ("header_hit", pa.int32())]
+)
 
 
 class TileSource(DataSource):

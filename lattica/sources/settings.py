@@ -43,7 +43,10 @@ class Output:
     sharding: Sharding = field(default_factory=Sharding)
     compression_level: int = 3
     years: list[int] | None = None
-    #: Free attributes of the output group, such as the model and source of the pixels.
+    #: The model and the source of the pixels, for the output group's metadata.
+    model: str | None = None
+    source_data: str | None = None
+    #: Further attributes of the output group.
     attributes: dict = field(default_factory=dict)
 
     @property
@@ -66,6 +69,10 @@ class Output:
         return c.time, c.embedding, c.height * rows, c.width * cols
 
 
+#: Requests that one fetch worker issues at once, at least.
+REQUESTS_EACH = 8
+
+
 @dataclass
 class Checkpoint:
     enabled: bool = True
@@ -147,6 +154,8 @@ class Settings:
         for name in ("fetch_concurrency", "mosaic_concurrency", "write_concurrency", "max_concurrent_http"):
             if getattr(p, name) <= 0:
                 raise SettingsError(f"processing.{name} must be above 0")
+        if p.fetch_concurrency * REQUESTS_EACH > 1.5 * p.max_concurrent_http:
+            log.warning("fetch_concurrency=%d may issue %d requests at once, over 1.5 times max_concurrent_http=%d: requests will queue", p.fetch_concurrency, p.fetch_concurrency * REQUESTS_EACH, p.max_concurrent_http)
         if not 0 <= o.compression_level <= 22:
             raise SettingsError("output.compression_level must be from 0 to 22")
         if o.sharding.enabled and (len(o.sharding.shard_shape) != 2 or min(o.sharding.shard_shape) <= 0):

@@ -12,6 +12,7 @@ import json
 import os
 import shutil
 import struct
+import time
 import uuid
 from pathlib import Path
 
@@ -29,9 +30,9 @@ EMPTY = (1 << 64) - 1
 
 # The conventions that the group declares.
 CONVENTIONS = [
-    {"uuid": "f17cb550-5864-4468-aeb7-f3180cfb622f", "name": "proj:", "description": "Coordinate reference system information for geospatial data"},
-    {"uuid": "689b58e2-cf7b-45e0-9fff-9cfc0883d6b4", "name": "spatial:", "description": "Spatial coordinate information"},
-    {"uuid": "61c12cc5-0e28-4056-999a-480cf3fb7e4c", "name": "geoemb:", "description": "Geo-embeddings metadata for machine learning embeddings stored in Zarr"},
+    {"uuid": "f17cb550-5864-4468-aeb7-f3180cfb622f", "name": "proj:", "description": "Coordinate reference system information for geospatial data", "spec_url": "https://github.com/zarr-experimental/geo-proj/blob/v1/README.md", "schema_url": "https://raw.githubusercontent.com/zarr-experimental/geo-proj/refs/tags/v1/schema.json"},
+    {"uuid": "689b58e2-cf7b-45e0-9fff-9cfc0883d6b4", "name": "spatial:", "description": "Spatial coordinate information", "spec_url": "https://github.com/zarr-conventions/spatial/blob/v1/README.md", "schema_url": "https://raw.githubusercontent.com/zarr-conventions/spatial/refs/tags/v1/schema.json"},
+    {"uuid": "61c12cc5-0e28-4056-999a-480cf3fb7e4c", "name": "geoemb:", "description": "Geo-embeddings metadata for machine learning embeddings stored in Zarr", "spec_url": "https://github.com/geo-embeddings/embeddings-zarr-convention/tree/add-convention"},
 ]
 QUANTIZATION = {"method": "signed_square", "original_dtype": "float32", "quantized_dtype": "int8", "formula": "(x / 127.5) ** 2 * sign(x)", "valid_range": [-127, 127], "nodata": NODATA}
 
@@ -109,7 +110,8 @@ def group_metadata(grid: OutputGrid, output: Output) -> dict:
         "spatial:bbox": list(grid.bounds), "spatial:shape": [grid.height, grid.width], "spatial:registration": "pixel",
         "geoemb:type": "pixel", "geoemb:dimensions": grid.num_bands, "geoemb:data_type": "int8", "geoemb:gsd": grid.resolution, "geoemb:quantization": QUANTIZATION, "zarr_conventions": CONVENTIONS,
     }
-    return {"zarr_format": 3, "node_type": "group", "attributes": attributes | output.attributes}
+    named = {f"geoemb:{k}": v for k, v in (("model", output.model), ("source_data", output.source_data)) if v}
+    return {"zarr_format": 3, "node_type": "group", "attributes": attributes | named | output.attributes}
 
 
 def array_metadata(shape, chunk, kind: str, fill, names, codecs) -> dict:
@@ -168,37 +170,43 @@ def _packed(data: bytes, size: int, level: int) -> bytes:
 
 
 def write(chunks: DataFrame, grid: OutputGrid, output: Output) -> DataFrame:
-    """Store ``chunks(time_idx, row_idx, col_idx, data)``: a row for each with the bytes written, or an ``error``."""
+    """Store ``chunks(time_idx, row_idx, col_idx, data, ...)``: a row for each with the bytes written and the seconds, or an ``error``; chunks without data store nothing, other columns are carried along."""
     s, base, level = grid.chunk_shape, output.base, output.compression_level
     size = s.time * grid.num_bands * s.height * s.width
-    fields = "time_idx int, row_idx int, col_idx int, bytes_written long, error string"
-    schema = pa.schema([(k, pa.int32()) for k in ("time_idx", "row_idx", "col_idx")] + [("bytes_written", pa.int64()), ("error", pa.string())])
     key = ("time_idx", "row_idx", "col_idx")
+    carried = chunks.select(*[F.col(k).cast("int").alias(k) for k in key], *[c for c in chunks.columns if c not in (*key, "data")])
+    fields = ", ".join(f"{n} {t}" for n, t in carried.dtypes) + ", bytes_written long, write_secs double, error string"
+    added = [("bytes_written", pa.int64()), ("write_secs", pa.float64()), ("error", pa.string())]
 
     def compress(batches):
         for batch in batches:
-            for r in batch.to_pylist():
-                out = {k: r[k] for k in key} | {"blob": None, "bytes_written": 0, "error": None}
+            for n in range(batch.num_rows):
+                row = batch.slice(n, 1)
+                out, began = {"blob": None, "bytes_written": 0, "error": None}, time.perf_counter()
                 try:
-                    out["blob"] = _packed(r["data"], size, level)
-                    if not output.sharding.enabled:
-                        t, i, j = (r[k] for k in key)
+                    data = row["data"][0]
+                    if data.is_valid:
+                        out["blob"] = _packed(data.as_buffer(), size, level)
+                    if data.is_valid and not output.sharding.enabled:
+                        t, i, j = (row[k][0].as_py() for k in key)
                         out["bytes_written"] = Store(base).put(f"{ARRAY}/c/{t}/0/{i}/{j}", out["blob"])
                         out["blob"] = None
                 except Exception as e:  # noqa: BLE001
                     out |= {"blob": None, "error": f"{type(e).__name__}: {e}"}
-                yield pa.RecordBatch.from_pylist([out], schema=pa.schema([*schema, ("blob", pa.binary())]))
+                out["write_secs"] = time.perf_counter() - began
+                rest = row.drop_columns(["data"])
+                yield pa.RecordBatch.from_arrays([*rest.columns, *[pa.array([out[k]], t) for k, t in (*added, ("blob", pa.binary()))]], [*rest.schema.names, *[k for k, _ in added], "blob"])
 
-    packed = chunks.select(*key, "data").mapInArrow(compress, fields + ", blob binary")
+    packed = chunks.select(*carried.columns, "data").withColumns({k: F.col(k).cast("int") for k in key}).mapInArrow(compress, fields + ", blob binary")
     if not output.sharding.enabled:
         return packed.drop("blob")
     rows, cols = output.sharding.shard_shape
 
     def shard(table: pa.Table) -> pa.Table:
-        entries = table.sort_by([(k, "ascending") for k in key]).to_pylist()
-        t, i, j = entries[0]["time_idx"], entries[0]["row_idx"] // rows, entries[0]["col_idx"] // cols
+        began, small = time.perf_counter(), table.select([*key, "error"]).to_pylist()
+        t, i, j = small[0]["time_idx"], small[0]["row_idx"] // rows, small[0]["col_idx"] // cols
         name = f"{ARRAY}/c/{t}/0/{i}/{j}"
-        good = {(r["row_idx"] % rows, r["col_idx"] % cols): r["blob"] for r in entries if r["blob"] is not None}
+        good = {(r["row_idx"] % rows, r["col_idx"] % cols): table["blob"][n].as_py() for n, r in enumerate(small) if table["blob"][n].is_valid}
         error = None
         try:
             # A resumed run adds to what the shard already has.
@@ -206,7 +214,10 @@ def write(chunks: DataFrame, grid: OutputGrid, output: Output) -> DataFrame:
             Store(base).put(name, pack_shard(kept | good, rows, cols)) if good else 0
         except Exception as e:  # noqa: BLE001
             error = f"{type(e).__name__}: {e}"
-        return pa.Table.from_pylist([{k: r[k] for k in key} | {"bytes_written": len(r["blob"] or b"") if not error else 0, "error": r["error"] or error} for r in entries], schema=schema)
+        took = (time.perf_counter() - began) / len(small)
+        made = {"bytes_written": [0 if error else len(good.get((r["row_idx"] % rows, r["col_idx"] % cols), b"")) for r in small], "write_secs": [v + took for v in table["write_secs"].to_pylist()], "error": [r["error"] or error for r in small]}
+        rest = table.drop_columns(["blob", *made])
+        return pa.Table.from_arrays([*rest.columns, *[pa.array(made[k], t) for k, t in added]], [*rest.column_names, *[k for k, _ in added]])
 
     by = [F.col("time_idx"), F.floor(F.col("row_idx") / rows).alias("_i"), F.floor(F.col("col_idx") / cols).alias("_j")]
     return packed.groupBy(*by).applyInArrow(shard, fields)

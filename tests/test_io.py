@@ -115,7 +115,7 @@ def test_metrics():
 
 @pytest.fixture
 def scene(spark, tmp_path):
-    """Two overlapping tiles of 2 bands, bottom-up and top-down, and one that can't be read."""
+    """Two overlapping tiles of 2 bands, bottom-up and top-down."""
     rows = []
     for name, west, value, down in (("a", 0.0, 10, False), ("b", 16.0, 20, True)):
         data = np.full((2, 32, 32), value, np.int8)
@@ -123,10 +123,49 @@ def scene(spark, tmp_path):
         path = str(tmp_path / f"{name}.tif")
         tiff.write(path, data, (1.0, 0.0, west, 0.0, -1.0, 32.0) if down else (1.0, 0.0, west, 0.0, 1.0, 0.0))
         rows.append((name, path, "EPSG:4326", west, 0.0, west + 32, 32.0, west, 0.0, west + 32, 32.0, 1.0, 2024))
-    rows.append(("c", str(tmp_path / "none.tif"), "EPSG:4326", 0.0, 0.0, 32.0, 32.0, 0.0, 0.0, 32.0, 32.0, 1.0, 2024))
     return spark.createDataFrame(rows, "tile_id string, s3_path string, crs string, min_x double, min_y double, max_x double, max_y double, min_lon double, min_lat double, max_lon double, max_lat double, resolution double, year int")
 
 
+@pytest.fixture
+def broken(spark, tmp_path, scene):
+    """The scene, with a tile whose file is missing and one whose pixels are damaged."""
+    rows = []
+    for name, box in (("none", (0.0, 16.0, 16.0, 32.0)), ("cut", (16.0, 16.0, 32.0, 32.0))):
+        rows.append((name, str(tmp_path / f"{name}.tif"), "EPSG:4326", *box, *box, 1.0, 2024))
+    tiff.write(str(tmp_path / "cut.tif"), np.full((2, 16, 16), 9, np.int8), (1.0, 0.0, 16.0, 0.0, -1.0, 32.0))
+    head = tiff.header(tiff.reader(str(tmp_path / "cut.tif")))
+    raw = bytearray((tmp_path / "cut.tif").read_bytes())
+    raw[head.offsets[0] : head.offsets[0] + head.counts[0]] = b"x" * head.counts[0]
+    (tmp_path / "cut.tif").write_bytes(bytes(raw))
+    return scene.union(spark.createDataFrame(rows, scene.schema))
+
+
+@pytest.mark.parametrize("many", (False, True))
+def test_failures_are_counted_and_redone(spark, tmp_path, broken, many, monkeypatch, caplog):
+    """Missing and damaged files: counted alike on both ways of reading, logged, and their chunks made anew by a later run."""
+    original = run.chunks_of
+    monkeypatch.setattr(run, "chunks_of", lambda b, todo, heads: original(b, todo, heads, part_windows=1 if many else 64))
+    s = settings(tmp_path, resolution=1.0)
+    s.filter.bounds = [0.0, 0.0, 48.0, 32.0]
+    stats = run.run(spark, s, broken)
+    # Tiles that touch a chunk's edge belong to it: the missing file fails in each of them, the damaged one only where it has pixels.
+    done = json.loads((tmp_path / "out.zarr/checkpoint.json").read_text())["completed_chunks"]
+    assert stats.total == 6 and stats.failures > 0 and stats.processed == len(done) == 6 - stats.skipped and "0:0:0" not in done and "0:0:1" not in done and "0:1:2" in done
+    assert "none.tif" in caplog.text and "cut.tif" in caplog.text
+    assert (zarr.read_chunk(s.output.base, 0, 0, 0)[0, 0] == 10).all()
+    again = run.run(spark, s, broken)
+    assert again.total == stats.skipped > 0 and again.failures == stats.failures and again.processed == 0
+    assert stats.metrics.cog_read_secs > 0 and stats.metrics.zarr_write_secs > 0 and stats.metrics.mosaic_secs > 0 and stats.metrics.http_requests > 0
+
+
+def test_a_chunk_without_windows_is_done(spark, tmp_path, scene):
+    """A tile that only touches a chunk gives it nothing to read; the chunk isn't done again and again."""
+    s = settings(tmp_path, resolution=1.0)
+    s.filter.bounds = [0.0, 0.0, 64.0, 32.0]
+    stats = run.run(spark, s, scene)
+    assert stats.total == 8 and stats.processed == 8 and stats.failures == 0 and run.run(spark, s, scene).total == 0
+
+
 def test_run_and_resume(spark, tmp_path, scene):
     s = settings(tmp_path, resolution=1.0)
     s.filter.bounds = [0.0, 0.0, 48.0, 32.0]
@@ -159,9 +198,9 @@ def test_chunks_in_parts(spark, tmp_path, scene):
     assert len(one) == 6 and one == parts
 
 
-def test_headers_tell_faults(spark, scene):
-    rows = {r["s3_path"][-6:]: r for r in raster.headers(scene.union(scene)).collect()}
-    assert len(rows) == 3 and rows["/a.tif"]["gt"]["e"] == 1.0 and "Error" in rows["ne.tif"]["error"]
+def test_headers_tell_faults(spark, broken):
+    rows = {r["s3_path"][-6:]: r for r in raster.headers(broken.union(broken)).collect()}
+    assert len(rows) == 4 and rows["/a.tif"]["gt"]["e"] == 1.0 and "Error" in rows["ne.tif"]["error"]
 
 
 def test_stream(spark, tmp_path, scene):
@@ -173,3 +212,32 @@ def test_stream(spark, tmp_path, scene):
     q = found.writeStream.format("memory").queryName("touched").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert spark.table("touched").count() == 6
+
+
+def test_metadata_and_warnings(tmp_path, caplog):
+    s = Settings.from_json(json.dumps({"output": {"local_path": str(tmp_path), "model": "m", "source_data": "d"}, "processing": {"fetch_concurrency": 100, "max_concurrent_http": 8}})).validate()
+    assert "queue" in caplog.text
+    grid = OutputGrid.over((0, 0, 48, 32), C.WGS84, 1.0, [2024], 2, ChunkShape(1, 2, 16, 16))
+    group = zarr.group_metadata(grid, s.output)["attributes"]
+    assert group["geoemb:model"] == "m" and group["geoemb:source_data"] == "d" and all("spec_url" in c for c in group["zarr_conventions"])
+
+
+def test_checkpoint_interval(tmp_path):
+    s = Settings.from_json(json.dumps({"output": {"local_path": str(tmp_path)}, "processing": {"checkpoint": {"interval_secs": 3600}}}))
+    keep = checkpoint.CheckpointFile.open(str(tmp_path), s)
+    keep.completed.add("0:0:0")
+    keep.flush(due_only=True)
+    assert not (tmp_path / "checkpoint.json").exists()
+    keep.flush()
+    assert checkpoint.CheckpointFile.open(str(tmp_path), s).completed == {"0:0:0"}
+
+
+def test_reporter(caplog):
+    import logging
+    import time
+
+    caplog.set_level(logging.INFO)
+    r = metrics.Reporter(metrics.Snapshot(chunks_processed=3), 0.1, time.time())
+    time.sleep(0.35)
+    r.stop()
+    assert caplog.text.count("3 processed") >= 3
