@@ -1,28 +1,32 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Five transducers work over the symbols of a clause: insult and threat emit
-weight, target strengthens what its clause emits, negation and reported speech
-weaken what follows them up to the end of the clause. Their composition is one
-automaton, whose states are the sets of active modifiers; a text's evidence is
-the sum over its clauses of the weight that leaves the automaton at the end of
-each, and a logistic curve turns evidence into a score.
+Six small transducers read the symbols of a clause. Insult and threat pick one
+word of their kind, in every way there is, and pass it on as a hit; negation and
+reported speech weaken a hit that stands after their words; target weighs a
+clause by whether somebody is aimed at, without which a threat counts nothing;
+the clause itself weighs less if it is nothing but the hit. They are composed
+into one automaton. A clause's evidence is the sum over the automaton's accepted
+paths, found with the forward algorithm, a text's the sum over its clauses, and
+a logistic curve turns evidence into a score.
 
 Insult words and insult stems (the beginning of a word, any ending) and their
 weights are learned from a bounded sample of labelled rows, as is the curve.
-Threat, target, negation and reporting words are fixed lists.
+Threat, target, negation and reporting words are fixed lists. Words are runs of
+letters, in the fit as in the text; ``CLAUSE_MARKS`` end a clause.
 
 Clean rows of a large share of one language do not make that language toxic:
 weights are log-odds of documents that contain a word, by label.
 
 Defined results: null or empty texts, and texts without evidence, get the
-curve's value at no evidence; with no labels at all every score is 0. Repeated
-rows each return a row, an empty table returns none; other columns are ignored.
+curve's value at no evidence; with no labels at all every score is 0. An id, or
+a text, that is labelled both ways is toxic. Repeated rows each return a row,
+an empty table returns none; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.llm.common import read
+from lattica.llm.common import joinable, read
 from lattica.llm.langid import held_out, letters
 
 #: Labelled documents that lexicon and curve are fitted on, about, of each label.
@@ -49,46 +53,99 @@ TARGET = "you your yours yourself they them u du dich dir ihr euch vous tu toi v
 NEGATION = "not no never nobody neither nor without nicht nie kein keine jamais pas non sans ni nunca sin".split()
 REPORTED = "said says reported according quoted alleged called claims sagte laut berichtet selon disait déclaré dijo según".split()
 
-INSULT_, THREAT_, TARGET_, NEGATION_, REPORTED_, END_ = range(1, 7)
-#: What a modifier does to emitted weight.
-WEAKER_NEGATED, WEAKER_REPORTED, STRONGER_TARGET, THREAT_WEIGHT = 0.4, 0.5, 1.25, 1.5
+WORD_, INSULT_, THREAT_, TARGET_, NEGATION_, REPORTED_, INSULT_HIT, THREAT_HIT = range(8)
+WORDS = range(6)
+#: Weights of the grammar.
+NEGATED, SAID, AIMED, UNAIMED, THREAT_WEIGHT, BARE = 0.4, 0.5, 1.25, 0.8, 1.5, 0.25
 CLAUSE_MARKS = ".,;:!?"
 
 
-def automaton() -> tuple[np.ndarray, np.ndarray]:
-    """Next state and emission factor by (state, symbol); a state is a set of bits: negated 1, reported 2, target 4."""
-    step, factor = np.zeros((8, 7), np.int64), np.zeros((8, 7))
-    for state in range(8):
-        for symbol in range(7):
-            step[state, symbol] = {NEGATION_: state | 1, REPORTED_: state | 2, TARGET_: state | 4, END_: 0}.get(symbol, state)
-        scale = (WEAKER_NEGATED if state & 1 else 1) * (WEAKER_REPORTED if state & 2 else 1)
-        factor[state, INSULT_] = factor[state, THREAT_] = scale
-    return step, factor
-
-
-def clause_evidence(symbols: list[int], weights: list[float]) -> float:
-    """Run one text's symbols through the automaton; an unaimed threat carries no weight."""
-    step, factor = automaton()
-    total, state, insult, threat = 0.0, 0, 0.0, 0.0
-    for symbol, weight in [*zip(symbols, weights), (END_, 0.0)]:
-        if symbol == INSULT_:
-            insult += factor[state, symbol] * weight
-        elif symbol == THREAT_:
-            threat += factor[state, symbol] * weight
-        elif symbol == END_:
-            total += insult * (STRONGER_TARGET if state & 4 else 1) + (threat if state & 4 else 0)
-            insult = threat = 0.0
-        state = int(step[state, symbol])
-    return total
+@dataclass(frozen=True)
+class Transducer:
+    """Weighted and, it may be, ambiguous: ``arcs`` are (state, symbol read, symbol written, weight, next state), ``ends`` the weights of accepting states; it starts in state 0."""
+
+    arcs: tuple[tuple[int, int, int, float, int], ...]
+    ends: dict[int, float]
+
+    def then(self, other: Transducer) -> Transducer:
+        """Composition: ``other`` reads what this one writes."""
+        reads: dict[tuple[int, int], list] = {}
+        for state, read, wrote, weight, goes in other.arcs:
+            reads.setdefault((state, read), []).append((wrote, weight, goes))
+        own: dict[int, list] = {}
+        for arc in self.arcs:
+            own.setdefault(arc[0], []).append(arc[1:])
+        number, todo, arcs = {(0, 0): 0}, [(0, 0)], []
+        while todo:
+            a, b = todo.pop()
+            for read, between, w1, a2 in own.get(a, ()):
+                for wrote, w2, b2 in reads.get((b, between), ()):
+                    if (a2, b2) not in number:
+                        number[a2, b2] = len(number)
+                        todo.append((a2, b2))
+                    arcs.append((number[a, b], read, wrote, w1 * w2, number[a2, b2]))
+        return Transducer(tuple(arcs), {n: self.ends[a] * other.ends[b] for (a, b), n in number.items() if a in self.ends and b in other.ends})
+
+
+def _pick(word: int, hit: int) -> Transducer:
+    """Writes one of the words, or none, as a hit; a clause holds one hit of all kinds at most."""
+    arcs = [(s, x, x, 1.0, s) for s in (0, 1) for x in WORDS] + [(0, word, hit, 1.0, 1)]
+    return Transducer((*arcs, *((0, h, h, 1.0, 1) for h in (INSULT_HIT, THREAT_HIT) if h != hit)), {0: 1.0, 1: 1.0})
+
+
+def _weaken(word: int, weight: float) -> Transducer:
+    """Weakens a hit that stands after one of the words."""
+    arcs = [(s, x, x, 1.0, 1 if x == word else s) for s in (0, 1) for x in WORDS]
+    return Transducer((*arcs, *((s, h, h, weight if s else 1.0, s) for s in (0, 1) for h in (INSULT_HIT, THREAT_HIT))), {0: 1.0, 1: 1.0})
+
+
+def _target() -> Transducer:
+    """States: no hit 0, 1 (aimed); insult 2, 3; threat 4, 5. Without a hit, or with an unaimed threat, a clause isn't accepted."""
+    arcs = [(s, x, x, 1.0, s | 1 if x == TARGET_ else s) for s in range(6) for x in WORDS]
+    hits = [(s, h, h, 1.0, s + step) for s in (0, 1) for h, step in ((INSULT_HIT, 2), (THREAT_HIT, 4))]
+    return Transducer((*arcs, *hits), {2: UNAIMED, 3: AIMED, 5: 1.0})
+
+
+def _clause() -> Transducer:
+    """Weighs a clause without any other word as bare."""
+    arcs = [(s, x, x, 1.0, s if x in (INSULT_, THREAT_) else 1) for s in (0, 1) for x in WORDS]
+    return Transducer((*arcs, *((s, h, h, 1.0, s) for s in (0, 1) for h in (INSULT_HIT, THREAT_HIT))), {0: BARE, 1: 1.0})
+
+
+def composed() -> Transducer:
+    """Insult, threat, negation, reported speech, target and clause as one transducer."""
+    return _pick(INSULT_, INSULT_HIT).then(_pick(THREAT_, THREAT_HIT)).then(_weaken(NEGATION_, NEGATED)).then(_weaken(REPORTED_, SAID)).then(_target()).then(_clause())
+
+
+class Automaton:
+    """A transducer as matrices: by symbol, the weights of steps that pass it on and of those that make it the hit."""
+
+    def __init__(self, t: Transducer):
+        states = 1 + max(max(a[0], a[4]) for a in t.arcs)
+        self.passed, self.hit = np.zeros((len(WORDS), states, states)), np.zeros((len(WORDS), states, states))
+        for state, read, wrote, weight, goes in t.arcs:
+            if read in WORDS:
+                (self.hit if wrote in (INSULT_HIT, THREAT_HIT) else self.passed)[read, state, goes] += weight
+        self.ends = np.zeros(states)
+        self.ends[list(t.ends)] = list(t.ends.values())
+
+    def evidence(self, symbols: list[int], weights: list[float]) -> float:
+        """Sum over the accepted paths of one clause; a hit counts its word's weight."""
+        now = np.zeros(len(self.ends))
+        now[0] = 1.0
+        for symbol, weight in zip(symbols, weights):
+            now = now @ (self.passed[symbol] + weight * self.hit[symbol])
+        return float(now @ self.ends)
 
 
 class Grammar:
-    """Symbols and weights of distinct tokens, and the evidence of token sequences."""
+    """Symbols and weights of distinct words, and the evidence of texts."""
 
     def __init__(self, insults: dict[str, float], stems: dict[str, float]):
         self.insults, self.stems = insults, stems
         self.fixed = {w: s for s, words in ((TARGET_, TARGET), (NEGATION_, NEGATION), (REPORTED_, REPORTED), (THREAT_, THREAT)) for w in words}
         self.lengths = sorted({len(s) for s in stems}, reverse=True)
+        self.automaton = Automaton(composed())
 
     def symbol(self, word: str) -> tuple[int, float]:
         if word in self.insults:
@@ -98,46 +155,40 @@ class Grammar:
         for n in self.lengths:
             if len(word) >= n and word[:n] in self.stems:
                 return INSULT_, self.stems[word[:n]]
-        return 0, 0.0
+        return WORD_, 0.0
 
     def evidence(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Evidence and number of tokens of each text of a (large) string array without nulls."""
-        lists = pc.utf8_split_whitespace(pc.utf8_lower(text))
+        """Evidence and number of words of each text of a (large) string array without nulls."""
+        marked = pc.replace_substring_regex(pc.utf8_lower(text), f"[{CLAUSE_MARKS}]+", " . ")
+        lists = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.replace_substring_regex(marked, r"[^\p{L}\p{M}.]+", " ")))
         offsets = np.asarray(lists.offsets)
         offsets = offsets - offsets[0]
         coded = pc.dictionary_encode(lists.flatten())
         codes = coded.indices.to_numpy(zero_copy_only=False)
-        tokens = coded.dictionary
-        bare = pc.utf8_trim(tokens, "".join(set(map(chr, range(33, 127))) - set("abcdefghijklmnopqrstuvwxyz0123456789"))).to_pylist()
-        found = [self.symbol(w) for w in bare]
-        symbols = np.array([f[0] for f in found] or [0], np.int64)
-        weights = np.array([f[1] for f in found] or [0.0])
-        ends = np.asarray(pc.match_substring_regex(tokens, f"[{CLAUSE_MARKS}]\\W*$")).astype(bool) if len(tokens) else np.zeros(1, bool)
+        words = coded.dictionary.to_pylist() or [""]
+        found = [self.symbol(w) for w in words]
+        symbols, weights = np.array([f[0] for f in found], np.int64), np.array([f[1] for f in found])
+        end = np.array([w in (".", "") for w in words])
+        counts = np.concatenate([[0], np.cumsum(~end[codes])]) if len(codes) else np.zeros(1, np.int64)
         out = np.zeros(len(text))
-        hits = np.isin(symbols[codes], (INSULT_, THREAT_)) if len(codes) else np.zeros(0, bool)
-        for i in np.unique(np.searchsorted(offsets, np.flatnonzero(hits), "right") - 1):
-            own = codes[offsets[i] : offsets[i + 1]]
-            line, weight = [], []
-            for c in own[(symbols[own] > 0) | ends[own]]:
-                if symbols[c]:
-                    line.append(int(symbols[c]))
-                    weight.append(float(weights[c]))
-                if ends[c]:
-                    line.append(END_)
-                    weight.append(0.0)
-            out[i] = clause_evidence(line, weight)
-        return out, np.diff(offsets).astype(np.int64)
-
-
-def _curve(evidence: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic curve, by Newton steps with a small ridge."""
-    x = np.stack([evidence, np.ones(len(evidence))], 1)
-    w = np.zeros(2)
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(2)
-        w += np.linalg.solve(h, x.T @ (label - p) - 0.05 * w)
-    return float(w[0]), float(w[1])
+        hits = np.flatnonzero(np.isin(symbols, (INSULT_, THREAT_))[codes]) if len(codes) else np.zeros(0, np.int64)
+        for i in np.unique(np.searchsorted(offsets, hits, "right") - 1):
+            out[i] = self._text(codes[offsets[i] : offsets[i + 1]], symbols, weights, end)
+        return out, (counts[offsets[1:]] - counts[offsets[:-1]]).astype(np.int64)
+
+    def _text(self, codes: np.ndarray, symbols: np.ndarray, weights: np.ndarray, end: np.ndarray) -> float:
+        """Sum over the clauses that hold a hit; their ordinary words count as one, as the grammar doesn't tell how many there are."""
+        clause, own = np.cumsum(end[codes]), symbols[codes]
+        plain = np.bincount(clause, (own == WORD_) & ~end[codes], minlength=int(clause[-1]) + 1)
+        special = np.flatnonzero(own != WORD_)
+        bounds = np.searchsorted(clause[special], (hit := np.unique(clause[np.isin(own, (INSULT_, THREAT_))])))
+        ends = np.searchsorted(clause[special], hit, "right")
+        total = 0.0
+        for c, a, b in zip(hit, bounds, ends):
+            at = special[a:b]
+            line, weight = own[at].tolist(), weights[codes[at]].tolist()
+            total += self.automaton.evidence([WORD_, *line] if plain[c] else line, [0.0, *weight] if plain[c] else weight)
+        return total
 
 
 def _beginnings(n: int) -> Column:
@@ -146,15 +197,15 @@ def _beginnings(n: int) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> tuple[Grammar, np.ndarray | None]:
     """Lexicon and curve from labelled rows; ``docs(doc_id, text)``, ``labels(doc_id, toxic)``."""
-    known = labels.filter("toxic is not null and doc_id is not null").select("doc_id", (F.col("toxic") == 1).cast("int").alias("toxic")).dropDuplicates(["doc_id"])
+    known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if set(sizes) != {0, 1}:
         return Grammar({}, {}), None
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     limit = F.lit(int((1 << 30) * min(1.0, sample_docs / sizes[0])))
     limit = F.when(F.col("toxic") == 1, int((1 << 30) * min(1.0, sample_docs / sizes[1]))).otherwise(limit)
-    chosen = F.broadcast(known.filter(draw < limit))  # sample_docs of each label, about
-    sample = docs.filter("text is not null").join(chosen, "doc_id").select("toxic", "text").dropDuplicates(["text"])
+    chosen = joinable(known.filter(draw < limit))  # sample_docs of each label, about
+    sample = docs.filter("text is not null").join(chosen, "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic")).select("toxic", "text")
     words = F.array_distinct(F.split(F.trim(letters(F.col("text"))), " "))
     stems = F.array_distinct(F.flatten(F.array(*[_beginnings(n) for n in STEM_CHARS])))
     entries = sample.select("toxic", words.alias("w")).select("toxic", F.explode(F.concat("w", stems)).alias("entry")).filter("length(entry) > 2")
@@ -170,7 +221,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> t
     found = {r["entry"]: (r["odds"], r["ratio"], r["t"]) for r in kept.toLocalIterator()}
     insults = {e: o for e, (o, _, _) in found.items() if not e.endswith("*")}
     grammar = Grammar(insults, _stems(found))
-    seen = sample.select("toxic", "text").mapInArrow(_evidences(grammar), "toxic int, evidence double, words long").toPandas()
+    seen = sample.select("toxic", "text").mapInArrow(_evidences(grammar), "toxic int, evidence double, words long").toPandas().sort_values(["toxic", "evidence", "words"])
     sample.unpersist()
     return grammar, _curve(_features(seen["evidence"].to_numpy(), seen["words"].to_numpy()), seen["toxic"].to_numpy(float))
 
