@@ -3,15 +3,15 @@
 Texts become sequences of canonical tokens: words in lower case, and typed
 slots for numbers, for units that follow a number and for names (capitalised
 words inside a sentence). A window of ``WINDOW`` tokens is a template in which
-a slot carries its type and the place of its value's first occurrence in the
-window, so two windows share a template exactly if their slots hold consistent
-values under a renaming: a question asked anew with other numbers and names is
-found, one whose slots don't correspond isn't. The values of an item's slots
-are then paired with the document's, once over all windows and once for each
-occurrence (windows at one distance between document and item): the share of
-values to pairs is the match's consistency, 1 if each value of the item stands
-for one value throughout. Values that an occurrence doesn't hold count as pairs
-that disagree, and the best of these shares holds.
+a slot stands for any value of its type, so a question asked anew with other
+numbers and names has the templates of the first. Whether their slots
+correspond is then checked: the values of an item's slots are paired with the
+document's, once over all windows and once for each occurrence (windows at one
+distance between document and item). The share of values to pairs is the
+match's consistency: 1 if each value of the item stands for one value
+throughout, less if a name or number that comes again is another one there.
+Values that an occurrence doesn't hold count as pairs that disagree, and the
+best of these shares holds.
 
 Templates are hashed and joined with the benchmark's. A document is taken to
 hold an item if it has at least ``COVERAGE`` of the item's distinct windows,
@@ -42,7 +42,8 @@ WINDOW = 8
 SHORTEST = 5
 PLAIN_WORDS = 4
 COVERAGE = 0.5
-CONSISTENCY = 0.5
+#: One value of ten may stand for two.
+CONSISTENCY = 0.9
 SLOT = "\x01"
 #: Tags of canonical tokens.
 NUMBER, UNIT, NAME, PLAIN = 0, 1, 2, 7
@@ -86,8 +87,7 @@ def _templates(starts: Column, n: int, weak: bool = True) -> Column:
 
     def slotted(i: Column) -> Column:
         w = window(i)
-        place = lambda t: t.bitwiseAND(F.lit(7).cast("long")) + F.array_position(w, t) * 8
-        filled = F.transform(w, lambda t: F.when(_slot(t), place(t)).otherwise(t))
+        filled = F.transform(w, lambda t: F.when(_slot(t), t.bitwiseAND(F.lit(7).cast("long"))).otherwise(t))
         out = F.when(~F.exists(w, _slot), F.xxhash64(w)).when(F.size(F.filter(w, lambda t: ~_slot(t))) >= PLAIN_WORDS, F.xxhash64(filled))
         return out.otherwise(F.xxhash64(_untyped(w))) if weak else out
 
