@@ -4,22 +4,28 @@ A spot signature is a common word (the anchor) with the chain of the next
 ``CHAIN`` content words after it, common words skipped. A text's fingerprint is
 its set of signatures; so that lists and tables, which lack common words, have
 spots as well, one content word in ``PICKED``, chosen by its hash, is an anchor
-too. Two fingerprints are compared by Jaccard likeness, which
-set lengths bound from above, so a pair whose lengths are too far apart isn't
-intersected. A text without a spot has one signature, its own hash.
-
-``near_pairs`` finds all pairs of different fingerprints from a likeness on:
-sets are partitioned by length into bands such that a set's partners are in its
-own or the next band, indexed by their rarest signatures, joined within bands,
-pruned by length and verified with the exact likeness.
+too. Two fingerprints are compared by Jaccard likeness. A text without a spot
+has one signature, its own hash.
+
+``classes`` finds which fingerprints are alike from a likeness on. Of a set of
+n signatures the first n - ceil(likeness * n) + 1 in an order common to all,
+in which the most frequent ones of a bounded sample come last, meet those of
+each partner. They are an index, partitioned by set length into bands such that
+a set's partners are in its own or a neighbouring band. In each posting list
+the members are compared with one of them, pruned by length and verified with
+the exact likeness of whole sets; then members of different classes are
+compared with each other. So a list of copies costs as many comparisons as it
+has members, and no link between classes is lost.
 
 The edited text of a document takes code points of the next document in order
 of ids. Documents are dealt into blocks of neighbouring ids; the first of each
-block also visits the block before, so texts are shuffled once.
+block also visits the block before, so texts are shuffled once. Rows of one id,
+or of none, that are too many for a block are dealt into several.
 
 Defined results: null texts are empty; a repeated row is a document of its
-own, next to its twin; one document alone is its own next one; an empty table
-gives no rows; null ids come first; other columns are ignored.
+own, next to its twin; rows that share an id stand in any order; one document
+alone is its own next one; an empty table gives no rows; null ids come first;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,14 +36,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lattica.llm.common import joinable, read
+from lattica.llm.common import components, cut, joinable, read
 
 CHAIN = 2
 PICKED = 8
 BLOCK_DOCS = 512
 #: Blocks of neighbouring ids are made narrower while one has more documents than this.
 BLOCK_MOST = 8 * BLOCK_DOCS
+#: Documents of a task of blocks, about.
+TASK_DOCS = 4096
 SIMILARITY = 0.8
+#: Documents, about, whose signatures are counted for the order; those in more than one of ``RARE`` of them, ``OFTEN`` at most, come last.
+SAMPLE_DOCS, RARE, OFTEN = 20_000, 1000, 4096
 # Fixed list: very common words of four languages, the anchors.
 COMMON = (
     "the of and to a in is that for it on with as are was by be this from at or an have not "
@@ -65,7 +75,7 @@ def signatures(df: DataFrame, text: str, name: str) -> DataFrame:
 
 def digest(signatures: Column) -> Column:
     """A set of signatures as 32 hex digits."""
-    ordered = F.array_sort(signatures)
+    ordered = F.sort_array(signatures)
     return F.lower(F.concat(F.lpad(F.hex(F.xxhash64(ordered)), 16, "0"), F.lpad(F.hex(F.xxhash64(F.lit(1), ordered)), 16, "0")))
 
 
@@ -76,61 +86,121 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
     return F.when(low < least * high, F.lit(0.0)).otherwise(shared / (F.size(a) + F.size(b) - shared))
 
 
+def numbered_rows(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text, uid)`` of ``docs``, whose rows come in the same order each time they are read, as those of files do."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("uid"))
+
+
 def with_next(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text, sigs, next_text, next_sigs)``: each document beside the next one, the first after the last."""
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    low, high, n = ids.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
+    """``(uid, doc_id, text, sigs, next_text, next_sigs)``: each document beside the next one, the first after the last."""
+    rows = numbered_rows(docs)
+    ids = rows.select("doc_id", "uid")
+    low, high, n, none = ids.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1)), F.count_if(F.col("doc_id").isNull())).first()
     low, high = low or 0, high or 0
+    hot = {r["doc_id"]: r["n"] for r in ids.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BLOCK_MOST // 2).collect()}
+    known = F.array(*[F.lit(h) for h in sorted(hot)]).cast("array<bigint>")
+    is_hot = F.array_contains(known, F.col("doc_id")) if hot else F.lit(False)
+    deals = F.when(F.col("doc_id").isNull(), max(1, -(-none // BLOCK_DOCS)))
+    for h, m in hot.items():
+        deals = deals.when(F.col("doc_id") == h, -(-m // BLOCK_DOCS))
+    segment = F.size(F.filter(known, lambda h: h < F.col("doc_id"))) * 2 + is_hot.cast("int") if hot else F.lit(0)
+    bucket = F.pmod(F.xxhash64("uid"), deals.otherwise(1))
     place = lambda width: F.coalesce(F.floor((F.col("doc_id") - low) / F.lit(width)).cast("long"), F.lit(-1).cast("long"))
     width = max(1, math.ceil((high - low + 1) / max(1, n) * BLOCK_DOCS))
-    while width > 1 and (ids.groupBy(place(width).alias("b")).count().agg(F.max("count")).first()[0] or 0) > BLOCK_MOST:
+    plain = ids.filter(F.col("doc_id").isNotNull() & ~is_hot)
+    while width > 1 and (plain.groupBy(place(width).alias("b")).count().agg(F.max("count")).first()[0] or 0) > BLOCK_MOST:
         width = max(1, width // 16)
-    firsts = ids.groupBy(place(width).alias("blk")).agg(F.min("doc_id").alias("doc_id"))
+    block = F.struct(place(width).alias("p"), F.coalesce(segment, F.lit(0)).alias("s"), bucket.cast("long").alias("k")).alias("blk")
+    firsts = ids.groupBy(block).agg(F.min(F.struct("doc_id", "uid")).alias("first")).select("blk", "first.uid")
     # The block before each block, in two levels; the outer one has a row for some 4096 blocks.
-    group = F.floor(F.col("blk") / 4096)
+    group = F.floor(F.col("blk.p") / 4096)
     inner = firsts.withColumn("_g", group).withColumn("prev", F.lag("blk").over(Window.partitionBy("_g").orderBy("blk")))
     outer = firsts.groupBy(group.alias("_g")).agg(F.max("blk").alias("_last"))
+    last = outer.agg(F.max("_last")).first()[0]
+    end = F.struct(*[F.lit(v).cast(t).alias(c) for c, t, v in zip("psk", ("long", "int", "long"), last)]) if last else F.lit(None).cast("struct<p:bigint,s:int,k:bigint>")
     outer = outer.withColumn("_before", F.lag("_last").over(Window.orderBy("_g")))
-    end = F.lit(int((high - low) / width) if n else 0).cast("long")
-    before = inner.join(outer, "_g").select("doc_id", F.coalesce("prev", "_before", end).alias("prev"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    marked = rows.join(joinable(before.withColumnRenamed("doc_id", "_first"), 2_000_000), F.col("doc_id").eqNullSafe(F.col("_first")), "left").drop("_first")
-    homes = F.array(F.struct(place(width).alias("blk"), F.lit(0).alias("guest")))
-    guests = F.when(F.col("prev").isNotNull(), F.array(F.struct(F.col("prev").alias("blk"), F.lit(1).alias("guest")))).otherwise(F.array().cast("array<struct<blk:bigint,guest:int>>"))
-    dealt = marked.select("doc_id", "text", F.inline(F.concat(homes, guests))).repartition("blk")
-    order = Window.partitionBy("blk").orderBy("guest", F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    before = inner.join(outer, "_g").select("uid", F.coalesce("prev", "_before", end).alias("prev"))
+    marked = rows.join(joinable(before, 2_000_000), "uid", "left")
+    homes = F.array(F.struct(block, F.lit(0).alias("guest")))
+    dealt = marked.select("doc_id", "text", "uid", F.inline(F.when(F.col("prev").isNotNull(), F.concat(homes, F.array(F.struct(F.col("prev").alias("blk"), F.lit(1).alias("guest"))))).otherwise(homes)))
+    dealt = dealt.repartition(max(1, -(-n // TASK_DOCS)), "blk")
+    order = Window.partitionBy("blk").orderBy("guest", F.col("doc_id").asc_nulls_first(), "uid")
     both = signatures(dealt, "text", "sigs").withColumn("next_text", F.lead("text").over(order)).withColumn("next_sigs", F.lead("sigs").over(order))
     return both.filter("guest = 0").drop("guest", "blk")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def _edited(docs: DataFrame) -> DataFrame:
     half = F.floor(F.length("text") / 2).cast("int")
     rows = with_next(docs).withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half), F.substring(F.col("next_text"), F.lit(1), half)))
-    return signatures(rows, "edited", "edited_sigs").select(
-        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), digest(F.col("sigs")).alias("fingerprint"), digest(F.col("edited_sigs")).alias("edited_fingerprint"),
-        likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"), likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"),
-    )
+    return signatures(rows, "edited", "edited_sigs")
+
 
+def frequent(docs: DataFrame, n: int) -> list[int]:
+    """The signatures that more than one in ``RARE`` of a sample of about ``SAMPLE_DOCS`` documents has, ``OFTEN`` at most; they decide the order of the index, not what it finds."""
+    some = numbered_rows(docs).filter(F.pmod(F.xxhash64("uid", F.lit("sample")), F.lit(max(1, n // SAMPLE_DOCS))) == 0)
+    counted = signatures(some.select("text"), "text", "sigs").select(F.explode("sigs").alias("sig")).groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
+    least = max(4, min(n, SAMPLE_DOCS) // RARE)
+    return [r["sig"] for r in counted.filter(F.col("n") >= least).orderBy(F.desc("n"), "sig").limit(OFTEN).select("sig").collect()]
 
-def near_pairs(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``(a, b, likeness)``: pairs of different fingerprints, by the smallest id that has each, ``a < b``."""
-    sets = signatures(docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")), "text", "sigs").drop("text")
-    sets = sets.groupBy(digest(F.col("sigs")).alias("fp")).agg(F.min("doc_id").alias("doc_id"), F.min_by("sigs", "doc_id").alias("sigs")).select("doc_id", "sigs", F.size("sigs").alias("n"))
-    rows = sets.select("doc_id", "n", F.explode("sigs").alias("sig"))
-    # A set's rarest signatures are enough: n - ceil(similarity * n) + 1 of them meet those of each partner.
-    rare = rows.join(rows.groupBy("sig").agg(F.count(F.lit(1)).alias("df")), "sig").filter("df > 1")
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("df", "sig"))
-    shared = rare.withColumn("k", rank).join(rows.join(rows.groupBy("sig").agg(F.count(F.lit(1)).alias("df")).filter("df = 1"), "sig").groupBy("doc_id").agg(F.count(F.lit(1)).alias("own")), "doc_id", "left")
-    prefix = shared.filter(F.col("k") + F.coalesce("own", F.lit(0)) <= F.col("n") - F.ceil(F.lit(similarity) * F.col("n") - 1e-9) + 1)
+
+def prefix(sigs: Column, last: list[int], similarity: float) -> Column:
+    """The first signatures of a set, enough to meet those of each partner; those in ``last`` come last."""
+    some = F.size(sigs) - F.ceil(F.lit(similarity) * F.size(sigs) - 1e-9).cast("int") + 1
+    order = F.sort_array(sigs)
+    if last:
+        held = F.array_intersect(sigs, F.array(*map(F.lit, last)).cast("array<bigint>"))
+        order = F.concat(F.sort_array(F.array_except(sigs, held)), F.sort_array(held))
+    return F.slice(order, F.lit(1), some)
+
+
+def classes(docs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``(f1, f2, class_id)``: the smallest id of the documents that are alike; ``sets(uid, doc_id, f1, f2, n, prefix)`` are the written fingerprints of ``docs``."""
+    first = cut(sets.groupBy("f1", "f2").agg(F.min("uid").alias("u"), F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "sets")
+    # 48 bits tell lists apart well enough: whole sets decide.
+    rows = first.select("u", "n", F.explode("prefix").alias("sig")).select("u", "n", F.col("sig").bitwiseAND(F.lit((1 << 48) - 1)).alias("sig"))
+    often = cut(rows.groupBy("sig").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("sig"), "often")
     band = F.floor(F.log("n") / math.log(1 / similarity) + 1e-9)
-    index = prefix.withColumn("band", band)
-    left = index.select("sig", F.explode(F.array("band", F.col("band") + 1)).alias("band"), F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("band").alias("ba"))
-    right = index.select("sig", "band", F.col("doc_id").alias("b"), F.col("n").alias("nb"))
-    met = left.join(right, ["sig", "band"]).filter((F.col("na") >= similarity * F.col("nb")) & (F.col("nb") >= similarity * F.col("na")) & (F.col("a") != F.col("b")) & ((F.col("ba") < F.col("band")) | (F.col("a") < F.col("b"))))
-    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    one = sets.select(F.col("doc_id").alias("a"), F.col("sigs").alias("sa"))
-    two = sets.select(F.col("doc_id").alias("b"), F.col("sigs").alias("sb"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", likeness(F.col("sa"), F.col("sb"), similarity).alias("likeness")).filter(F.col("likeness") >= similarity)
+    lists = cut(rows.join(often, "sig").select("sig", F.explode(F.array(band, band + 1)).alias("band"), "u", "n").distinct(), "lists")
+    listed = joinable(lists.select(F.col("u").alias("uid")).distinct(), 1_000_000)
+    whole = cut(signatures(numbered_rows(docs).join(listed, "uid", "left_semi").select("uid", "text"), "text", "sigs").select("uid", "sigs"), "whole")
+    key = ["sig", "band"]
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        one = whole.select(F.col("uid").alias("a"), F.col("sigs").alias("sa"))
+        two = whole.select(F.col("uid").alias("b"), F.col("sigs").alias("sb"))
+        return cut(pairs.join(one, "a").join(two, "b").filter(likeness(F.col("sa"), F.col("sb"), similarity) >= similarity).select("a", "b"), "links")
+
+    near = lambda x, y: (F.col(x) >= similarity * F.col(y) - 1e-9) & (F.col(y) >= similarity * F.col(x) - 1e-9)
+    centre = cut(lists.groupBy(*key).agg(F.min(F.struct("u", "n")).alias("c"), F.count(F.lit(1)).alias("m")).filter("m > 1").select(*key, F.col("c.u").alias("a"), F.col("c.n").alias("na")), "centres")
+    links = alike(lists.join(centre, key).filter((F.col("u") != F.col("a")) & near("n", "na")).select("a", F.col("u").alias("b")).distinct())
+    roots = cut(components(links), "roots")
+    # Lists that hold several classes: members outside the largest are compared with all of other classes.
+    own = cut(lists.join(centre.select(key), key, "left_semi").join(roots.withColumnRenamed("node", "u"), "u", "left").withColumn("root", F.coalesce("root", "u")), "own")
+    parts = own.groupBy(*key, "root").agg(F.count(F.lit(1)).alias("m")).groupBy(*key).agg(F.count(F.lit(1)).alias("parts"), F.max_by("root", "m").alias("main")).filter("parts > 1")
+    parts = cut(parts.select(*key, "main"), "parts")
+    left = own.join(parts, key).filter("root <> main").select(*key, F.col("u").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
+    right = own.join(parts.select(key), key, "left_semi").select(*key, F.col("u").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+    more = cut(left, "left").join(right, key).filter((F.col("ra") != F.col("rb")) & near("na", "nb"))
+    more = alike(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    if not more.isEmpty():
+        roots = cut(components(links.union(more)), "roots")
+    named = first.select("f1", "f2", "u", "doc_id").join(roots.withColumnRenamed("node", "u"), "u", "left").withColumn("root", F.coalesce("root", "u"))
+    named = cut(named, "named")
+    return named.join(named.groupBy("root").agg(F.min("doc_id").alias("class_id")), "root").select("f1", "f2", "class_id")
+
+
+def fingerprints(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """A row for each of ``docs(doc_id, text)``: its fingerprint and its edited text's, their likeness, that to the next document's, and ``class_id``, the smallest id that is alike from ``similarity`` on."""
+    order = frequent(docs, docs.count())
+    f1, f2 = (F.xxhash64(*seed, F.sort_array("sigs")) for seed in ((), (F.lit(1),)))
+    made = _edited(docs).select(
+        "uid", "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), f1.alias("f1"), f2.alias("f2"), digest(F.col("edited_sigs")).alias("edited_fingerprint"),
+        likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"), likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"), F.size("sigs").alias("n"), prefix(F.col("sigs"), order, similarity).alias("prefix"),
+    )
+    made = cut(made, "spots")
+    found = made.drop("uid", "n", "prefix").join(classes(docs, made.select("uid", "doc_id", "f1", "f2", "n", "prefix"), similarity), ["f1", "f2"])
+    fingerprint = F.lower(F.concat(F.lpad(F.hex("f1"), 16, "0"), F.lpad(F.hex("f2"), 16, "0")))
+    return found.select("doc_id", "n_chars", "edited_sha256", fingerprint.alias("fingerprint"), "edited_fingerprint", "near_edited", "near_next", "class_id")
 
 
 def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -476,21 +476,67 @@ def test_repeated_rows_and_clashing_columns_in_lines(spark):
 
 
 # 6
-def test_spotsigs(spark, texts):
+def brute_spots(text):
+    """The set of signatures, as tuples of words."""
+    import regex
+
+    words = regex.findall(r"[\p{L}\p{M}\p{N}]+", text.lower())
+    content = [w for w in words if w not in spotsigs.COMMON]
+    out, n = set(), 0
+    for w in words:
+        if w in spotsigs.COMMON:
+            if n + spotsigs.CHAIN <= len(content):
+                out.add((w, *content[n : n + spotsigs.CHAIN]))
+        else:
+            n += 1
+            signed = (h := xxhash.xxh64_intdigest(w.encode(), 42)) - (h >> 63 << 64)
+            if signed % spotsigs.PICKED == 0 and n - 1 + spotsigs.CHAIN < len(content):
+                out.add(("", w, *content[n : n + spotsigs.CHAIN]))
+    return out or {("whole", text)}
+
+
+def test_spotsigs_brute_force(spark, texts):
+    """All columns of the query: texts, fingerprints, both likenesses and classes."""
     got = {r["doc_id"]: r for r in registry.QUERIES["op6_spotsigs"](spark, DATA).collect()}
     ids = sorted(texts)
-    prints = defaultdict(set)
+    own = {i: brute_spots(texts[i] or "") for i in ids}
+    jaccard = lambda a, b: len(a & b) / len(a | b)
+    prints, sets = defaultdict(set), defaultdict(set)
     for k, i in enumerate(ids):
-        t, n = texts[i] or "", texts[ids[(k + 1) % len(ids)]] or ""
+        t, j = texts[i] or "", ids[(k + 1) % len(ids)]
         half = len(t) // 2
-        edited = t[: len(t) - half] + n[:half]
-        r = got[i]
-        assert r["n_chars"] == len(t) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest() and 0 <= r["near_edited"] <= 1
-        prints[t].add(r["fingerprint"])
-        prints[edited].add(r["edited_fingerprint"])
-    assert all(len(v) == 1 for v in prints.values())
-    near, other = np.mean([r["near_edited"] for r in got.values()]), np.mean([r["near_next"] for r in got.values()])
-    assert near > 0.2 and near > 20 * other
+        edited = t[: len(t) - half] + (texts[j] or "")[:half]
+        r, spots = got[i], brute_spots(edited)
+        assert r["n_chars"] == len(t) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert r["near_edited"] == pytest.approx(jaccard(own[i], spots)) and r["near_next"] == pytest.approx(jaccard(own[i], own[j]))
+        for s, f in ((own[i], r["fingerprint"]), (spots, r["edited_fingerprint"])):
+            prints[frozenset(s)].add(f)
+            sets[f].add(frozenset(s))
+    assert all(len(v) == 1 for v in (*prints.values(), *sets.values()))
+    links = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1 :] if jaccard(own[a], own[b]) >= spotsigs.SIMILARITY]
+    assert {i: r["class_id"] for i, r in got.items()} == components_of(ids, links) and links
+    assert np.mean([r["near_edited"] for r in got.values()]) > 0.2
+
+
+def test_spotsig_classes_of_hot_lists(spark, monkeypatch):
+    """Chains of near copies, a passage that most texts share, exact copies: classes are those of all pairs."""
+    draw = np.random.default_rng(2)
+    word = lambda: "".join(draw.choice(list("abcdefghij"), 5))
+    passage = " the ".join(word() for _ in range(30))
+    texts = []
+    for g in range(6):
+        base = [word() for _ in range(60)]
+        for k in range(12):
+            base = list(base)
+            base[int(draw.integers(60))] = word()
+            texts.append(" the ".join(base) + (f" and {passage}" if (g + k) % 3 else ""))
+    texts += [passage] * 5 + [f"{passage} {word()} {word()}" for _ in range(5)] + ["", None, "the", "one"]
+    own = [brute_spots(t or "") for t in texts]
+    monkeypatch.setattr(spotsigs, "RARE", 10_000)
+    for similarity in (0.5, 0.8):
+        links = [(a, b) for a in range(len(own)) for b in range(a + 1, len(own)) if len(own[a] & own[b]) / len(own[a] | own[b]) >= similarity]
+        got = {r["doc_id"]: r["class_id"] for r in spotsigs.fingerprints(frame(spark, texts), similarity).collect()}
+        assert got == components_of(range(len(own)), links)
 
 
 def test_next_with_uneven_ids(spark, monkeypatch):
@@ -504,15 +550,23 @@ def test_next_with_uneven_ids(spark, monkeypatch):
     assert one["near_next"] == 1.0 and one["near_edited"] <= 1.0
 
 
-def test_spotsig_pairs_brute_force(spark, docs):
-    small = docs.limit(150)
-    sets = {r["doc_id"]: frozenset(r["sigs"]) for r in spotsigs.signatures(small.select("doc_id", "text"), "text", "sigs").collect()}
-    first = {}
-    for i in sorted(sets):
-        first.setdefault(sets[i], i)
-    reps = sorted(first.items(), key=lambda x: x[1])
-    want = {(b, d) for k, (a, b) in enumerate(reps) for c, d in reps[k + 1 :] if len(a & c) / len(a | c) >= 0.5}
-    assert {(r["a"], r["b"]) for r in spotsigs.near_pairs(small, 0.5).collect()} == want
+@pytest.mark.parametrize("ids", ([None] * 30, [None] * 20 + [7] * 25 + [6, 8, 9] + [7], [5] * 40, [3]))
+def test_next_of_null_and_repeated_ids(spark, monkeypatch, ids):
+    """Each row has one next row, in the order of ids; nulls come first; many rows of one id are dealt out."""
+    monkeypatch.setattr(spotsigs, "BLOCK_DOCS", 4)
+    monkeypatch.setattr(spotsigs, "BLOCK_MOST", 8)
+    rows = spotsigs.with_next(spark.createDataFrame([(i, f"text {k}") for k, i in enumerate(ids)], "doc_id long, text string")).collect()
+    of = {f"text {k}": i for k, i in enumerate(ids)}
+    following = {r["text"]: r["next_text"] for r in rows}
+    assert len(following) == len(ids) == len(set(following.values()))
+    at, walk = "text 0", []
+    for _ in ids:
+        walk.append(of[at])
+        at = following[at]
+    assert at == "text 0"
+    key = lambda i: (i is not None, i or 0)
+    start = min(range(len(walk)), key=lambda k: (key(walk[k]), key(walk[k]) == key(walk[k - 1]))) if len(set(walk)) > 1 else 0
+    assert (walk[start:] + walk[:start]) == sorted(ids, key=key)
 
 
 # 7
