@@ -47,7 +47,7 @@ BLOCK_MOST = 8 * BLOCK_DOCS
 TASK_DOCS = 4096
 SIMILARITY = 0.8
 #: Documents, about, whose signatures are counted for the order; those in more than one of ``RARE`` of them, ``OFTEN`` at most, come last.
-SAMPLE_DOCS, RARE, OFTEN = 20_000, 1000, 4096
+SAMPLE_DOCS, RARE, OFTEN = 20_000, 1000, 1024
 # Fixed list: very common words of four languages, the anchors.
 COMMON = (
     "the of and to a in is that for it on with as are was by be this from at or an have not "
@@ -138,7 +138,8 @@ def _edited(docs: DataFrame) -> DataFrame:
 def frequent(docs: DataFrame, n: int) -> list[int]:
     """The signatures that more than one in ``RARE`` of a sample of about ``SAMPLE_DOCS`` documents has, ``OFTEN`` at most; they decide the order of the index, not what it finds."""
     some = numbered_rows(docs).filter(F.pmod(F.xxhash64("uid", F.lit("sample")), F.lit(max(1, n // SAMPLE_DOCS))) == 0)
-    counted = signatures(some.select("text"), "text", "sigs").select(F.explode("sigs").alias("sig")).groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
+    # An inner explode would have its filter made of the whole expression, evaluated again for each word.
+    counted = signatures(some.select("text"), "text", "sigs").select(F.explode_outer("sigs").alias("sig")).groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
     least = max(4, min(n, SAMPLE_DOCS) // RARE)
     return [r["sig"] for r in counted.filter(F.col("n") >= least).orderBy(F.desc("n"), "sig").limit(OFTEN).select("sig").collect()]
 
