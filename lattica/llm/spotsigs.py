@@ -12,8 +12,8 @@ n signatures the first n - ceil(likeness * n) + 1 in an order common to all,
 in which the most frequent ones of a bounded sample come last, meet those of
 each partner. They are an index, partitioned by set length into bands such that
 a set's partners are in its own or a neighbouring band. In each posting list
-the members are compared with one of them, pruned by length and verified with
-the exact likeness of whole sets; then members of different classes are
+the members are compared with one of them, pruned by length and by what their
+prefixes share, and verified with the exact likeness of whole sets; then members of different classes are
 compared with each other. So a list of copies costs as many comparisons as it
 has members, and no link between classes is lost.
 
@@ -156,20 +156,31 @@ def prefix(sigs: Column, last: list[int], similarity: float) -> Column:
 
 def classes(docs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``(f1, f2, class_id)``: the smallest id of the documents that are alike; ``sets(uid, doc_id, f1, f2, n, prefix)`` are the written fingerprints of ``docs``."""
-    first = cut(sets.groupBy("f1", "f2").agg(F.min("uid").alias("u"), F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix")), "sets")
+    first = cut(sets.groupBy("f1", "f2").agg(F.min("uid").alias("u"), F.min("doc_id").alias("doc_id")), "sets")
     # 48 bits tell lists apart well enough: whole sets decide.
-    rows = first.select("u", "n", F.explode("prefix").alias("sig")).select("u", "n", F.col("sig").bitwiseAND(F.lit((1 << 48) - 1)).alias("sig"))
+    heads = sets.join(joinable(first.select(F.col("u").alias("uid")), 1_000_000), "uid", "left_semi").select(F.col("uid").alias("u"), "n", "prefix")
+    rows = heads.select("u", "n", F.explode("prefix").alias("sig")).select("u", "n", F.col("sig").bitwiseAND(F.lit((1 << 48) - 1)).alias("sig"))
     often = cut(rows.groupBy("sig").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("sig"), "often")
     band = F.floor(F.log("n") / math.log(1 / similarity) + 1e-9)
     lists = cut(rows.join(often, "sig").select("sig", F.explode(F.array(band, band + 1)).alias("band"), "u", "n").distinct(), "lists")
-    listed = joinable(lists.select(F.col("u").alias("uid")).distinct(), 1_000_000)
-    whole = cut(signatures(numbered_rows(docs).join(listed, "uid", "left_semi").select("uid", "text"), "text", "sigs").select("uid", "sigs"), "whole")
     key = ["sig", "band"]
+    # Prefixes as integers; what falls together in that is counted as lost.
+    short = F.transform("prefix", lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
+    heads = heads.join(joinable(lists.select("u").distinct(), 1_000_000), "u", "left_semi").select("u", "n", short.alias("h"), (F.size("prefix") - F.size(F.array_distinct(short))).alias("lost"))
+    heads = cut(heads, "heads")
 
     def alike(pairs: DataFrame) -> DataFrame:
-        one = whole.select(F.col("uid").alias("a"), F.col("sigs").alias("sa"))
-        two = whole.select(F.col("uid").alias("b"), F.col("sigs").alias("sb"))
-        return cut(pairs.join(one, "a").join(two, "b").filter(likeness(F.col("sa"), F.col("sb"), similarity) >= similarity).select("a", "b"), "links")
+        """Links among ``pairs(a, b)``. Signatures that two sets share lie in both prefixes or behind the one that ends first, which bounds the likeness before whole sets are read."""
+        held = joinable(heads, 250_000)
+        side = lambda x: held.select(F.col("u").alias(x), F.col("n").alias(f"n{x}"), F.col("h").alias(f"h{x}"), F.col("lost").alias(f"l{x}"))
+        both = pairs.join(side("a"), "a").join(side("b"), "b")
+        behind = F.greatest(F.ceil(F.lit(similarity) * F.col("na") - 1e-9), F.ceil(F.lit(similarity) * F.col("nb") - 1e-9)) - 1
+        most = F.size(F.array_intersect("ha", "hb")) + F.col("la") + F.col("lb") + behind
+        left = cut(both.filter(most >= similarity / (1 + similarity) * (F.col("na") + F.col("nb")) - 1e-6).select("a", "b"), "candidates")
+        ids = left.select(F.col("a").alias("uid")).union(left.select("b")).distinct()
+        whole = cut(signatures(numbered_rows(docs).join(joinable(ids, 1_000_000), "uid", "left_semi").select("uid", "text"), "text", "sigs").select("uid", "sigs"), "whole")
+        one, two = (whole.select(F.col("uid").alias(x), F.col("sigs").alias(f"s{x}")) for x in "ab")
+        return cut(left.join(one, "a").join(two, "b").filter(likeness(F.col("sa"), F.col("sb"), similarity) >= similarity).select("a", "b"), "links")
 
     near = lambda x, y: (F.col(x) >= similarity * F.col(y) - 1e-9) & (F.col(y) >= similarity * F.col(x) - 1e-9)
     centre = cut(lists.groupBy(*key).agg(F.min(F.struct("u", "n")).alias("c"), F.count(F.lit(1)).alias("m")).filter("m > 1").select(*key, F.col("c.u").alias("a"), F.col("c.n").alias("na")), "centres")
