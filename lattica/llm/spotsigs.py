@@ -7,7 +7,7 @@ spots as well, one content word in ``PICKED``, chosen by its hash, is an anchor
 too. Two fingerprints are compared by Jaccard likeness. A text without a spot
 has one signature, its own hash.
 
-``classes`` finds which fingerprints are alike from a likeness on. Of a set of
+``near_classes`` finds which fingerprints are alike from a likeness on. Of a set of
 n signatures the first n - ceil(likeness * n) + 1 in an order common to all,
 in which the most frequent ones of a bounded sample come last, meet those of
 each partner. They are an index, partitioned by set length into bands such that
@@ -15,7 +15,8 @@ a set's partners are in its own or a neighbouring band. In each posting list
 the members are compared with one of them, pruned by length and by what their
 prefixes share, and verified with the exact likeness of whole sets; then members of different classes are
 compared with each other. So a list of copies costs as many comparisons as it
-has members, and no link between classes is lost.
+has members, and no link between classes is lost; a list of texts that share a
+passage and are not alike costs as many as it has pairs.
 
 The edited text of a document takes code points of the next document in order
 of ids. Documents are dealt into blocks of neighbouring ids; the first of each
@@ -129,12 +130,6 @@ def with_next(docs: DataFrame) -> DataFrame:
     return both.filter("guest = 0").drop("guest", "blk")
 
 
-def _edited(docs: DataFrame) -> DataFrame:
-    half = F.floor(F.length("text") / 2).cast("int")
-    rows = with_next(docs).withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half), F.substring(F.col("next_text"), F.lit(1), half)))
-    return signatures(rows, "edited", "edited_sigs")
-
-
 def frequent(docs: DataFrame, n: int) -> list[int]:
     """The signatures that more than one in ``RARE`` of a sample of about ``SAMPLE_DOCS`` documents has, ``OFTEN`` at most; they decide the order of the index, not what it finds."""
     some = numbered_rows(docs).filter(F.pmod(F.xxhash64("uid", F.lit("sample")), F.lit(max(1, n // SAMPLE_DOCS))) == 0)
@@ -201,18 +196,23 @@ def classes(docs: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) ->
     return named.join(named.groupBy("root").agg(F.min("doc_id").alias("class_id")), "root").select("f1", "f2", "class_id")
 
 
-def fingerprints(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """A row for each of ``docs(doc_id, text)``: its fingerprint and its edited text's, their likeness, that to the next document's, and ``class_id``, the smallest id that is alike from ``similarity`` on."""
+def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``(doc_id, class_id)`` of every row of ``docs(doc_id, text)``: the smallest id that is alike, from ``similarity`` on."""
     order = frequent(docs, docs.count())
+    made = signatures(numbered_rows(docs), "text", "sigs")
     f1, f2 = (F.xxhash64(*seed, F.sort_array("sigs")) for seed in ((), (F.lit(1),)))
-    made = _edited(docs).select(
-        "uid", "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), f1.alias("f1"), f2.alias("f2"), digest(F.col("edited_sigs")).alias("edited_fingerprint"),
-        likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"), likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"), F.size("sigs").alias("n"), prefix(F.col("sigs"), order, similarity).alias("prefix"),
+    made = cut(made.select("uid", "doc_id", f1.alias("f1"), f2.alias("f2"), F.size("sigs").alias("n"), prefix(F.col("sigs"), order, similarity).alias("prefix")), "spots")
+    return made.select("doc_id", "f1", "f2").join(classes(docs, made, similarity), ["f1", "f2"]).select("doc_id", "class_id")
+
+
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """A row for each of ``docs(doc_id, text)``: its fingerprint and its edited text's, their likeness, and that to the next document's."""
+    half = F.floor(F.length("text") / 2).cast("int")
+    rows = with_next(docs).withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - half), F.substring(F.col("next_text"), F.lit(1), half)))
+    return signatures(rows, "edited", "edited_sigs").select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), digest(F.col("sigs")).alias("fingerprint"), digest(F.col("edited_sigs")).alias("edited_fingerprint"),
+        likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"), likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"),
     )
-    made = cut(made, "spots")
-    found = made.drop("uid", "n", "prefix").join(classes(docs, made.select("uid", "doc_id", "f1", "f2", "n", "prefix"), similarity), ["f1", "f2"])
-    fingerprint = F.lower(F.concat(F.lpad(F.hex("f1"), 16, "0"), F.lpad(F.hex("f2"), 16, "0")))
-    return found.select("doc_id", "n_chars", "edited_sha256", fingerprint.alias("fingerprint"), "edited_fingerprint", "near_edited", "near_next", "class_id")
 
 
 def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -496,7 +496,7 @@ def brute_spots(text):
 
 
 def test_spotsigs_brute_force(spark, texts):
-    """All columns of the query: texts, fingerprints, both likenesses and classes."""
+    """All columns of the query: texts, fingerprints and both likenesses; and the classes."""
     got = {r["doc_id"]: r for r in registry.QUERIES["op6_spotsigs"](spark, DATA).collect()}
     ids = sorted(texts)
     own = {i: brute_spots(texts[i] or "") for i in ids}
@@ -514,7 +514,7 @@ def test_spotsigs_brute_force(spark, texts):
             sets[f].add(frozenset(s))
     assert all(len(v) == 1 for v in (*prints.values(), *sets.values()))
     links = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1 :] if jaccard(own[a], own[b]) >= spotsigs.SIMILARITY]
-    assert {i: r["class_id"] for i, r in got.items()} == components_of(ids, links) and links
+    assert {r["doc_id"]: r["class_id"] for r in spotsigs.near_classes(spark.read.parquet(f"{DATA}/documents.parquet")).collect()} == components_of(ids, links) and links
     assert np.mean([r["near_edited"] for r in got.values()]) > 0.2
 
 
@@ -535,7 +535,7 @@ def test_spotsig_classes_of_hot_lists(spark, monkeypatch):
     monkeypatch.setattr(spotsigs, "RARE", 10_000)
     for similarity in (0.5, 0.8):
         links = [(a, b) for a in range(len(own)) for b in range(a + 1, len(own)) if len(own[a] & own[b]) / len(own[a] | own[b]) >= similarity]
-        got = {r["doc_id"]: r["class_id"] for r in spotsigs.fingerprints(frame(spark, texts), similarity).collect()}
+        got = {r["doc_id"]: r["class_id"] for r in spotsigs.near_classes(frame(spark, texts), similarity).collect()}
         assert got == components_of(range(len(own)), links)
 
 
