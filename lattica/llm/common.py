@@ -10,8 +10,11 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from itertools import count
+
+import numpy as np
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,6 +88,60 @@ def drop_cut(*tables: DataFrame | None) -> None:
             files.delete(at, True)
 
 
+def room(values: np.ndarray, n: int) -> np.ndarray:
+    """``values`` with room for ``n`` rows, doubled when it is full."""
+    return values if n <= len(values) else np.concatenate([values, np.zeros((max(n, 2 * len(values)) - len(values), *values.shape[1:]), values.dtype)])
+
+
+class Words:
+    """Numbers of the words that a worker remembers, in order of arrival; those that come again stay when it is full."""
+
+    def __init__(self, most: int):
+        self.most, self.known, self.uses = most, {"": 0}, np.zeros(1 << 12, np.int32)
+
+    def __len__(self) -> int:
+        return len(self.known)
+
+    def new(self, words: Iterable[str]) -> list[str]:
+        return sorted(set(words).difference(self.known))
+
+    def add(self, words: Iterable[str]) -> int:
+        """The number of the first of these new words."""
+        at = len(self.known)
+        self.known.update(zip(words, count(at)))
+        self.uses = room(self.uses, len(self.known))
+        return at
+
+    def find(self, words: list[str]) -> np.ndarray:
+        out = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        self.uses[out] += 1
+        return out
+
+    def forget(self) -> np.ndarray | None:
+        """If it is full: the old numbers of the words that stay, in order of their new ones."""
+        if len(self.known) <= self.most:
+            return None
+        least, uses = 2, self.uses[: len(self.known)]
+        uses[0] = np.iinfo(np.int32).max
+        while (uses >= least).sum() > self.most // 2:
+            least *= 2
+        kept, words = np.flatnonzero(uses >= least), list(self.known)
+        self.known = {words[i]: n for n, i in enumerate(kept)}
+        self.uses = uses[kept] >> 1
+        return kept
+
+
+_held: dict = {}
+
+
+def held_by_worker(key, make):
+    """What ``make`` gives for ``key``, kept for the next tasks of this Python worker; one object at a time, so that stages don't add up."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def free(columns: list[str], name: str) -> str:
     """``name``, or what stands for it where a column has it, in any case of letters."""
     taken = {c.lower() for c in columns}

@@ -30,15 +30,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.llm.common import read
+from lattica.llm.common import Words, held_by_worker, read, room
 
 #: Labelled documents of each language that the model is fitted on, about.
 SAMPLE_DOCS = 400
 EM_ROUNDS = 3
 #: Words that a worker remembers the scores of.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 #: Bytes of text whose words are laid out at once.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 #: Up to so many characters, mark included, a word's likelihood can't leave the range of a double; longer ones are scaled on the way.
 PLAIN_CHARS = 28
 MARK = "▁"
@@ -237,21 +237,16 @@ class Scorer:
 
     def __init__(self, langs: list[str], probs: np.ndarray, pieces: list[str]):
         self.langs, self.probs, self.lattice = langs, probs.astype(float), Lattice(pieces)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known, self.scores = {"": 0}, np.zeros((1 << 12, len(self.langs)))
+        self.words, self.scores = Words(CACHE_WORDS), np.zeros((1 << 12, len(langs)))
 
     def _word_scores(self, words: list[str]) -> np.ndarray:
-        if len(self.known) > CACHE_WORDS:
-            self._forget()
-        if fresh := sorted(set(words).difference(self.known)):
-            at, upto = len(self.known), len(self.known) + len(fresh)
-            self.known.update(zip(fresh, range(at, upto)))
-            if upto > len(self.scores):
-                self.scores = np.concatenate([self.scores, np.zeros((max(upto, 2 * len(self.scores)) - len(self.scores), len(self.langs)))])
-            self.scores[at:upto] = word_scores(fresh, self.lattice, self.probs)
-        return self.scores[np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))]
+        if (kept := self.words.forget()) is not None:
+            self.scores = self.scores[kept]
+        if fresh := self.words.new(words):
+            at = self.words.add(fresh)
+            self.scores = room(self.scores, len(self.words))
+            self.scores[at : len(self.words)] = word_scores(fresh, self.lattice, self.probs)
+        return self.scores[self.words.find(words)]
 
     def _totals(self, text: pa.Array) -> np.ndarray:
         plain = pc.utf8_lower(text.cast(pa.large_string()).fill_null(""))
@@ -281,16 +276,10 @@ class Scorer:
         return names, np.where(none, 0.0, share)
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def _scorer(model: tuple) -> Scorer:
     """The scorer of a model, one for each Python worker, whose tasks share what it knows."""
     mark = hashlib.sha256(repr((model[0], model[2])).encode() + model[1].tobytes()).hexdigest()
-    if mark not in _scorers:
-        _scorers.clear()
-        _scorers[mark] = Scorer(*model)
-    return _scorers[mark]
+    return held_by_worker(("scorer", mark), lambda: Scorer(*model))
 
 
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:

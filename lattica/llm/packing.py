@@ -26,8 +26,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import chain, count
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.llm.common import blocks_for, cut, read
+from lattica.llm.common import Words, blocks_for, cut, held_by_worker, read, room
 
 TOKENS = 4096
 END_ID = 2
@@ -44,18 +43,14 @@ SEGMENTS = 256
 #: Of a sequence: tokens, segments, loss-bearing tokens.
 LIMITS = (TOKENS, SEGMENTS, TOKENS)
 GROUP_PIECES = 4096
-#: Words whose ids a worker remembers, and bytes of text that are laid out at once.
-CACHE_WORDS = 1_000_000
-SLICE_BYTES = 8_000_000
+#: Words whose ids a worker remembers, bytes of text that are laid out and rows that are taken at once.
+CACHE_WORDS = 800_000
+SLICE_BYTES = 4_000_000
+BATCH_ROWS = 2000
 MARKS = ".,;:!?"
 BLANK = b" \t\n\r\x0b\x0c"
 
 
-def _room(values: np.ndarray, n: int) -> np.ndarray:
-    """``values`` with room for ``n`` entries, doubled when it is full."""
-    return values if n <= len(values) else np.concatenate([values, np.zeros(max(n, 2 * len(values)) - len(values), values.dtype)])
-
-
 class WordIds:
     """Ids of texts, word by word, from a tokenizer file.
 
@@ -71,13 +66,16 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known = {"": 0}
+        self.words = Words(CACHE_WORDS)
         self.starts, self.sizes, self.used = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), 0
         self.pool = np.zeros(1 << 14, np.uint32)
 
+    def _gather(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, end to end, and where each one's end."""
+        sizes = self.sizes[words]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        return self.pool[np.repeat(self.starts[words] - ends[:-1], sizes) + np.arange(ends[-1])], ends
+
     def _learn(self, words: list[str]) -> None:
         plain = [w for w in words if w.isalpha()]
         rest = [w for w in words if not w.isalpha()]
@@ -90,11 +88,9 @@ class WordIds:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
         sizes = np.concatenate([sizes, np.fromiter(map(len, found), np.int64, len(found))])
         ids = np.concatenate([ids, np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found)))])
-        at, upto = len(self.known), self.used + len(ids)
-        self.known.update(zip(chain(plain, rest), count(at)))
-        self.starts, self.sizes = _room(self.starts, len(self.known)), _room(self.sizes, len(self.known))
-        self.starts[at : len(self.known)], self.sizes[at : len(self.known)] = self.used + np.cumsum(sizes) - sizes, sizes
-        self.pool = _room(self.pool, upto)
+        at, upto = self.words.add(chain(plain, rest)), self.used + len(ids)
+        self.starts, self.sizes, self.pool = room(self.starts, len(self.words)), room(self.sizes, len(self.words)), room(self.pool, upto)
+        self.starts[at : len(self.words)], self.sizes[at : len(self.words)] = self.used + np.cumsum(sizes) - sizes, sizes
         self.pool[self.used : upto], self.used = ids, upto
 
     def _units(self, words: pa.Array) -> np.ndarray:
@@ -104,14 +100,15 @@ class WordIds:
         tails = pc.if_else(split, pc.extract_regex(words, f"(?P<t>[{MARKS}]*)$").field("t"), "")
         coded = [pc.dictionary_encode(c) for c in (pc.if_else(split, cores, words), tails)]
         distinct = [c.dictionary.to_pylist() for c in coded]
-        if fresh := set(chain(*distinct)).difference(self.known):
-            self._learn(sorted(fresh))
-        places = [np.fromiter(map(self.known.__getitem__, d), np.int64, len(d)) for d in distinct]
+        if fresh := self.words.new(chain(*distinct)):
+            self._learn(fresh)
+        places = [self.words.find(d) for d in distinct]
         return np.stack([p[c.indices.to_numpy(zero_copy_only=False)] for p, c in zip(places, coded)], 1)
 
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
-        if len(self.known) > CACHE_WORDS:
-            self._forget()
+        if (kept := self.words.forget()) is not None:
+            self.pool, ends = self._gather(kept)
+            self.starts, self.sizes, self.used = ends[:-1], np.diff(ends), len(self.pool)
         if not pc.any(pc.match_substring(texts, "<|")).as_py():  # what may be a special token is left as it is
             texts = pc.ascii_lower(texts)
         lists = pc.ascii_split_whitespace(texts)
@@ -119,19 +116,10 @@ class WordIds:
         offsets -= offsets[0]
         coded = pc.dictionary_encode(lists.flatten())
         units = self._units(coded.dictionary)
-        unit = units[coded.indices.to_numpy(zero_copy_only=False)].ravel()
-        sizes = self.sizes[unit]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        flat = self.pool[np.repeat(self.starts[unit] - ends[:-1], sizes) + np.arange(ends[-1])]
+        flat, ends = self._gather(units[coded.indices.to_numpy(zero_copy_only=False)].ravel())
         return np.split(flat, ends[2 * offsets[1:-1]])
 
 
-@lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
-    """One for each tokenizer and Python worker, whose tasks share what it knows."""
-    return WordIds(path)
-
-
 def _parts(text: bytes) -> Iterator[bytes]:
     """A text in parts of about a slice, cut at white space."""
     at = 0
@@ -175,8 +163,8 @@ FOUND = "doc_id long, start long, length long, loss long, ids_crc32 long, doc_to
 
 def _cutter(path: str, limits: tuple[int, int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = word_ids(path)
-        for batch in batches:
+        encoder = held_by_worker(("words", path), lambda: WordIds(path))
+        for batch in (b.slice(at, BATCH_ROWS) for b in batches for at in range(0, b.num_rows, BATCH_ROWS)):
             rows: list[tuple] = []
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             if asked := batch.num_columns > 2:

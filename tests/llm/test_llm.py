@@ -768,3 +768,26 @@ def test_units_brute_force(spark, texts):
                         want.append((i, whole, at, len(x)))
                     at += len(x)
         assert sorted((r["doc_id"], r["whole"], r["start"], r["chars"]) for r in rows) == sorted(want)
+
+
+def test_remembered_words():
+    """A worker that forgets gives what one that remembers gives."""
+    import pyarrow as pa
+
+    draw = np.random.default_rng(3)
+    texts = [" ".join(f"w{chr(97 + x % 26)}{chr(97 + x // 26 % 26)}{'x' * int(x // 676)}" for x in draw.integers(0, 3000, 200)) for _ in range(40)]
+    whole = packing.WordIds(packing.public_tokenizer())
+    small = packing.WordIds(packing.public_tokenizer())
+    small.words.most = 300
+    for k in range(0, 40, 4):
+        a, b = (w.ids(pa.array(texts[k : k + 4], pa.large_string())) for w in (whole, small))
+        assert [x.tolist() for x in a] == [x.tolist() for x in b]
+    assert len(small.words) < len(whole.words)
+    pieces = langid.public_vocabulary()
+    langs, probs = langid.fit({"a": {"waa": 3, "wbb": 2}, "b": {"wcc": 2, "wdd": 1}}, pieces)
+    one, two = langid.Scorer(langs, probs, pieces), langid.Scorer(langs, probs, pieces)
+    two.words.most = 200
+    for k in range(0, 40, 4):
+        a, b = (s.score(pa.array(texts[k : k + 4])) for s in (one, two))
+        assert (a[0] == b[0]).all() and np.allclose(a[1], b[1])
+    assert len(two.words) < len(one.words)
