@@ -7,6 +7,8 @@ shared, so a lost executor costs a re-read and no recomputation.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import threading
 import uuid
@@ -15,6 +17,7 @@ from contextlib import contextmanager
 from itertools import count
 
 import numpy as np
+import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,6 +145,17 @@ def held_by_worker(key, make):
     return _held[key]
 
 
+def release_worker() -> None:
+    """Give back what this Python worker holds from earlier tasks, and its free pages: idle workers share an executor's memory with the stages to come."""
+    _held.clear()
+    pa.default_memory_pool().release_unused()
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def free(columns: list[str], name: str) -> str:
     """``name``, or what stands for it where a column has it, in any case of letters."""
     taken = {c.lower() for c in columns}

@@ -20,7 +20,6 @@ returns none, other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Iterator
 
@@ -30,13 +29,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.llm.common import Words, held_by_worker, read, room
+from lattica.llm.common import Words, read, release_worker, room
 
 #: Labelled documents of each language that the model is fitted on, about.
 SAMPLE_DOCS = 400
 EM_ROUNDS = 3
-#: Words that a worker remembers the scores of.
-CACHE_WORDS = 500_000
+#: Words that a task remembers the scores of.
+CACHE_WORDS = 400_000
 #: Bytes of text whose words are laid out at once.
 SLICE_BYTES = 2_000_000
 #: Up to so many characters, mark included, a word's likelihood can't leave the range of a double; longer ones are scaled on the way.
@@ -276,10 +275,15 @@ class Scorer:
         return names, np.where(none, 0.0, share)
 
 
-def _scorer(model: tuple) -> Scorer:
-    """The scorer of a model, one for each Python worker, whose tasks share what it knows."""
-    mark = hashlib.sha256(repr((model[0], model[2])).encode() + model[1].tobytes()).hexdigest()
-    return held_by_worker(("scorer", mark), lambda: Scorer(*model))
+def _scored(batches: Iterator[pa.RecordBatch], model: tuple, column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Each batch with the language of its texts and its share; the words of a task are remembered until it ends."""
+    release_worker()
+    scorer = Scorer(*model)
+    for batch in batches:
+        yield batch, *scorer.score(batch.column(column))
+        pa.default_memory_pool().release_unused()
+    del scorer
+    release_worker()
 
 
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
@@ -295,11 +299,8 @@ def identify(docs: DataFrame, pieces: list[str] | None = None) -> DataFrame:
     model = _model(docs, pieces or public_vocabulary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(model)
-        for batch in batches:
-            names, share = scorer.score(batch.column(2))
+        for batch, names, share in _scored(batches, model, 2):
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(names, pa.string()), pa.array(share)], ["doc_id", "held_out", "lang_pred", "score"])
-            pa.default_memory_pool().release_unused()
 
     rows = docs.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, held_out boolean, lang_pred string, score double")
@@ -310,11 +311,8 @@ def accepted(docs: DataFrame, least: float = 0.5, pieces: list[str] | None = Non
     model, at = _model(docs, pieces or public_vocabulary()), docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(model)
-        for batch in batches:
-            names, share = scorer.score(batch.column(at))
+        for batch, names, share in _scored(batches, model, at):
             yield batch.filter(pa.array((names != "und") & (share >= least)))
-            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.llm.common import components, cut, joinable, read
+from lattica.llm.common import components, cut, joinable, read, release_worker
 
 POSITIONS = 8
 MAX_BITS = 3
@@ -250,6 +250,7 @@ def _min_prints(width: int):
                 sizes.append(len(hashes))
                 prints.append(min_print(hashes, donors))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(marks, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(prints, pa.binary())], ["rid", "doc_id", "fp", "n", "print"])
+        release_worker()
 
     return run
 
@@ -263,6 +264,7 @@ def _sets(width: int):
                 sets = [shingle_hashes(t.as_py(), width) for t in part.column(2).cast(pa.binary())]
                 prints = [min_print(h, donors) for h in sets]
                 yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(prints, pa.binary()), pa.array([h.tobytes() for h in sets], pa.binary())], ["fp", "n", "print", "hashes"])
+        release_worker()
 
     return run
 
@@ -344,6 +346,8 @@ def _near_tally(similarity: float):
             held.append(batch.slice(start))
         if held:
             yield links(held)
+        del held
+        release_worker()
 
     return run
 
