@@ -140,7 +140,7 @@ _held: dict = {}
 def held_by_worker(key, make):
     """What ``make`` gives for ``key``, kept for the next tasks of this Python worker; one object at a time, so that stages don't add up."""
     if key not in _held:
-        _held.clear()
+        release_worker()
         _held[key] = make()
     return _held[key]
 

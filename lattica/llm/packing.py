@@ -43,9 +43,10 @@ SEGMENTS = 256
 #: Of a sequence: tokens, segments, loss-bearing tokens.
 LIMITS = (TOKENS, SEGMENTS, TOKENS)
 GROUP_PIECES = 4096
-#: Words whose ids a worker remembers, bytes of text that are laid out and rows that are taken at once.
-CACHE_WORDS = 400_000
-SLICE_BYTES = 2_000_000
+#: Words whose ids a worker remembers, and bytes of text that are laid out at once: as much as an executor of 3 GB holds beside
+#: nothing else, and where other stages have filled its memory before.
+MEMORY, LITTLE_MEMORY = (800_000, 4_000_000), (120_000, 1_000_000)
+#: Rows that are taken at once.
 BATCH_ROWS = 2000
 MARKS = ".,;:!?"
 BLANK = b" \t\n\r\x0b\x0c"
@@ -58,7 +59,7 @@ class WordIds:
     punctuation is looked up apart from it: both are what makes words differ most.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = MEMORY[0]):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -66,7 +67,7 @@ class WordIds:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.words = Words(CACHE_WORDS)
+        self.words = Words(most)
         self.starts, self.sizes, self.used = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), 0
         self.pool = np.zeros(1 << 14, np.uint32)
 
@@ -120,11 +121,11 @@ class WordIds:
         return np.split(flat, ends[2 * offsets[1:-1]])
 
 
-def _parts(text: bytes) -> Iterator[bytes]:
+def _parts(text: bytes, size: int) -> Iterator[bytes]:
     """A text in parts of about a slice, cut at white space."""
     at = 0
-    while len(text) - at > SLICE_BYTES:
-        end = at + SLICE_BYTES
+    while len(text) - at > size:
+        end = at + size
         while end < len(text) and text[end] not in BLANK:
             end += 1
         yield text[at:end]
@@ -132,7 +133,7 @@ def _parts(text: bytes) -> Iterator[bytes]:
     yield text[at:] if at else text
 
 
-def _documents(texts: list[bytes | None], encoder: WordIds) -> Iterator[np.ndarray]:
+def _documents(texts: list[bytes | None], encoder: WordIds, slice_bytes: int = MEMORY[1]) -> Iterator[np.ndarray]:
     """The ids of each text with the end id, in order."""
     waiting: list[tuple[bytes, bool]] = []
     size, held = 0, []
@@ -147,11 +148,11 @@ def _documents(texts: list[bytes | None], encoder: WordIds) -> Iterator[np.ndarr
                 held.clear()
 
     for text in texts:
-        parts = list(_parts(text or b""))
+        parts = list(_parts(text or b"", slice_bytes))
         for k, part in enumerate(parts):
             waiting.append((part, k == len(parts) - 1))
             size += len(part)
-            if size >= SLICE_BYTES:
+            if size >= slice_bytes:
                 yield from flush()
                 waiting.clear()
                 size = 0
@@ -161,15 +162,15 @@ def _documents(texts: list[bytes | None], encoder: WordIds) -> Iterator[np.ndarr
 FOUND = "doc_id long, start long, length long, loss long, ids_crc32 long, doc_tokens long"
 
 
-def _cutter(path: str, limits: tuple[int, int, int]):
+def _cutter(path: str, limits: tuple[int, int, int], memory: tuple[int, int] = MEMORY):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = held_by_worker(("words", path), lambda: WordIds(path))
+        encoder = held_by_worker(("words", path, memory), lambda: WordIds(path, memory[0]))
         for batch in (b.slice(at, BATCH_ROWS) for b in batches for at in range(0, b.num_rows, BATCH_ROWS)):
             rows: list[tuple] = []
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             if asked := batch.num_columns > 2:
                 texts = list(chain.from_iterable(zip(batch.column(2).cast(pa.binary()).to_pylist(), texts)))
-            found = _documents(texts, encoder)
+            found = _documents(texts, encoder, memory[1])
             for doc_id in batch.column(0).to_pylist():
                 prompt = next(found)[:-1] if asked else ()
                 ids, own = next(found), len(prompt)
@@ -186,10 +187,10 @@ def _cutter(path: str, limits: tuple[int, int, int]):
     return run
 
 
-def pieces(docs: DataFrame, path: str, limits: tuple[int, int, int] = LIMITS, prompt: str | None = None) -> DataFrame:
+def pieces(docs: DataFrame, path: str, limits: tuple[int, int, int] = LIMITS, prompt: str | None = None, memory: tuple[int, int] = MEMORY) -> DataFrame:
     """``(doc_id, start, length, loss, ids_crc32, doc_tokens)``: every document's ids, cut where a sequence would be full; the ids of the column ``prompt`` stand in front and bear no loss."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *([F.col(prompt).cast("string").alias("prompt")] if prompt else []))
-    return rows.mapInArrow(_cutter(path, limits), FOUND)
+    return rows.mapInArrow(_cutter(path, limits, memory), FOUND)
 
 
 def place(demand: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -249,9 +250,9 @@ def public_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def pack_documents(docs: DataFrame, path: str | None = None, limits: tuple[int, int, int] = LIMITS, prompt: str | None = None) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str | None = None, limits: tuple[int, int, int] = LIMITS, prompt: str | None = None, memory: tuple[int, int] = MEMORY) -> DataFrame:
     """Tokenise, cut and pack ``docs(doc_id, text)``. In plain documents every token bears loss; in instruction data those of ``text``, not of the column ``prompt``."""
-    return pack(cut(pieces(docs, path or public_tokenizer(), limits, prompt), "pieces"), limits)
+    return pack(cut(pieces(docs, path or public_tokenizer(), limits, prompt, memory), "pieces"), limits)
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -600,11 +600,10 @@ def test_ids_by_word_equal_the_tokenizer():
         assert [g.tolist() for g in got] == [tok.encode(t, add_special_tokens=False).ids for t in made[k : k + 50]]
 
 
-def test_long_texts_are_cut_without_loss(monkeypatch):
+def test_long_texts_are_cut_without_loss():
     words, text = packing.WordIds(packing.public_tokenizer()), ("alpha beta, gamma\n" * 400).encode()
     whole = list(packing._documents([text, None, b"x"], words))
-    monkeypatch.setattr(packing, "SLICE_BYTES", 100)
-    parts = list(packing._documents([text, None, b"x"], words))
+    parts = list(packing._documents([text, None, b"x"], words, 100))
     assert [p.tolist() for p in parts] == [w.tolist() for w in whole] and whole[1].tolist() == [2]
 
 
