@@ -35,9 +35,9 @@ from lattica.llm.common import Words, read, release_worker, room
 SAMPLE_DOCS = 400
 EM_ROUNDS = 3
 #: Words that a task remembers the scores of.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 #: Bytes of text whose words are laid out at once.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 #: Up to so many characters, mark included, a word's likelihood can't leave the range of a double; longer ones are scaled on the way.
 PLAIN_CHARS = 28
 MARK = "▁"
