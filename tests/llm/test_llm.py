@@ -790,3 +790,29 @@ def test_remembered_words():
         a, b = (s.score(pa.array(texts[k : k + 4])) for s in (one, two))
         assert (a[0] == b[0]).all() and np.allclose(a[1], b[1])
     assert len(two.words) < len(one.words)
+
+
+def test_tree_brute_force(spark, texts):
+    """Shards by an independent descent: the smallest of -ln(u) / weight at each level."""
+    def draw(level, children, key):
+        best = []
+        for child, weight in children:
+            h = 42
+            for part in (level, child, key):
+                raw = part.encode() if isinstance(part, str) else int(part).to_bytes(8, "little", signed=True) if isinstance(part, np.int64) else int(part).to_bytes(4, "little", signed=True)
+                h = xxhash.xxh64_intdigest(raw, h & (2**64 - 1))
+            best.append((-np.log(((h >> 11) + 0.5) / float(1 << 53)) / weight, child))
+        return min(best)[1]
+
+    rows = {r["doc_id"]: r for r in registry.QUERIES["op8_sharding"](spark, DATA).collect()}
+    for column, shards in (("shard", 24), ("grown_shard", 25)):
+        tree = sharding.default_tree(shards)
+        for i in list(texts)[:100]:
+            key, at = np.int64(i), tree
+            for level in ("region", "rack", "shard"):
+                sums = {}
+                for leaf in at:
+                    sums[getattr(leaf, level)] = sums.get(getattr(leaf, level), 0.0) + leaf.weight
+                won = draw(level, sorted(sums.items()), key)
+                at = [leaf for leaf in at if getattr(leaf, level) == won]
+            assert rows[i][column] == at[0].shard
