@@ -13,7 +13,7 @@ copy; the deepest such class names the copied source, and the longest common
 prefix with it, found exactly by going down the levels again, is the maximal
 run at that place. A line is deleted if it has ``MIN_WORDS`` words and occurs
 earlier, or if it lies in a run of two or more lines that occurs earlier;
-neighbouring deleted lines form one span.
+neighbouring deleted lines form one span. A text of which blank lines alone remain goes whole.
 
 Ranks are made with a range partition and a sort of distinct keys, counted
 with partial aggregates: one line that fills a third of all rows is one key.
@@ -145,7 +145,7 @@ def remove(docs: DataFrame, spans: DataFrame, row: str, flag: str) -> DataFrame:
     edges = F.concat(F.array(F.struct(zero.alias("start"), zero.alias("end"))), F.transform(cuts, lambda e: F.struct(e["start"].alias("start"), (e["end"] + 1).alias("end"))))
     upto = lambda i: F.coalesce(F.get(cuts, i)["start"], F.length("text").cast("long"))
     kept = F.array_join(F.transform(edges, lambda e, i: F.substring(F.col("text"), (e["end"] + 1).cast("int"), F.greatest(upto(i) - e["end"], zero).cast("int"))), "")
-    return joined.withColumn("text", F.when(cuts.isNull(), F.col("text")).otherwise(kept)).withColumn(flag, cuts.isNull() | (F.trim("text") != "")).drop(own)
+    return joined.withColumn("text", F.when(cuts.isNull(), F.col("text")).otherwise(kept)).withColumn(flag, cuts.isNull() | F.col("text").rlike(r"\S")).drop(own)
 
 
 def dedup(docs: DataFrame) -> DataFrame:
