@@ -465,6 +465,13 @@ def test_line_runs_and_removal(spark):
     assert text[1] == "x\ny" and 3 not in text and text[4] == "b\nq" and text[0].startswith(run)
 
 
+def test_blank_lines_that_remain(spark):
+    """A text goes if all its lines are later copies, whatever blank lines it has; one without lines of its own stays."""
+    line = "these six words stand in all"
+    kept = linededup.dedup(frame(spark, [line, f"\n{line}\n", f"\n\t\n{line}\n \n{line}\n", "\n\n", "", None, f"\n{line}\nx\n"])).collect()
+    assert {r["doc_id"]: r["text"] for r in kept} == {0: line, 3: "\n\n", 4: "", 5: None, 6: "\nx\n"}
+
+
 def test_repeated_rows_and_clashing_columns_in_lines(spark):
     """Of repeated rows one stays whole, whatever their ids; other columns pass, whatever their names."""
     text = "these are six words of text\nand a second line stands here"
