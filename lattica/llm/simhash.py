@@ -12,11 +12,12 @@ Lists above ``LIST_ROWS`` are keyed anew by two more of their other positions
 dealt into blocks, and each pair of blocks is compared in a task of its own.
 A task emits a spanning forest of its links, never all pairs of a group.
 
-At a stated likeness of word shingles (``near_copies``) SimHash bits give no
-guarantee: at 0.8 some 15 % of them differ, and hardly a byte stays whole. The
-same index and tally then work on min-wise fingerprints, whose bytes agree as
-often as the texts are alike; candidates are verified on their whole sets of
-shingle hashes.
+At a stated likeness of word shingles (``near_copies``) more bits differ: 15 %
+at 0.8, and of eight bytes hardly one stays whole. So the same method takes
+longer fingerprints there, 48 bytes of SimHash over the distinct shingles:
+posting lists are keyed by a byte and its position, within a list pairs must
+share a second byte, shared bytes are tallied, kept pairs verified bit by bit
+and then on their whole sets of shingle hashes.
 
 Defined results: null, empty or blank texts have fingerprint zero and link
 like any other; texts of one or two words hash the whole word sequence;
@@ -35,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lattica.llm.common import components, cut, joinable, read, release_worker
+from lattica.llm.common import components, cut, drop_cut, joinable, read, release_worker
 
 POSITIONS = 8
 MAX_BITS = 3
@@ -195,14 +196,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return marked.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-#: Positional bytes of a min-wise fingerprint; sets of so many shingles are compared without a tally.
-MIN_BYTES, SMALL = 256, 128
-#: Shingle hashes that a block of a posting list has about.
+#: Long fingerprints: each byte of the first part keys a posting list, the ``NEXT`` bytes after it part the list.
+HUBS, NEXT = 32, 16
+PRINT_BYTES = HUBS + NEXT
+WORDS = PRINT_BYTES // 8
+PRINT = [f"w{k}" for k in range(WORDS)]
+#: Shared positional bytes of pairs that are verified.
+NEAR_SHARED = 3
+#: Rows and pairs of posting lists that are compared at once.
+INDEX_ROWS, PAIRS = 1 << 16, 1 << 19
+#: Posting lists of prints are dealt into blocks beyond so many times ``list_rows``.
+INDEX_LISTS = 16
+#: Shingle hashes that a block of candidates has about.
 LIST_HASHES = 1 << 20
-#: Sets that are handed on at once.
-SET_ROWS = 256
-#: Posting lists: so many, each keyed by so many positional bytes.
-LISTS, LIST_BYTES = 20, 5
+#: Sets that are handed on at once, and about how many hashes of sets are compared with one set at once.
+SET_ROWS, SET_HASHES = 256, 1 << 18
 
 
 def shingle_hashes(text: bytes | None, width: int) -> np.ndarray:
@@ -218,38 +226,38 @@ def shingle_hashes(text: bytes | None, width: int) -> np.ndarray:
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
 
 
-def min_print(hashes: np.ndarray, donors: np.ndarray) -> bytes:
-    """Min-wise bytes by one permutation, empty places filled from donors."""
-    out = np.zeros(MIN_BYTES, np.uint8)
-    if not len(hashes):
-        return out.tobytes()
-    place = (hashes >> np.uint64(56)).astype(np.int64)
-    first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-    filled = np.zeros(MIN_BYTES, bool)
-    filled[place[first]] = True
-    out[place[first]] = (hashes[first] & np.uint64(255)).astype(np.uint8)
-    empty = np.flatnonzero(~filled)
-    if len(empty):
-        out[empty] = out[donors[empty, filled[donors[empty]].argmax(1)]]
-    return out.tobytes()
+def _mix(z: np.ndarray) -> np.ndarray:
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
 
 
-def _donors() -> np.ndarray:
-    draw = np.random.default_rng(SEED)
-    return np.stack([draw.permutation(MIN_BYTES) for _ in range(MIN_BYTES)])
+def long_print(hashes: np.ndarray) -> np.ndarray:
+    """SimHash of a set of shingle hashes: a bit is 1 if set in over half of them; words after the first take the hashes mixed anew."""
+    ones = np.zeros(8 * PRINT_BYTES, np.int64)
+    steps = np.arange(1, WORDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for at in range(0, len(hashes), 255):
+        part = hashes[at : at + 255, None]
+        words = np.concatenate([part, _mix(part + steps)], axis=1)
+        ones += np.unpackbits(words.view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.uint8)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)
 
 
-def _min_prints(width: int):
+def _print_arrays(prints: list[np.ndarray]) -> list[pa.Array]:
+    words = np.array(prints, np.uint64).reshape(-1, WORDS).view(np.int64)
+    return [pa.array(np.ascontiguousarray(words[:, k])) for k in range(WORDS)]
+
+
+def _long_prints(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        donors = _donors()
         for batch in batches:
             marks, sizes, prints = [], [], []
             for t in batch.column(2).cast(pa.binary()):
                 hashes = shingle_hashes(t.as_py(), width)
                 marks.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED))
                 sizes.append(len(hashes))
-                prints.append(min_print(hashes, donors))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(marks, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(prints, pa.binary())], ["rid", "doc_id", "fp", "n", "print"])
+                prints.append(long_print(hashes))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(marks, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), *_print_arrays(prints)], ["rid", "doc_id", "fp", "n", *PRINT])
         release_worker()
 
     return run
@@ -257,33 +265,39 @@ def _min_prints(width: int):
 
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        donors = _donors()
         for batch in batches:
             for at in range(0, batch.num_rows, SET_ROWS):
                 part = batch.slice(at, SET_ROWS)
-                sets = [shingle_hashes(t.as_py(), width) for t in part.column(2).cast(pa.binary())]
-                prints = [min_print(h, donors) for h in sets]
-                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(prints, pa.binary()), pa.array([h.tobytes() for h in sets], pa.binary())], ["fp", "n", "print", "hashes"])
+                sets = [shingle_hashes(t.as_py(), width).tobytes() for t in part.column("text").cast(pa.binary())]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(sets, pa.binary())], [*part.schema.names[:-1], "hashes"])
         release_worker()
 
     return run
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Likeness of two sets of shingle hashes, each sorted and distinct."""
-    if len(a) > len(b):
-        a, b = b, a
-    if not len(a):
-        return float(not len(b))
-    common = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
-    return common / (len(a) + len(b) - common)
+def _most_bits(similarity: float) -> float:
+    """Bits in which pairs of that likeness differ at most (five deviations; sets of few shingles differ in a quarter more)."""
+    p = 1.25 * np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return 8 * PRINT_BYTES * p + 5 * np.sqrt(8 * PRINT_BYTES * p * (1 - p))
+
 
+def _kept(apart: np.ndarray, most: float) -> np.ndarray:
+    """Which pairs of prints, given what differs, share enough bytes, and then enough bits."""
+    low = np.uint64(0x7F7F7F7F7F7F7F7F)
+    whole = PRINT_BYTES - np.bitwise_count((((apart & low) + low) | apart) & ~low).sum(1, dtype=np.int64)
+    kept = whole >= NEAR_SHARED
+    kept[kept] = np.bitwise_count(apart[kept]).sum(1, dtype=np.int64) <= most
+    return kept
 
-def _near_forest(table: dict[str, np.ndarray], similarity: float) -> tuple[list[int], list[int]]:
-    """As ``_forest``, for prints: shared bytes are tallied for each pair of a run, kept ones verified on their sets."""
-    same, prints, sizes, n = table["same"], table["prints"], table["n"], len(table["n"])
-    whole = lambda i: np.frombuffer(table["hashes"][int(i)].as_buffer(), np.uint64)
-    parent = np.arange(n)
+
+def _index_forest(rows: np.ndarray, similarity: float) -> tuple[list[int], list[int]]:
+    """Candidate links that span what is linked within each list of ``rows (k, p, fp, n, print)``, sorted by list."""
+    m, most = len(rows), _most_bits(similarity)
+    lists = np.cumsum(np.r_[False, (rows[1:, :2] != rows[:-1, :2]).any(1)]) << 8
+    sizes, prints = rows[:, 3], np.ascontiguousarray(rows[:, 4:]).view(np.uint64)
+    bytes_, hub = prints.view(np.uint8), rows[:, 0] >> 8
+    parent = np.arange(m)
+    left, right = [], []
 
     def find(i: int) -> int:
         while parent[i] != i:
@@ -291,42 +305,116 @@ def _near_forest(table: dict[str, np.ndarray], similarity: float) -> tuple[list[
             i = parent[i]
         return i
 
-    left, right = [], []
-    enough = int(MIN_BYTES * (similarity - 0.25))
-    inner = same[1:] == same[:-1]
-    live, step = np.arange(n), 1
-    while True:
-        live = live[live + step < n]
-        live = live[same[live] == same[live + step]]
+    def flat() -> None:
         while (parent != parent[parent]).any():
             parent[:] = parent[parent]
-        if not len(live) or not (inner & (parent[1:] != parent[:-1])).any():
-            return left, right  # no pairs are left, or each run is one group
-        # Pairs of one group already need no tally.
-        todo = live[parent[live] != parent[live + step]]
-        todo = todo[np.minimum(sizes[todo], sizes[todo + step]) >= similarity * np.maximum(sizes[todo], sizes[todo + step])]
-        for k in range(0, len(todo), 4096):
-            part = todo[k : k + 4096]
-            shared = (prints[part] == prints[part + step]).sum(1)
-            # The bytes of small sets are too few draws to tell.
-            for i in part[(shared >= enough) | (np.maximum(sizes[part], sizes[part + step]) <= SMALL)]:
-                a, b = find(int(i)), find(int(i) + step)
-                if a != b and likeness(whole(i), whole(i + step)) >= similarity:
-                    parent[max(a, b)] = min(a, b)
-                    left.append(int(i))
-                    right.append(int(i) + step)
-        step += 1
+
+    def compare(i: np.ndarray, j: np.ndarray) -> None:
+        flat()
+        todo = parent[i] != parent[j]
+        i, j = i[todo], j[todo]
+        todo = np.minimum(sizes[i], sizes[j]) / np.maximum(sizes[i], sizes[j]) >= similarity
+        i, j = i[todo], j[todo]
+        near = _kept(prints[i] ^ prints[j], most)
+        for a, b in zip(i[near].tolist(), j[near].tolist()):
+            x, y = find(a), find(b)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                left.append(a)
+                right.append(b)
+
+    for step in range(1, NEXT + 1):
+        key = lists + bytes_[np.arange(m), hub + step]
+        order = np.argsort(key, kind="stable")
+        beside = np.flatnonzero(key[order[1:]] == key[order[:-1]])
+        compare(order[beside], order[beside + 1])
+        # The rest of each run: rows of one group lie together, and each row meets those after its group.
+        flat()
+        order = np.lexsort((parent, key))
+        run, group = key[order], parent[order]
+        ends = np.flatnonzero(np.r_[run[1:] != run[:-1], True]) + 1
+        parts = np.flatnonzero(np.r_[(run[1:] != run[:-1]) | (group[1:] != group[:-1]), True]) + 1
+        at = np.arange(m)
+        first, end = parts[np.searchsorted(parts, at, "right")], ends[np.searchsorted(ends, at, "right")]
+        before = np.r_[0, np.cumsum(end - first)]
+        start = 0
+        while before[start] < before[-1]:
+            stop = max(start + 1, int(np.searchsorted(before, before[start] + PAIRS, "right")) - 1)
+            count = (end - first)[start:stop]
+            i = np.repeat(at[start:stop], count)
+            j = np.arange(len(i)) + np.repeat(first[start:stop] - (before[start:stop] - before[start]), count)
+            compare(order[i], order[j])
+            start = stop
+    return left, right
+
+
+def _index_tally(similarity: float):
+    """Over rows ``(k, p, fp, n, print)`` sorted by list: candidate pairs; a list may go on in the next batch."""
+
+    def links(rows: np.ndarray) -> pa.RecordBatch:
+        i, j = _index_forest(rows, similarity)
+        return pa.RecordBatch.from_arrays([pa.array(rows[i, 2], pa.int64()), pa.array(rows[j, 2], pa.int64())], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], 1).astype(np.int64, copy=False))
+            n += batch.num_rows
+            if n < INDEX_ROWS:
+                continue
+            rows = np.concatenate(held)
+            other = np.flatnonzero((rows[:, :2] != rows[-1, :2]).any(1))
+            start = int(other[-1]) + 1 if len(other) else 0
+            if start:
+                yield links(rows[:start])
+            held, n = [rows[start:].copy()], len(rows) - start
+            del rows
+        if n:
+            yield links(np.concatenate(held))
+        del held
+        release_worker()
+
+    return run
+
+
+def _near_forest(same: np.ndarray, fp: np.ndarray, sizes: np.ndarray, prints: np.ndarray, hashes: np.ndarray, similarity: float) -> tuple[list[int], list[int]]:
+    """As ``_forest``, for long prints: what a row shares with those after it in its run is tallied, kept pairs are verified on their whole sets."""
+    most = _most_bits(similarity)
+    starts = np.r_[0, np.cumsum(sizes)]
+    known, ids = np.unique(hashes, return_inverse=True)
+    own, label = np.zeros(len(known), bool), np.arange(len(fp))
+    ends = np.searchsorted(same, same, "right")
+    left, right = [], []
+    for i in np.flatnonzero(ends > np.arange(len(fp)) + 1).tolist():
+        j = np.arange(i + 1, ends[i])
+        j = j[label[j] != label[i]]
+        j = j[np.minimum(sizes[j], sizes[i]) / np.maximum(sizes[j], sizes[i]) >= similarity]
+        j = j[_kept(prints[j] ^ prints[i], most)]
+        mine = ids[starts[i] : starts[i + 1]]
+        own[mine] = True
+        for part in np.split(j, np.flatnonzero(np.diff(np.cumsum(sizes[j]) // SET_HASHES)) + 1) if len(j) else ():
+            before = np.r_[0, np.cumsum(sizes[part])]
+            there = np.repeat(starts[part] - before[:-1], sizes[part]) + np.arange(before[-1])
+            common = np.add.reduceat(own[ids[there]], before[:-1], dtype=np.int64)
+            for k in part[common / (sizes[i] + sizes[part] - common) >= similarity].tolist():
+                if label[k] != label[i]:
+                    label[label == label[k]] = label[i]
+                    left.append(i)
+                    right.append(k)
+        own[mine] = False
+    return left, right
 
 
 def _near_tally(similarity: float):
-    """Over rows ``(k1, k2, fp, n, print, hashes)`` sorted by list; a list may go on in the next batch."""
+    """Over rows ``(k1, k2, fp, n, print, hashes)`` sorted by candidates' group and block; one may go on in the next batch."""
 
     def links(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(batches)
         k1, k2, fp = (rows.column(k).to_numpy() for k in range(3))
-        prints = np.frombuffer(b"".join(rows.column(4).to_pylist()), np.uint8).reshape(len(fp), -1)
+        prints = np.stack([rows.column(w).to_numpy() for w in PRINT], 1).view(np.uint64)
         same = np.cumsum(np.r_[False, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])])
-        i, j = _near_forest({"same": same, "prints": prints, "n": rows.column(3).to_numpy(), "hashes": rows.column(5)}, similarity)
+        hashes = np.frombuffer(b"".join(rows.column("hashes").to_pylist()), np.uint64)
+        i, j = _near_forest(same, fp, rows.column(3).to_numpy(), prints, hashes, similarity)
         return pa.RecordBatch.from_arrays([pa.array(fp[i], pa.int64()), pa.array(fp[j], pa.int64())], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,26 +440,42 @@ def _near_tally(similarity: float):
     return run
 
 
+def _dealt(blocks: F.Column, alone: F.Column) -> F.Column:
+    """Numbers of the pairs of blocks in which a row meets others; -1 for the whole of a group that stays in one."""
+    own = F.pmod(F.xxhash64("fp"), blocks)
+    pairs = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda o: F.least(o, own) * blocks + F.greatest(o, own))
+    return F.when(alone, F.array(F.lit(-1).cast("long"))).otherwise(pairs)
+
+
+def candidates(prints: DataFrame, similarity: float = 0.8, list_rows: int = LIST_ROWS) -> DataFrame:
+    """``(a, b)``: links that connect all of ``prints(fp, n, w0, ...)`` that the index finds alike; ``fp`` is distinct."""
+    byte = lambda k: F.shiftrightunsigned(F.col(PRINT[k // 8]), 8 * (k % 8)).bitwiseAND(F.lit(255).cast("long"))
+    # A set that any other text's must differ from too much needs no list.
+    index = prints.filter(F.col("n") / (F.col("n") + 1) >= similarity).select(F.explode(F.array(*[byte(k) + 256 * k for k in range(HUBS)])).alias("k"), "fp", "n", *PRINT)
+    sized = index.groupBy("k").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")  # at most 256 for each hub
+    most = INDEX_LISTS * list_rows
+    blocks = F.ceil(F.col("m") / F.lit(max(1, most // 2))).cast("long")
+    dealt = index.join(F.broadcast(sized), "k").select("k", F.explode(_dealt(blocks, F.col("m") <= most)).alias("p"), "fp", "n", *PRINT)
+    return dealt.repartition("k", "p").sortWithinPartitions("k", "p").mapInArrow(_index_tally(similarity), "a long, b long")
+
+
 def near_groups(rows: DataFrame, width: int = 5, similarity: float = 0.8, list_rows: int = LIST_ROWS) -> DataFrame:
     """``(rid, doc_id, root)`` of every row of ``rows(rid, doc_id, text)``, written with ids of their own: groups of texts alike in their shingles."""
     rows = rows.select("rid", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marked = cut(rows.mapInArrow(_min_prints(width), "rid long, doc_id long, fp long, n int, print binary"), "prints")
-    first = cut(marked.groupBy("fp").agg(F.min("rid").alias("rid"), F.first("n").alias("n"), F.first("print").alias("print")), "reps")
-    key = lambda k: F.conv(F.hex(F.substring("print", k * LIST_BYTES + 1, LIST_BYTES)), 16, 10).cast("long")
-    index = first.select("fp", "n", F.inline(F.array(*[F.struct(F.lit(k).cast("long").alias("k1"), key(k).alias("k2")) for k in range(LISTS)])))
-    sized = index.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("w")).filter("m > 1")
-    lists = cut(index.drop("n").join(sized, ["k1", "k2"]), "lists")
-    # Whole sets are made again for the texts in lists alone.
-    listed = first.join(lists.select("fp").distinct(), "fp", "left_semi").select("fp", "n", "rid")
-    sets = cut(rows.select("rid", "text").join(joinable(listed, 1_000_000), "rid").select("fp", "n", "text").mapInArrow(_sets(width), "fp long, n int, print binary, hashes binary"), "sets")
+    words = ", ".join(f"{w} long" for w in PRINT)
+    marked = cut(rows.mapInArrow(_long_prints(width), f"rid long, doc_id long, fp long, n long, {words}"), "prints")
+    first = cut(marked.groupBy("fp").agg(F.min("rid").alias("rid"), *(F.first(c).alias(c) for c in ("n", *PRINT))), "reps")
+    # Groups of candidates; whole sets are made again for their texts alone.
+    found = components(candidates(first.select("fp", "n", *PRINT), similarity, list_rows)).select(F.col("node").alias("fp"), F.col("root").alias("k1"))
+    listed = cut(first.join(found, "fp").select("k1", "fp", "n", *PRINT, "rid"), "listed")
+    sized = listed.groupBy("k1").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("w"))
+    sets = rows.select("rid", "text").join(joinable(listed, 1_000_000), "rid").select("k1", "fp", "n", *PRINT, "text").mapInArrow(_sets(width), f"k1 long, fp long, n long, {words}, hashes binary")
     blocks = F.greatest(F.ceil(F.col("m") / F.lit(list_rows // 2)), F.ceil(F.col("w") / F.lit(LIST_HASHES))).cast("long")
-    own = F.pmod(F.xxhash64("fp"), blocks)
     alone = (F.col("m") <= list_rows) & (F.col("w") <= 2 * LIST_HASHES)
-    pairs = F.when(alone, F.array(F.lit(-1).cast("long"))).otherwise(F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda o: F.least(o, own) * blocks + F.greatest(o, own)))
-    dealt = lists.select("k1", "k2", "fp", F.explode(pairs).alias("p")).select((F.col("k1") + LISTS * (F.col("p") + 1)).alias("k1"), "k2", "fp")
-    joined = dealt.join(sets, "fp").select("k1", "k2", "fp", "n", "print", "hashes")
+    joined = sets.join(joinable(sized, 1_000_000), "k1").select("k1", F.explode(_dealt(blocks, alone)).alias("k2"), "fp", "n", *PRINT, "hashes")
     edges = joined.repartition("k1", "k2").sortWithinPartitions("k1", "k2", "fp").mapInArrow(_near_tally(similarity), "a long, b long")
     roots = components(edges)
+    drop_cut(first, listed)
     return marked.select("rid", "doc_id", "fp").join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("rid", "doc_id", F.coalesce("root", "fp").alias("root"))
 
 

@@ -153,6 +153,48 @@ def test_near_copies_brute_force(spark):
         assert [got[2 * k + 1] == 2 * k for k in range(60)] == [x >= 0.8 for x in alike]
 
 
+def test_long_prints_are_simhash(texts):
+    """Each bit of a long print is the vote of the text's shingles: of their XXH64, then of that mixed anew."""
+    top = (1 << 64) - 1
+
+    def mixed(z):
+        z = (z ^ z >> 30) * 0xBF58476D1CE4E5B9 & top
+        z = (z ^ z >> 27) * 0x94D049BB133111EB & top
+        return z ^ z >> 31
+
+    for text in [*list(texts.values())[:25], None, "", "one", "a b c d e f", "x y " * 300]:
+        w = (text or "").encode().lower().split()
+        parts = {b" ".join(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+        hashes = [xxhash.xxh64_intdigest(p, 42) for p in parts]
+        want = []
+        for k in range(simhash.WORDS):
+            votes = [mixed(h + k * 0x9E3779B97F4A7C15 & top) if k else h for h in hashes]
+            want.append(sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in votes) > len(votes)))
+        assert simhash.long_print(simhash.shingle_hashes((text or "").encode(), 5)).tolist() == want
+
+
+def test_near_candidates_by_the_simhash_index(spark):
+    """The index over prints alone finds pairs at 0.8 and more, also where its lists are dealt, and next to no others."""
+    draw = np.random.default_rng(7)
+    sets, alike = [], []
+    for k in range(1000):
+        both, more = draw.integers(0, 1 << 63, (int(draw.integers(8, 300)), 1)), draw.integers(0, 1 << 63, 80)
+        extra = len(both) // 9  # n of n + 2 extra shingles are shared: just over 0.8
+        sets += [np.unique(np.r_[both[:, 0], more[:extra]]), np.unique(np.r_[both[:, 0], more[40 : 40 + extra]])]
+        alike.append(len(both) / (len(both) + 2 * extra))
+    assert 0.8 <= min(alike) and sorted(alike)[500] < 0.83
+    many = [int(x) for x in draw.integers(0, 1 << 63, 200)]
+    sets += [np.array(sorted({*many} - {many[k]}), np.int64) for k in range(60)]
+    rows = [(k, len(s), *simhash.long_print(s.astype(np.uint64)).view(np.int64).tolist()) for k, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "fp long, n long, " + ", ".join(f"{w} long" for w in simhash.PRINT))
+    for list_rows in (4096, 1):
+        links = [(r["a"], r["b"]) for r in simhash.candidates(df, 0.8, list_rows).collect()]
+        found = components_of(range(len(sets)), links)
+        assert np.mean([found[2 * k] == found[2 * k + 1] for k in range(1000)]) >= 0.995
+        assert {found[k] for k in range(2000, 2060)} == {2000}
+        assert sum(a // 2 != b // 2 and min(a, b) < 2000 for a, b in links) < 10
+
+
 # 2
 def test_templates_and_slots(spark):
     bench = spark.createDataFrame([(0, "A train with 120 people counts 120 seats before Alice travels for 45 minutes to the hall"), (1, "tiny one"), (2, "exactly seven plain words are here now"), (3, "A tram leaves with 40 riders and then goes on for 45 long minutes before it counts 40 riders again at the depot")], "item_id long, text string")
