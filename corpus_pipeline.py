@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lattica.llm import decontaminate, langid, linededup, packing, simhash
-from lattica.llm.common import cut, drop_cut, free, joinable, read, scratch, with_rows
+from lattica.llm.common import cut, drop_cut, free, joinable, read, scratch, small_batches, with_rows
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language; those without a letter, or between languages, go."""
+    small_batches(spark)
     return langid.accepted(docs)
 
 
@@ -29,6 +30,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five words, 0.8) the row with the smallest id stays; null ids are the largest."""
+    small_batches(spark)
     row = free(docs.columns, "_row")
     rows = with_rows(docs, row)
     groups = simhash.near_groups(rows.select(F.col(row).alias("rid"), "doc_id", "text"))
@@ -47,6 +49,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of tokens, a row for each piece."""
+    small_batches(spark)
     return packing.pack_documents(docs, memory=packing.LITTLE_MEMORY)
 
 

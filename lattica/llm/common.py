@@ -25,6 +25,8 @@ from pyspark.sql.window import Window
 
 #: Rows that a group may hold when one task sorts or compares it whole.
 GROUP_ROWS = 4096
+#: Bytes of a batch that goes to a Python worker, about; it ends with the row that fills it.
+BATCH_BYTES = 2 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -156,6 +158,18 @@ def release_worker() -> None:
         pass
 
 
+def small_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """Let batches of this session hold about ``most`` bytes from here on, if they may hold more.
+
+    A batch stands in the executor's memory beside the heap, with room to grow, and in the worker again. By Spark's
+    defaults it holds all texts of a task, and what the JVM frees of buffers that large it keeps.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)))
+    if now > most:
+        spark.conf.set(name, f"{most}b")
+
+
 def free(columns: list[str], name: str) -> str:
     """``name``, or what stands for it where a column has it, in any case of letters."""
     taken = {c.lower() for c in columns}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from conftest import DATA
 
@@ -49,6 +50,33 @@ def test_near_copies_come_through_simhash(spark, monkeypatch):
     assert kept() == {0, 1}
 
 
+def test_batches_of_text_are_small(spark, monkeypatch):
+    """The stages that hand texts to Python do so a few MB at a time, long rows whole; a smaller bound of the session stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(20)
+    texts = spark.range(0, 2000, 1, 1).selectExpr("repeat('a word ', 1000) as text").union(spark.range(0, 2, 1, 1).selectExpr("repeat('a word ', 1000000)"))
+    monkeypatch.setattr(langid, "accepted", lambda docs: docs)
+    stages = dict(corpus_pipeline.STAGES)
+    try:
+        for stage in ("language_id", "simhash_near_dedup", "packing"):
+            spark.conf.unset(name)
+            assert stages[stage](spark, docs, DATA).count() > 0
+            found = texts.mapInArrow(sizes, "n long, size long").toPandas()
+            assert found.n.sum() == 2002, stage
+            # A batch ends with the row that fills it, so two have a row of 7 MB as well.
+            assert (found["size"] < 4 << 20).sum() >= 6 and found["size"].max() < 10_000_000, stage
+        spark.conf.set(name, "1m")
+        assert stages["language_id"](spark, docs, DATA).count() == 20
+        assert spark.conf.get(name) == "1m"
+    finally:
+        spark.conf.unset(name)
+
+
 def test_null_and_repeated_ids(spark):
     draw = np.random.default_rng(1)
     prose = lambda n=120: " ".join(f"w{x}" for x in draw.integers(0, 5000, n))
